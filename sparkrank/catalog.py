@@ -403,10 +403,10 @@ def read_vectors(spark, sf_dir):
 
 
 def _qrels_file(spark, sf_dir) -> str:
-    """Judgment lines in order of order and line number; a pair may be judged again."""
+    """Judgment lines by order, line and grade; a pair may be judged again."""
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                   F.col("l_quantity").cast("int").alias("rel"))
-    ordered = lines.orderBy("l_orderkey", "l_linenumber")
+    ordered = lines.orderBy("l_orderkey", "l_linenumber", "rel")
     path = scratch_path(spark, "qrels")
     ordered.select(F.concat_ws(" ", "l_orderkey", F.lit("0"), "l_partkey", "rel")).write.text(path)
     return path

@@ -301,7 +301,8 @@ READ_VECTORS = (
 )
 READ_QRELS = (
     "SELECT CAST(l_orderkey AS VARCHAR) AS query_id, CAST(l_partkey AS VARCHAR) AS doc_id,"
-    " CAST(trunc(arg_max(l_quantity, l_linenumber)) AS INT) AS rel FROM lineitem"
+    " CAST(trunc(arg_max(l_quantity, l_linenumber * 1000 + l_quantity)) AS INT) AS rel"
+    " FROM lineitem"
     " GROUP BY l_orderkey, l_partkey"
 )
 READ_QUERY_IDS = "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS query_id FROM lineitem"
