@@ -44,14 +44,33 @@ def train_centroids(
     return doc_vectors.sparkSession.createDataFrame(centers, "cell int, centroid array<double>")
 
 
-def nearest_cells(vectors: DataFrame, centroids: DataFrame, n: int) -> DataFrame:
+@dataclass(frozen=True)
+class Centroids:
+    """Measured and collected centroids: cell numbers and unit vectors."""
+
+    cells: np.ndarray
+    units: np.ndarray
+
+    @classmethod
+    def collect(cls, centroids: DataFrame) -> Centroids:
+        centroids = centroids.select("cell", "centroid")
+        if not fits(centroids):
+            raise ValueError("centroid table exceeds the broadcast bound; use fewer cells")
+        block = collect_block(centroids.orderBy("cell"))
+        if block.num_rows == 0:
+            raise ValueError("no vectors found")
+        units = unit_rows(vector_matrix(block.column("centroid")), 0.0)
+        return cls(np.asarray(block.column("cell").to_numpy()), units)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(int(c), [float(x) for x in u])
+                for c, u in zip(self.cells, self.units, strict=True)]
+        return spark.createDataFrame(rows, "cell int, centroid array<double>")
+
+
+def nearest_cells(vectors: DataFrame, centroids: Centroids, n: int) -> DataFrame:
     """``vectors`` with ``cells``, the ``n`` nearest cells in order; ties go to the lower cell."""
-    if not fits(centroids):
-        raise ValueError("centroid table exceeds the broadcast bound; use fewer cells")
-    block = collect_block(centroids.orderBy("cell"))
-    cells = np.asarray(block.column("cell").to_numpy())
-    matrix = unit_rows(vector_matrix(block.column("centroid")), 0.0)
-    shared = ship_package(vectors.sparkSession).broadcast((cells, matrix))
+    shared = ship_package(vectors.sparkSession).broadcast((centroids.cells, centroids.units))
     schema = T.StructType(
         [*vectors.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]
     )
@@ -81,15 +100,17 @@ class VectorIndex:
     """``cells(cell, doc_id, embedding)`` and the centroids that made them."""
 
     cells: DataFrame
-    centroids: DataFrame
+    centroids: Centroids
     saved: bool = False
 
     @classmethod
     def build(cls, doc_vectors: DataFrame, centroids: DataFrame) -> VectorIndex:
+        """Assign vectors to the nearest of ``centroids(cell, centroid)``."""
         vectors = with_vectors(doc_vectors).select("doc_id", "embedding")
-        cells = nearest_cells(vectors, centroids, 1)
+        known = Centroids.collect(centroids)
+        cells = nearest_cells(vectors, known, 1)
         return cls(
-            cells.select(F.get("cells", F.lit(0)).alias("cell"), "doc_id", "embedding"), centroids
+            cells.select(F.get("cells", F.lit(0)).alias("cell"), "doc_id", "embedding"), known
         )
 
     def save(self, path: str) -> VectorIndex:
@@ -102,14 +123,13 @@ class VectorIndex:
         spread.repartition("cell", "_slot").drop("_slot").write.partitionBy("cell").parquet(
             f"{path}/cells"
         )
-        self.centroids.write.parquet(f"{path}/centroids")
+        self.centroids.table(spark).write.parquet(f"{path}/centroids")
         return self.load(spark, path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> VectorIndex:
-        return cls(
-            spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/centroids"), True
-        )
+        centroids = Centroids.collect(spark.read.parquet(f"{path}/centroids"))
+        return cls(spark.read.parquet(f"{path}/cells"), centroids, True)
 
     def probes(self, query_vectors: DataFrame, nprobe: int) -> DataFrame:
         """``(query_id, embedding, cells)``: the cells each query will search."""

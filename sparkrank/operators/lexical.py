@@ -13,6 +13,7 @@ from ..sources.scratch import materialize
 from .joins import hinted, salted_join
 from .sizing import fits, over_waves
 from .topk import ranking_order, top_k
+from .validate import require_rows
 
 
 def term_vectors(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -65,6 +66,7 @@ class LexicalIndex:
     @classmethod
     def build(cls, collection: DataFrame, k1: float = K1, b: float = B) -> LexicalIndex:
         """Statistics of ``collection(doc_id, text)``; ids must be unique (see ``keep_last``)."""
+        require_rows(collection.select("doc_id"), "documents")
         postings = _exploded(term_vectors(collection, "doc_id"))
         docs = collection.select("doc_id", F.size(tokenize(F.col("text"))).alias("dl"))
         # Empty documents count in both the number and the mean.

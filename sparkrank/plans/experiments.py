@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import hinted
 from ..operators.sizing import fits, union_all
-from ..operators.validate import missing_details, require_details
+from ..operators.validate import missing_details, with_required
 from ..sources.scratch import materialize
 from ..sources.writers import at_cutoffs, run_name
 from .stages import Ranking
@@ -31,14 +31,12 @@ def judged_queries(query_sets: Mapping[str, DataFrame]) -> DataFrame:
 
 def evaluated_queries(asked: DataFrame, queries: DataFrame, on_missing: str) -> DataFrame:
     """Queries to evaluate, with their text. Unknown ids are an error or are dropped."""
+    ids = asked.select("query_id").distinct()
     if on_missing == "error":
-        require_details(asked, queries, "query_id", "text")
-    elif on_missing != "drop":
+        return with_required(ids, queries, "query_id", "text")
+    if on_missing != "drop":
         raise ValueError("on_missing is 'error' or 'drop'")
-    ids = asked.select("query_id").distinct()
-    return queries.filter(F.col("text").isNotNull()).join(
-        hinted(ids, fits(ids)), "query_id", "left_semi"
-    )
+    return ids.join(queries.filter(F.col("text").isNotNull()), "query_id")
 
 
 def make_run(

@@ -13,9 +13,7 @@ from ..operators.approx import VectorIndex
 from ..operators.dense import cosine_rerank, cosine_search
 from ..operators.lexical import LexicalIndex
 from ..operators.models import BATCH, model_rerank, model_search
-from ..operators.sizing import fits
-from ..operators.joins import hinted
-from ..operators.validate import require_details
+from ..operators.validate import required, with_required
 from ..sources.scratch import materialize
 
 
@@ -33,10 +31,9 @@ class Stage(Protocol):
     ) -> DataFrame: ...
 
 
-def _of(queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Vectors of the queries asked."""
-    ids = queries.select("query_id")
-    return vectors.join(hinted(ids, fits(ids)), "query_id", "left_semi")
+def _texts(queries: DataFrame) -> DataFrame:
+    """Texts of the queries asked; a query without one is an error."""
+    return queries.select("query_id", required(F.col("text"), F.col("query_id")).alias("text"))
 
 
 @dataclass(frozen=True)
@@ -48,10 +45,9 @@ class Bm25Stage:
         return f"BM25({self.index.k1}-{self.index.b})"
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
-        require_details(queries, queries, "query_id", "text")
         if candidates is None:
-            return self.index.search(queries, k)
-        return self.index.rerank(queries, candidates, k)
+            return self.index.search(_texts(queries), k)
+        return self.index.rerank(_texts(queries), candidates, k)
 
 
 @dataclass(frozen=True)
@@ -61,8 +57,7 @@ class CosineStage:
     label: str = "Cos()"
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
-        require_details(queries, self.query_vectors, "query_id", "embedding")
-        wanted = _of(queries, self.query_vectors)
+        wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
         if candidates is None:
             return cosine_search(self.doc_vectors, wanted, k)
         return cosine_rerank(candidates, self.doc_vectors, wanted, k)
@@ -84,8 +79,7 @@ class ApproxStage:
         return self.name or f"IVF({self.nprobe})"
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
-        require_details(queries, self.query_vectors, "query_id", "embedding")
-        wanted = _of(queries, self.query_vectors)
+        wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
         if candidates is not None and self.respect_candidates:
             return self.index.rerank(candidates, wanted, k, self.nprobe)
         return self.index.search(wanted, k, self.nprobe)
@@ -105,12 +99,10 @@ class ModelStage:
         return f"C({self.model_name})"
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
-        require_details(queries, queries, "query_id", "text")
+        asked = _texts(queries)
         if candidates is None:
-            return model_search(self.collection, queries, self.loader, k, self.batch_size)
-        return model_rerank(
-            self.collection, queries, candidates, self.loader, k, self.batch_size
-        )
+            return model_search(self.collection, asked, self.loader, k, self.batch_size)
+        return model_rerank(self.collection, asked, candidates, self.loader, k, self.batch_size)
 
 
 @dataclass(frozen=True)
