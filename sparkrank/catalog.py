@@ -8,6 +8,7 @@ the parts bought are documents.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -88,10 +89,6 @@ def doc_vectors(spark, sf_dir):
     return encode(documents(spark, sf_dir), HashedBagEncoder(sql.DIM))
 
 
-def query_vectors(spark, sf_dir):
-    return encode(questions(spark, sf_dir), HashedBagEncoder(sql.DIM), "query_id")
-
-
 def first_by_hash(ids: DataFrame, key: str) -> DataFrame:
     """``(key, cell)``: ids that serve as cell centres."""
     order = [F.md5(F.col(key).cast("string")), F.col(key)]
@@ -109,34 +106,48 @@ def vector_index(spark, sf_dir):
     return VectorIndex.build(points, centroids_of(points, first_by_hash(points, "doc_id")))
 
 
-def text_index(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    chosen = first_by_hash(docs, "doc_id")
-    # The centres' texts are picked before the model runs.
-    centres = encode(docs.join(F.broadcast(chosen), "doc_id", "left_semi"),
-                     HashedBagEncoder(sql.DIM))
-    return VectorIndex.build(doc_vectors(spark, sf_dir), centroids_of(centres, chosen))
+class Inputs:
+    """Collection, queries and their vectors; vectors are encoded and written once."""
+
+    def __init__(self, spark, sf_dir):
+        self.documents = documents(spark, sf_dir)
+        self.questions = questions(spark, sf_dir)
+
+    @cached_property
+    def doc_vectors(self):
+        return materialize(encode(self.documents, HashedBagEncoder(sql.DIM)), "vectors")
+
+    @cached_property
+    def query_vectors(self):
+        encoded = encode(self.questions, HashedBagEncoder(sql.DIM), "query_id")
+        return materialize(encoded, "vectors")
 
+    @cached_property
+    def index(self):
+        chosen = first_by_hash(self.documents, "doc_id")
+        return VectorIndex.build(self.doc_vectors, centroids_of(self.doc_vectors, chosen))
 
-def bm25_stage(spark, sf_dir):
-    return Bm25Stage(LexicalIndex.build(documents(spark, sf_dir)))
 
+def bm25_stage(given: Inputs):
+    return Bm25Stage(LexicalIndex.build(given.documents))
 
-def cosine_stage(spark, sf_dir):
-    return CosineStage(doc_vectors(spark, sf_dir), query_vectors(spark, sf_dir))
 
+def cosine_stage(given: Inputs):
+    return CosineStage(given.doc_vectors, given.query_vectors)
 
-def approx_stage(spark, sf_dir):
-    return ApproxStage(text_index(spark, sf_dir), query_vectors(spark, sf_dir), NPROBE)
 
+def approx_stage(given: Inputs):
+    return ApproxStage(given.index, given.query_vectors, NPROBE)
 
-def model_stage(spark, sf_dir):
-    return ModelStage(documents(spark, sf_dir), TokenOverlapScorer(), "overlap")
 
+def model_stage(given: Inputs):
+    return ModelStage(given.documents, TokenOverlapScorer(), "overlap")
 
-def chain(spark, sf_dir, *stages, depths) -> DataFrame:
-    made = [stage(spark, sf_dir) for stage in stages]
-    return Ranking(made).retrieve(questions(spark, sf_dir), depths)
+
+def chain(spark, sf_dir, *stages, depths, candidates=None) -> DataFrame:
+    given = Inputs(spark, sf_dir)
+    ranking = Ranking([stage(given) for stage in stages])
+    return ranking.retrieve(given.questions, depths, candidates)
 
 
 def bought(spark, sf_dir) -> DataFrame:
@@ -336,12 +347,6 @@ def all_ids(spark, sf_dir):
     return corpus.all_ids(labels(spark, sf_dir), documents(spark, sf_dir), vectors(spark, sf_dir))
 
 
-@query(sql.SHARED_CANDIDATES)
-def shared_candidates(spark, sf_dir):
-    """The labelled documents as candidates of every query."""
-    return corpus.query_lists(questions(spark, sf_dir), labels(spark, sf_dir))
-
-
 # Files --------------------------------------------------------------------------------------
 
 
@@ -490,20 +495,44 @@ def bm25_top1000(spark, sf_dir):
     return LexicalIndex.build(documents(spark, sf_dir)).search(questions(spark, sf_dir), 1000)
 
 
+def _by_vector(spark, sf_dir, k):
+    """Lexical index, queries, and what a vector search gives to re-rank."""
+    given = Inputs(spark, sf_dir)
+    found = cosine_stage(given).search(given.questions, None, k)
+    return LexicalIndex.build(given.documents), given.questions, materialize(found, "stage")
+
+
 @query(sql.BM25_RERANK_PADDED)
 def bm25_rerank_padded(spark, sf_dir):
-    """Labelled documents re-ranked; those without a matching term stay with score 0."""
-    index = LexicalIndex.build(documents(spark, sf_dir))
-    candidates = corpus.query_lists(questions(spark, sf_dir), labels(spark, sf_dir))
-    return index.rerank(questions(spark, sf_dir), materialize(candidates, "candidates"), 500)
+    """Documents found by vector; those without a matching term stay with score 0."""
+    index, asked, candidates = _by_vector(spark, sf_dir, 500)
+    return index.rerank(asked, candidates, 500)
 
 
 @query(sql.BM25_RERANK_MATCHED)
 def bm25_rerank_matched(spark, sf_dir):
-    index = LexicalIndex.build(documents(spark, sf_dir))
-    candidates = corpus.query_lists(questions(spark, sf_dir), labels(spark, sf_dir))
-    candidates = materialize(candidates, "candidates")
-    return index.rerank(questions(spark, sf_dir), candidates, 500, pad_zero=False)
+    index, asked, candidates = _by_vector(spark, sf_dir, 500)
+    return index.rerank(asked, candidates, 500, pad_zero=False)
+
+
+@query(sql.BM25_IN_POOL)
+def bm25_in_pool(spark, sf_dir):
+    """Search in the labelled documents only, with statistics of the whole collection."""
+    return chain(spark, sf_dir, bm25_stage, depths=[10], candidates=_pool(spark, sf_dir))
+
+
+@query(sql.TEXT_COSINE_IN_POOL)
+def cosine_in_pool(spark, sf_dir):
+    return chain(spark, sf_dir, cosine_stage, depths=[10], candidates=_pool(spark, sf_dir))
+
+
+@query(sql.MODEL_IN_POOL)
+def cross_encoder_in_pool(spark, sf_dir):
+    return chain(spark, sf_dir, model_stage, depths=[10], candidates=_pool(spark, sf_dir))
+
+
+def _pool(spark, sf_dir):
+    return labels(spark, sf_dir).select("doc_id").distinct()
 
 
 @query(sql.COSINE_TOP100)
@@ -707,6 +736,7 @@ def metrics_mean(spark, sf_dir):
 
 
 def _experiment(spark, sf_dir):
+    given = Inputs(spark, sf_dir)
     judged = materialize(pooled_qrels(spark, sf_dir), "qrels")
     qrels = judged.select(
         "query_id", "doc_id",
@@ -716,12 +746,12 @@ def _experiment(spark, sf_dir):
         )).alias("j"),
     ).select("j.qrels_name", "query_id", "doc_id", "j.rel")
     rankings = [
-        Ranking([bm25_stage(spark, sf_dir), cosine_stage(spark, sf_dir)]),
-        Ranking([approx_stage(spark, sf_dir), cosine_stage(spark, sf_dir)]),
+        Ranking([bm25_stage(given), cosine_stage(given)]),
+        Ranking([approx_stage(given), cosine_stage(given)]),
     ]
     sets = {name: qrels.filter(F.col("qrels_name") == name)
             for name in ("qrels.good.tsv", "qrels.clean.tsv")}
-    runs = run_experiments(rankings, [1000, 100], sets, questions(spark, sf_dir), [100, 10])
+    runs = run_experiments(rankings, [1000, 100], sets, given.questions, [100, 10])
     return runs, qrels
 
 

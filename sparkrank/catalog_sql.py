@@ -278,10 +278,6 @@ ALL_IDS = (
     "SELECT doc_id FROM labels UNION SELECT doc_id FROM documents"
     " UNION SELECT vec_id FROM embeddings"
 )
-SHARED_CANDIDATES = (
-    "SELECT item_id AS query_id, doc_id, CAST(row_number() OVER (PARTITION BY item_id"
-    " ORDER BY doc_id) AS INT) AS rank FROM benchmark, (SELECT DISTINCT doc_id FROM labels)"
-)
 
 # Files.
 _FLAT = f"regexp_replace(text, '{BREAKS}', ' ', 'g')"
@@ -420,23 +416,25 @@ def _second_bm25(first: str, k1: int, k2: int) -> str:
     )
 
 
-def _labelled(join: str) -> str:
+def _pooled(scores: str) -> str:
+    """The best ten of the labelled documents."""
     return _with(
-        "bm",
-        "SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 500",
-        c="SELECT item_id AS query_id, l.doc_id FROM benchmark, (SELECT DISTINCT doc_id FROM"
-          " labels) l JOIN documents d ON d.doc_id = l.doc_id",
-        r="SELECT c.query_id, c.doc_id, coalesce(bm.score, 0) AS score, CAST(row_number() OVER"
-          " (PARTITION BY c.query_id ORDER BY coalesce(bm.score, 0) DESC, c.doc_id) AS INT)"
-          f" AS rank FROM c {join} JOIN bm ON bm.query_id = c.query_id AND bm.doc_id = c.doc_id",
+        scores,
+        "SELECT query_id, doc_id, score, rank FROM pooled WHERE rank <= 10",
+        pooled="SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id"
+               f" ORDER BY score DESC NULLS LAST, doc_id) AS INT) AS rank FROM {scores}"
+               " WHERE doc_id IN (SELECT doc_id FROM labels)",
     )
 
 
 BM25_TOP10 = _top("bmr", 10)
 BM25_TOP1000 = _top("bmr", 1000)
 RANK_CUTOFF = _top("bmr", 3)
-BM25_RERANK_PADDED = _labelled("LEFT")
-BM25_RERANK_MATCHED = _labelled("")
+BM25_RERANK_PADDED = _second_bm25("tcosr", 500, 500)
+BM25_RERANK_MATCHED = _second("tcosr", 500, "bm", 500)
+BM25_IN_POOL = _pooled("bm")
+TEXT_COSINE_IN_POOL = _pooled("tcos")
+MODEL_IN_POOL = _pooled("mod")
 COSINE_TOP100 = _top("ecosr", 100)
 COSINE_TOP10 = _top("ecosr", 10)
 _VISITED = (

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 
@@ -39,11 +39,15 @@ class TokenOverlapScorer:
     """Loader of a pairwise scorer: share of the query's distinct tokens found in the passage."""
 
     def __call__(self):
+        @lru_cache(maxsize=4096)
+        def tokens(text: str) -> frozenset[str]:
+            return frozenset(text.split())
+
         def score(queries: Sequence[str], passages: Sequence[str]) -> list[float]:
             out = []
             for query, passage in zip(queries, passages, strict=True):
-                asked = set(query.split())
-                out.append(len(asked & set(passage.split())) / len(asked) if asked else 0.0)
+                asked = tokens(query)
+                out.append(len(asked & tokens(passage)) / len(asked) if asked else 0.0)
             return out
 
         return score

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.ranking import round_score
 from ..functions.vectors import cosine, l2_norm
 from ..session import ship_package
-from .corpus import with_vectors
+from .corpus import restrict, with_vectors
 from .dense import collect_block, pair_vectors
 from .joins import hinted
 from .scan import TILE, best_rows, rounded, unit_rows, vector_matrix
@@ -136,8 +136,13 @@ class VectorIndex:
         queries = with_vectors(query_vectors).select("query_id", "embedding")
         return nearest_cells(queries, self.centroids, nprobe)
 
-    def search(self, query_vectors: DataFrame, k: int, nprobe: int) -> DataFrame:
-        """The ``k`` nearest documents within the probed cells, by exact cosine."""
+    def search(
+        self, query_vectors: DataFrame, k: int, nprobe: int, within: DataFrame | None = None
+    ) -> DataFrame:
+        """The ``k`` nearest documents within the probed cells, by exact cosine.
+
+        ``within(doc_id)`` limits the documents looked at.
+        """
         probed = self.probes(query_vectors, nprobe)
         id_type = probed.schema["query_id"].dataType
         context = ship_package(self.cells.sparkSession)
@@ -150,7 +155,7 @@ class VectorIndex:
             lists = vector_matrix(block.column("cells")).astype(np.int64)
             visitors = {int(c): np.nonzero((lists == c).any(axis=1))[0] for c in np.unique(lists)}
             shared = context.broadcast((matrix, visitors))
-            documents = self.cells
+            documents = restrict(self.cells, within)
             if self.saved:
                 wanted = part.select(F.explode("cells").alias("cell")).distinct()
                 documents = documents.join(F.broadcast(wanted), "cell", "left_semi")

@@ -55,18 +55,3 @@ def all_ids(*tables: DataFrame, on: str = "doc_id") -> DataFrame:
     for table in tables[1:]:
         ids = ids.union(table.select(on))
     return ids.distinct()
-
-
-def query_lists(queries: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """The same documents as candidates of every query, in id order.
-
-    For pools of chosen documents (a fixed sample to re-rank), not for whole collections:
-    stages search a whole collection when they are given no candidates.
-    """
-    if not fits(doc_ids.select("doc_id")):
-        raise ValueError("too many shared candidates; search the collection instead")
-    listed = doc_ids.select("doc_id").agg(F.sort_array(F.collect_set("doc_id")).alias("ids"))
-    ids = listed.select("ids").scalar()
-    return queries.select("query_id", F.posexplode(ids).alias("pos", "doc_id")).select(
-        "query_id", "doc_id", (F.col("pos") + 1).alias("rank")
-    )

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import fits
-
 # Copies of a hot key's rows are spread over this many sub-keys.
 SALTS = 32
 
@@ -15,15 +13,6 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def join_measured(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join in place if ``small`` is measured to fit a broadcast, else by shuffle.
-
-    The shuffled form is left to adaptive execution, which splits oversized keys.
-    ``small`` should be cheap to read twice: a file or a materialized step.
-    """
-    return big.join(hinted(small, fits(small)), on, how)
-
-
 def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str, salts: int = SALTS):
     """Shuffled inner join on ``key`` where one key may hold much of ``big``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import round_score
 from ..functions.text import B, K1, bm25_idf, bm25_weight, term_counts, tokenize
 from ..sources.scratch import materialize
+from .corpus import restrict
 from .joins import hinted, salted_join
 from .sizing import fits, over_waves
 from .topk import ranking_order, top_k
@@ -44,6 +45,19 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return counted.select("query_id", "term", F.col("tf").alias("qtf"))
 
 
+def _corpus_stats(docs: DataFrame) -> DataFrame:
+    """One row ``(n, avgdl)``; empty documents count in both."""
+    return docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+
+
+def _stat(stats: DataFrame, name: str) -> Column:
+    return stats.select(F.struct("n", "avgdl")).scalar().getField(name)
+
+
+def _summed(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("query_id", "doc_id").agg(round_score(F.sum("score")).alias("score"))
+
+
 @dataclass(frozen=True)
 class LexicalIndex:
     """Term statistics of a whole collection.
@@ -66,13 +80,10 @@ class LexicalIndex:
     @classmethod
     def build(cls, collection: DataFrame, k1: float = K1, b: float = B) -> LexicalIndex:
         """Statistics of ``collection(doc_id, text)``; ids must be unique (see ``keep_last``)."""
-        require_rows(collection.select("doc_id"), "documents")
         postings = _exploded(term_vectors(collection, "doc_id"))
         docs = collection.select("doc_id", F.size(tokenize(F.col("text"))).alias("dl"))
-        # Empty documents count in both the number and the mean.
-        stats = docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
         terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-        return cls(postings, docs, terms, stats, collection, False, k1, b)
+        return cls(postings, docs, terms, _corpus_stats(docs), collection, False, k1, b)
 
     def save(self, path: str, name: str, buckets: int) -> LexicalIndex:
         """Write the statistics under ``path``; postings go to table ``name``.
@@ -82,6 +93,7 @@ class LexicalIndex:
         and are unrolled into postings where they arrive.
         """
         spark = self.docs.sparkSession
+        require_rows(self.collection.select("doc_id"), "documents")
         counted = term_vectors(self.collection, "doc_id").repartition(buckets, "doc_id")
         (
             _exploded(counted.sortWithinPartitions("doc_id"))
@@ -95,9 +107,7 @@ class LexicalIndex:
         written = postings.groupBy("term").agg(F.count("*").alias("df"))
         written.write.parquet(f"{path}/terms")
         self.docs.write.parquet(f"{path}/docs")
-        spark.read.parquet(f"{path}/docs").agg(
-            F.count("*").alias("n"), F.avg("dl").alias("avgdl")
-        ).write.parquet(f"{path}/stats")
+        _corpus_stats(spark.read.parquet(f"{path}/docs")).write.parquet(f"{path}/stats")
         return self._opened(spark, path, name, self.k1, self.b)
 
     @classmethod
@@ -123,84 +133,92 @@ class LexicalIndex:
             None, True, k1, b,
         )
 
-    def _stat(self, name: str) -> Column:
-        return self.stats.select(F.struct("n", "avgdl")).scalar().getField(name)
-
     def term_stats(self) -> DataFrame:
         """``(term, df, idf)`` of every term of the collection."""
-        return self.terms.select("term", "df", bm25_idf(self._stat("n"), F.col("df")).alias("idf"))
+        n = _stat(self.stats, "n")
+        return self.terms.select("term", "df", bm25_idf(n, F.col("df")).alias("idf"))
 
-    def _matched(self, wanted: DataFrame, small: bool) -> DataFrame:
-        """Postings of the wanted terms.
+    def _found(self, wanted: DataFrame, small: bool) -> LexicalIndex:
+        """The index cut down to the wanted terms, with statistics of the whole collection.
 
         Without saved postings the texts are scanned once: tokens that no query asks for are
-        dropped before they are counted, and what is left is written, since both the document
-        frequencies and the scores are taken from it.
+        dropped before they are counted, and what is left is written, since document
+        frequencies and scores are both taken from it. Every document also leaves a row under
+        the empty term, which no text holds, so the same scan gives the number of documents and
+        their mean length.
         """
         if self.collection is None:
-            return self.postings.join(hinted(wanted, small), "term", "left_semi")
+            listed = hinted(wanted, small)
+            return replace(
+                self,
+                postings=self.postings.join(listed, "term", "left_semi"),
+                terms=self.terms.join(listed, "term", "left_semi"),
+            )
+        own = self.collection.sparkSession.range(1).select(F.lit("").alias("term"))
         tokens = self.collection.select("doc_id", tokenize(F.col("text")).alias("_tokens"))
-        rows = tokens.select("doc_id", F.size("_tokens").alias("dl"), F.explode_outer("_tokens"))
-        rows = rows.withColumnRenamed("col", "term")
-        found = rows.join(hinted(wanted, small), "term", "left_semi")
-        counted = found.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-        return materialize(counted, "postings")
-
-    def _weights(
-        self, terms: DataFrame, matched: DataFrame, wanted: DataFrame, small: bool
-    ) -> DataFrame:
-        """``(query_id, term, weight)``: idf times multiplicity; unknown terms drop out."""
-        if self.collection is None:
-            counts = self.terms.join(hinted(wanted, small), "term", "left_semi")
-        else:
-            counts = matched.groupBy("term").agg(F.count("*").alias("df"))
-        idf = bm25_idf(self._stat("n"), F.col("df"))
-        return terms.join(counts, "term").select(
-            "query_id", "term", (idf * F.col("qtf")).alias("weight")
+        rows = tokens.select(
+            "doc_id",
+            F.size("_tokens").alias("dl"),
+            F.explode(F.array_append("_tokens", F.lit(""))).alias("term"),
         )
-
-    def _score(self) -> Column:
-        weight = bm25_weight(
-            F.col("weight"), F.col("tf"), F.col("dl"), self._stat("avgdl"), self.k1, self.b
+        kept = rows.join(hinted(wanted.union(own), small), "term", "left_semi")
+        counted = kept.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+        written = materialize(counted, "postings")
+        require_rows(written, "documents")
+        postings = written.filter(F.col("term") != "")
+        docs = written.filter(F.col("term") == "").select("doc_id", "dl")
+        return replace(
+            self,
+            postings=postings,
+            docs=docs,
+            terms=postings.groupBy("term").agg(F.count("*").alias("df")),
+            stats=_corpus_stats(docs),
         )
-        return round_score(F.sum(weight)).alias("score")
-
-    def contributions(self, queries: DataFrame) -> DataFrame:
-        """``(query_id, doc_id, term, weight)``: what every matching term adds to a score."""
 
-        def part(terms: DataFrame, small: bool) -> DataFrame:
-            hits = self._hits(terms, small)
-            weight = bm25_weight(
-                F.col("weight"), F.col("tf"), F.col("dl"), self._stat("avgdl"), self.k1, self.b
-            )
-            return hits.select("query_id", "doc_id", "term", round_score(weight).alias("weight"))
+    def _weights(self, terms: DataFrame) -> DataFrame:
+        """``(query_id, term, weight)``: idf times multiplicity; unknown terms drop out."""
+        idf = bm25_idf(_stat(self.stats, "n"), F.col("df"))
+        return terms.join(self.terms, "term").select(
+            "query_id", "term", (idf * F.col("qtf")).alias("weight")
+        )
 
-        return over_waves(query_terms(queries), "query_id", part)
+    def _weight(self) -> Column:
+        avgdl = _stat(self.stats, "avgdl")
+        return bm25_weight(F.col("weight"), F.col("tf"), F.col("dl"), avgdl, self.k1, self.b)
 
-    def _hits(self, terms: DataFrame, small: bool) -> DataFrame:
-        wanted = terms.select("term").distinct()
-        matched = self._matched(wanted, small)
-        weights = self._weights(terms, matched, wanted, small)
+    def _hits(self, terms: DataFrame, small: bool, within: DataFrame | None = None) -> DataFrame:
+        """``(query_id, doc_id, term, score)``: what every matching term adds to a score."""
+        found = self._found(terms.select("term").distinct(), small)
+        postings = restrict(found.postings, within)
+        weights = found._weights(terms)
         if not small:
-            return salted_join(matched, weights, "term", "doc_id")
-        if not self.clustered:
-            # Only postings of query terms move, and they move once: scores are then summed
-            # and cut to the best k where the document is, before pairs are shuffled.
-            matched = matched.repartition("doc_id")
-        return matched.join(F.broadcast(weights), "term")
+            hits = salted_join(postings, weights, "term", "doc_id")
+        else:
+            if not self.clustered:
+                # Only postings of query terms move, and they move once: scores are then summed
+                # and cut to the best k where the document is, before pairs are shuffled.
+                postings = postings.repartition("doc_id")
+            hits = postings.join(F.broadcast(weights), "term")
+        return hits.select("query_id", "doc_id", "term", found._weight().alias("score"))
+
+    def contributions(self, queries: DataFrame) -> DataFrame:
+        """``(query_id, doc_id, term, weight)`` of every matching term."""
+        return over_waves(query_terms(queries), "query_id", self._hits).select(
+            "query_id", "doc_id", "term", round_score(F.col("score")).alias("weight")
+        )
 
     def scores(self, queries: DataFrame) -> DataFrame:
         """``(query_id, doc_id, score)`` of every document that shares a term with the query."""
-        return over_waves(query_terms(queries), "query_id", self._wave_scores)
-
-    def _wave_scores(self, terms: DataFrame, small: bool) -> DataFrame:
-        return self._hits(terms, small).groupBy("query_id", "doc_id").agg(self._score())
+        return over_waves(
+            query_terms(queries), "query_id", lambda terms, small: _summed(self._hits(terms, small))
+        )
 
-    def search(self, queries: DataFrame, k: int) -> DataFrame:
-        """The ``k`` best documents of the whole collection for every query."""
+    def search(self, queries: DataFrame, k: int, within: DataFrame | None = None) -> DataFrame:
+        """The ``k`` best documents for every query, of the whole collection or of the ids in
+        ``within(doc_id)``."""
 
         def best(terms: DataFrame, small: bool) -> DataFrame:
-            scored = self._wave_scores(terms, small)
+            scored = _summed(self._hits(terms, small, within))
             return top_k(scored, ["query_id"], ranking_order(scored), k)
 
         return over_waves(query_terms(queries), "query_id", best).select(
@@ -224,17 +242,16 @@ class LexicalIndex:
         few = fits(pairs)
         terms = query_terms(queries)
         small = fits(terms)
-        wanted = terms.select("term").distinct()
-        matched = self._matched(wanted, small)
-        weights = self._weights(terms, matched, wanted, small)
-        pair_terms = pairs.select("query_id", "doc_id").join(hinted(weights, small), "query_id")
-        sums = (
-            matched.join(hinted(ids, few), "doc_id", "left_semi")
+        found = self._found(terms.select("term").distinct(), small)
+        weights = hinted(found._weights(terms), small)
+        pair_terms = pairs.select("query_id", "doc_id").join(weights, "query_id")
+        hits = (
+            found.postings.join(hinted(ids, few), "doc_id", "left_semi")
             .join(pair_terms, ["doc_id", "term"])
-            .groupBy("query_id", "doc_id")
-            .agg(self._score())
+            .select("query_id", "doc_id", found._weight().alias("score"))
         )
-        known = self.docs.join(hinted(ids, few), "doc_id", "left_semi").select("doc_id")
+        sums = _summed(hits)
+        known = found.docs.join(hinted(ids, few), "doc_id", "left_semi").select("doc_id")
         scored = pairs.join(known, "doc_id").join(
             sums, ["query_id", "doc_id"], "left" if pad_zero else "inner"
         )

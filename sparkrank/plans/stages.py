@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.approx import VectorIndex
+from ..operators.corpus import restrict
 from ..operators.dense import cosine_rerank, cosine_search
 from ..operators.lexical import LexicalIndex
 from ..operators.models import BATCH, model_rerank, model_search
@@ -20,8 +21,9 @@ from ..sources.scratch import materialize
 class Stage(Protocol):
     """``search`` ranks for all queries at once: ``(query_id, doc_id, score, rank)``.
 
-    ``candidates=None`` means the whole collection. Any object with this method and a
-    ``label`` can be used as a stage.
+    ``candidates`` are pairs ``(query_id, doc_id[, rank])``, or ids ``(doc_id)`` that are
+    candidates of every query, or None for the whole collection. Any object with this method
+    and a ``label`` can be used as a stage.
     """
 
     label: str
@@ -31,6 +33,11 @@ class Stage(Protocol):
     ) -> DataFrame: ...
 
 
+def _shared(candidates: DataFrame | None) -> bool:
+    """No pairs are made where all queries look through the same documents."""
+    return candidates is None or "query_id" not in candidates.columns
+
+
 def _texts(queries: DataFrame) -> DataFrame:
     """Texts of the queries asked; a query without one is an error."""
     return queries.select("query_id", required(F.col("text"), F.col("query_id")).alias("text"))
@@ -45,8 +52,8 @@ class Bm25Stage:
         return f"BM25({self.index.k1}-{self.index.b})"
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
-        if candidates is None:
-            return self.index.search(_texts(queries), k)
+        if _shared(candidates):
+            return self.index.search(_texts(queries), k, candidates)
         return self.index.rerank(_texts(queries), candidates, k)
 
 
@@ -58,8 +65,8 @@ class CosineStage:
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
         wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
-        if candidates is None:
-            return cosine_search(self.doc_vectors, wanted, k)
+        if _shared(candidates):
+            return cosine_search(restrict(self.doc_vectors, candidates), wanted, k)
         return cosine_rerank(candidates, self.doc_vectors, wanted, k)
 
 
@@ -80,9 +87,11 @@ class ApproxStage:
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
         wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
-        if candidates is not None and self.respect_candidates:
-            return self.index.rerank(candidates, wanted, k, self.nprobe)
-        return self.index.search(wanted, k, self.nprobe)
+        if not self.respect_candidates:
+            return self.index.search(wanted, k, self.nprobe)
+        if _shared(candidates):
+            return self.index.search(wanted, k, self.nprobe, candidates)
+        return self.index.rerank(candidates, wanted, k, self.nprobe)
 
 
 @dataclass(frozen=True)
@@ -100,8 +109,9 @@ class ModelStage:
 
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
         asked = _texts(queries)
-        if candidates is None:
-            return model_search(self.collection, asked, self.loader, k, self.batch_size)
+        if _shared(candidates):
+            passages = restrict(self.collection, candidates)
+            return model_search(passages, asked, self.loader, k, self.batch_size)
         return model_rerank(self.collection, asked, candidates, self.loader, k, self.batch_size)
 
 
