@@ -407,6 +407,19 @@ def read_vectors(spark, sf_dir):
     return rows.select("query_id", "pos", round_score(F.col("x")).alias("x"))
 
 
+@query(sql.ENCODED_FILE)
+def encoded_collection_file(spark, sf_dir):
+    """Collection and id list from files, listed texts encoded, vectors written and read."""
+    rows = documents(spark, sf_dir).withColumn("text", _one_line(F.col("text")))
+    listed = _tsv(labels(spark, sf_dir).select(F.col("doc_id").cast("string")))
+    path = scratch_path(spark, "vectors")
+    texts = readers.read_collection(spark, _tsv(rows), listed)
+    writers.write_vectors(encode(texts, HashedBagEncoder(sql.DIM)), path)
+    back = readers.read_vectors(spark, path, "doc_id")
+    back = back.select("doc_id", F.posexplode("embedding").alias("pos", "x"))
+    return back.select("doc_id", "pos", F.col("x").cast("double").alias("x"))
+
+
 def _qrels_file(spark, sf_dir) -> str:
     """Judgment lines by order, line and grade; a pair may be judged again."""
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",

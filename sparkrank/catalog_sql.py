@@ -250,6 +250,9 @@ ENCODED_DOCUMENTS = _with("dvec", _UNROLLED.format(where=""))
 ENCODED_SUBSET = _with(
     "dvec", _UNROLLED.format(where=" WHERE doc_id IN (SELECT doc_id FROM labels)")
 )
+ENCODED_FILE = ENCODED_SUBSET.replace(
+    "SELECT doc_id, CAST(pos", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(pos"
+)
 NEAREST_CELLS = _with(
     "eplace", f"SELECT id AS query_id, place, cell FROM eplace WHERE place <= {NPROBE}"
 )

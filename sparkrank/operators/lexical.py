@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ..functions.text import B, K1, bm25_idf, bm25_weight, term_counts, tokenize
 from ..sources.scratch import materialize
 from .corpus import restrict
 from .joins import hinted, salted_join
-from .sizing import fits, over_waves
+from .sizing import fits, union_all, waves
 from .topk import ranking_order, top_k
 from .validate import require_rows
 
@@ -186,11 +187,24 @@ class LexicalIndex:
         avgdl = _stat(self.stats, "avgdl")
         return bm25_weight(F.col("weight"), F.col("tf"), F.col("dl"), avgdl, self.k1, self.b)
 
+    def _over_waves(
+        self, queries: DataFrame, step: Callable[[LexicalIndex, DataFrame, bool], DataFrame]
+    ) -> DataFrame:
+        """``step(found, terms, fits)`` for every broadcastable part of the query terms.
+
+        However many parts there are, the texts are scanned once for all terms asked.
+        """
+        terms = query_terms(queries)
+        parts = list(waves(terms, "query_id"))
+        wanted = terms.select("term").distinct()
+        small = (len(parts) == 1 and parts[0][1]) or fits(wanted)
+        found = self._found(wanted, small)
+        return union_all([step(found, part, part_fits) for part, part_fits in parts])
+
     def _hits(self, terms: DataFrame, small: bool, within: DataFrame | None = None) -> DataFrame:
         """``(query_id, doc_id, term, score)``: what every matching term adds to a score."""
-        found = self._found(terms.select("term").distinct(), small)
-        postings = restrict(found.postings, within)
-        weights = found._weights(terms)
+        postings = restrict(self.postings, within)
+        weights = self._weights(terms)
         if not small:
             hits = salted_join(postings, weights, "term", "doc_id")
         else:
@@ -199,31 +213,29 @@ class LexicalIndex:
                 # and cut to the best k where the document is, before pairs are shuffled.
                 postings = postings.repartition("doc_id")
             hits = postings.join(F.broadcast(weights), "term")
-        return hits.select("query_id", "doc_id", "term", found._weight().alias("score"))
+        return hits.select("query_id", "doc_id", "term", self._weight().alias("score"))
 
     def contributions(self, queries: DataFrame) -> DataFrame:
         """``(query_id, doc_id, term, weight)`` of every matching term."""
-        return over_waves(query_terms(queries), "query_id", self._hits).select(
+        return self._over_waves(queries, LexicalIndex._hits).select(
             "query_id", "doc_id", "term", round_score(F.col("score")).alias("weight")
         )
 
     def scores(self, queries: DataFrame) -> DataFrame:
         """``(query_id, doc_id, score)`` of every document that shares a term with the query."""
-        return over_waves(
-            query_terms(queries), "query_id", lambda terms, small: _summed(self._hits(terms, small))
+        return self._over_waves(
+            queries, lambda found, terms, small: _summed(found._hits(terms, small))
         )
 
     def search(self, queries: DataFrame, k: int, within: DataFrame | None = None) -> DataFrame:
         """The ``k`` best documents for every query, of the whole collection or of the ids in
         ``within(doc_id)``."""
 
-        def best(terms: DataFrame, small: bool) -> DataFrame:
-            scored = _summed(self._hits(terms, small, within))
+        def best(found: LexicalIndex, terms: DataFrame, small: bool) -> DataFrame:
+            scored = _summed(found._hits(terms, small, within))
             return top_k(scored, ["query_id"], ranking_order(scored), k)
 
-        return over_waves(query_terms(queries), "query_id", best).select(
-            "query_id", "doc_id", "score", "rank"
-        )
+        return self._over_waves(queries, best).select("query_id", "doc_id", "score", "rank")
 
     def rerank(
         self, queries: DataFrame, candidates: DataFrame, k: int, pad_zero: bool = True
