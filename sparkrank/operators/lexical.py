@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from functools import cached_property
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from ..functions.ranking import round_score
 from ..functions.text import B, K1, bm25_idf, bm25_weight, term_counts, tokenize
 from ..sources.scratch import materialize
 from .corpus import restrict
+from .dense import collect_block
 from .joins import hinted, salted_join
+from .lexical_scan import best_documents, wanted_counts, weight_blocks
 from .sizing import fits, union_all, waves
 from .topk import ranking_order, top_k
 from .validate import require_rows
@@ -59,32 +63,45 @@ def _summed(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id", "doc_id").agg(round_score(F.sum("score")).alias("score"))
 
 
-@dataclass(frozen=True)
 class LexicalIndex:
     """Term statistics of a whole collection.
 
     ``postings(doc_id, dl, term, tf)``, ``docs(doc_id, dl)``, ``terms(term, df)`` and the
-    one-row ``stats(n, avgdl)``. Built lazily from a collection, or loaded from saved tables.
-    ``clustered`` says that all postings of a document lie in one partition already;
-    ``collection`` is kept while no postings are saved.
+    one-row ``stats(n, avgdl)``. Derived lazily from ``collection(doc_id, text)``, or opened
+    from saved tables; then all postings of a document lie in one partition (``clustered``).
     """
 
-    postings: DataFrame
-    docs: DataFrame
-    terms: DataFrame
-    stats: DataFrame
-    collection: DataFrame | None = None
-    clustered: bool = False
-    k1: float = K1
-    b: float = B
+    def __init__(
+        self,
+        collection: DataFrame | None = None,
+        clustered: bool = False,
+        k1: float = K1,
+        b: float = B,
+        **tables: DataFrame,
+    ):
+        self.collection, self.clustered, self.k1, self.b = collection, clustered, k1, b
+        vars(self).update(tables)
 
     @classmethod
     def build(cls, collection: DataFrame, k1: float = K1, b: float = B) -> LexicalIndex:
         """Statistics of ``collection(doc_id, text)``; ids must be unique (see ``keep_last``)."""
-        postings = _exploded(term_vectors(collection, "doc_id"))
-        docs = collection.select("doc_id", F.size(tokenize(F.col("text"))).alias("dl"))
-        terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-        return cls(postings, docs, terms, _corpus_stats(docs), collection, False, k1, b)
+        return cls(collection, k1=k1, b=b)
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return _exploded(term_vectors(self.collection, "doc_id"))
+
+    @cached_property
+    def docs(self) -> DataFrame:
+        return self.collection.select("doc_id", F.size(tokenize(F.col("text"))).alias("dl"))
+
+    @cached_property
+    def terms(self) -> DataFrame:
+        return self.postings.groupBy("term").agg(F.count("*").alias("df"))
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return _corpus_stats(self.docs)
 
     def save(self, path: str, name: str, buckets: int) -> LexicalIndex:
         """Write the statistics under ``path``; postings go to table ``name``.
@@ -130,8 +147,13 @@ class LexicalIndex:
     def _opened(cls, spark, path, name, k1, b) -> LexicalIndex:
         read = spark.read.parquet
         return cls(
-            spark.table(name), read(f"{path}/docs"), read(f"{path}/terms"), read(f"{path}/stats"),
-            None, True, k1, b,
+            clustered=True,
+            k1=k1,
+            b=b,
+            postings=spark.table(name),
+            docs=read(f"{path}/docs"),
+            terms=read(f"{path}/terms"),
+            stats=read(f"{path}/stats"),
         )
 
     def term_stats(self) -> DataFrame:
@@ -150,10 +172,14 @@ class LexicalIndex:
         """
         if self.collection is None:
             listed = hinted(wanted, small)
-            return replace(
-                self,
+            return LexicalIndex(
+                clustered=self.clustered,
+                k1=self.k1,
+                b=self.b,
                 postings=self.postings.join(listed, "term", "left_semi"),
+                docs=self.docs,
                 terms=self.terms.join(listed, "term", "left_semi"),
+                stats=self.stats,
             )
         own = self.collection.sparkSession.range(1).select(F.lit("").alias("term"))
         tokens = self.collection.select("doc_id", tokenize(F.col("text")).alias("_tokens"))
@@ -166,14 +192,11 @@ class LexicalIndex:
         counted = kept.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
         written = materialize(counted, "postings")
         require_rows(written, "documents")
-        postings = written.filter(F.col("term") != "")
-        docs = written.filter(F.col("term") == "").select("doc_id", "dl")
-        return replace(
-            self,
-            postings=postings,
-            docs=docs,
-            terms=postings.groupBy("term").agg(F.count("*").alias("df")),
-            stats=_corpus_stats(docs),
+        return LexicalIndex(
+            k1=self.k1,
+            b=self.b,
+            postings=written.filter(F.col("term") != ""),
+            docs=written.filter(F.col("term") == "").select("doc_id", "dl"),
         )
 
     def _weights(self, terms: DataFrame) -> DataFrame:
@@ -230,13 +253,70 @@ class LexicalIndex:
     def search(self, queries: DataFrame, k: int, within: DataFrame | None = None) -> DataFrame:
         """The ``k`` best documents for every query, of the whole collection or of the ids in
         ``within(doc_id)``."""
+        if self.collection is not None:
+            terms = query_terms(queries)
+            parts = list(waves(terms, "query_id"))
+            wanted = terms.select("term").distinct()
+            if (len(parts) == 1 and parts[0][1]) or fits(wanted):
+                return self._scan(parts, wanted, k, within)
 
         def best(found: LexicalIndex, terms: DataFrame, small: bool) -> DataFrame:
-            scored = _summed(found._hits(terms, small, within))
-            return top_k(scored, ["query_id"], ranking_order(scored), k)
+            return found._best(terms, small, k, within)
 
         return self._over_waves(queries, best).select("query_id", "doc_id", "score", "rank")
 
+    def _best(
+        self, terms: DataFrame, small: bool, k: int, within: DataFrame | None
+    ) -> DataFrame:
+        scored = _summed(self._hits(terms, small, within))
+        return top_k(scored, ["query_id"], ranking_order(scored), k)
+
+    def _scan(
+        self,
+        parts: list[tuple[DataFrame, bool]],
+        wanted: DataFrame,
+        k: int,
+        within: DataFrame | None,
+    ) -> DataFrame:
+        """Search the texts themselves, for measured parts of the query terms.
+
+        The counts of the wanted terms are written once per document. Document frequencies,
+        corpus statistics and all scores come from them, without moving a posting.
+        """
+        blocks = [collect_block(part) if small else None for part, small in parts]
+        if len(blocks) == 1:
+            vocabulary = pc.unique(blocks[0].column("term"))
+        else:
+            vocabulary = collect_block(wanted).column("term").combine_chunks()
+        counts = materialize(wanted_counts(self.collection, vocabulary), "counts")
+        stats = _corpus_stats(counts).first()
+        if stats["n"] == 0:
+            raise ValueError("no documents found")
+        df = np.zeros(len(vocabulary))
+        seen = counts.select(F.explode("terms").alias("term")).groupBy("term").count()
+        seen = collect_block(seen)
+        df[seen.column("term").to_numpy()] = seen.column("count").to_numpy()
+        idf = np.where(df > 0, np.log((stats["n"] - df + 0.5) / (df + 0.5) + 1.0), 0.0)
+        documents = restrict(counts, within)
+        id_type = parts[0][0].schema["query_id"].dataType
+        lists = []
+        for (part, _), block in zip(parts, blocks, strict=True):
+            if block is None:
+                lists.append(self._found(wanted, True)._best(part, False, k, within))
+                continue
+            ids = block.column("query_id").combine_chunks().dictionary_encode()
+            term = pc.index_in(block.column("term").combine_chunks(), value_set=vocabulary)
+            term = term.to_numpy()
+            weight = idf[term] * block.column("qtf").to_numpy()
+            grouped = weight_blocks(
+                ids.indices.to_numpy(), term, weight, len(ids.dictionary), len(vocabulary)
+            )
+            found = best_documents(
+                documents, ids.dictionary, id_type, grouped, k, stats["avgdl"], self.k1, self.b
+            )
+            lists.append(top_k(found, ["query_id"], ranking_order(found), k))
+        return union_all(lists).select("query_id", "doc_id", "score", "rank")
+
     def rerank(
         self, queries: DataFrame, candidates: DataFrame, k: int, pad_zero: bool = True
     ) -> DataFrame:

@@ -54,19 +54,29 @@ def positions_by_id(ids: pa.Array) -> np.ndarray:
 
 
 def select_best(
-    scores: np.ndarray, queries: np.ndarray, places: np.ndarray, k: int, floor: np.ndarray
+    scores: np.ndarray,
+    queries: np.ndarray,
+    places: np.ndarray,
+    k: int,
+    floor: np.ndarray,
+    skip_missing: bool = False,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query index, column, score) of the k best columns per row of rounded ``scores``.
 
     Ties go to the smaller id. ``floor[query]`` is a k-th best score seen before: rows below it
-    cannot be among the best k, and it is raised by what this batch shows. NaN ranks last.
+    cannot be among the best k, and it is raised by what this batch shows. NaN ranks last, or is
+    left out with ``skip_missing``.
     """
     scores = np.where(np.isnan(scores), -np.inf, scores)
     width = scores.shape[1]
     if width >= k:
         kth = np.partition(scores, width - k, axis=1)[:, width - k]
         floor[queries] = np.maximum(floor[queries], kth)
-    rows, cols = np.nonzero(scores >= floor[queries][:, None])
+    floors = floor[queries]
+    if skip_missing:
+        # Even where nothing better is known, missing scores are no candidates.
+        floors = np.maximum(floors, np.finfo(np.float64).min)
+    rows, cols = np.nonzero(scores >= floors[:, None])
     values = scores[rows, cols]
     order = np.lexsort((places[cols], -values, rows))
     rows, cols, values = rows[order], cols[order], values[order]
@@ -81,10 +91,12 @@ def best_rows(
     id_type: T.DataType,
     k: int,
     score_batches: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
+    drop_missing: bool = False,
 ) -> DataFrame:
     """Scan ``documents`` once and give ``(query_id, doc_id, score)`` candidates of the best k.
 
     ``score_batches(batch)`` yields ``(query indices, row indices, scores)`` blocks of a batch.
+    NaN scores become null and rank last, or are left out with ``drop_missing``.
     """
     doc_type = documents.schema["doc_id"].dataType
     schema = T.StructType(
@@ -107,7 +119,7 @@ def best_rows(
                 if scores.size == 0:
                     continue
                 q, cols, values = select_best(
-                    rounded(scores), queries, places[rows], k, floor
+                    rounded(scores), queries, places[rows], k, floor, drop_missing
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
