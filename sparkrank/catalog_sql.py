@@ -376,9 +376,14 @@ def _bought(statement: str, order: str = _BY_SCORE) -> str:
     return _with("brun bqrels", statement, **_metrics("brun", "bqrels", order))
 
 
+# Mean of six-decimal values, in millionths, half rounded up.
+_MEAN = (
+    "floor((2 * sum(CAST(round(value * 1000000) AS BIGINT)) + count(value)) / (2 * count(value)))"
+    " / 1000000"
+)
 METRICS_PER_QUERY = _bought("SELECT query_id, measure, value FROM long")
 METRICS_BY_RANK = _bought("SELECT query_id, measure, value FROM long", "doc_id")
-METRICS_MEAN = _bought("SELECT measure, round(avg(value), 6) AS value FROM long GROUP BY measure")
+METRICS_MEAN = _bought(f"SELECT measure, {_MEAN} AS value FROM long GROUP BY measure")
 METRICS_ROUND_TRIP = METRICS_MEAN
 RUNNING_HITS = _bought(
     "SELECT query_id, doc_id, CAST(rk AS INT) AS rank, CAST(hits AS BIGINT) AS hits FROM counted"
@@ -507,7 +512,7 @@ EXPERIMENT_RUNS = _with(
 )
 EXPERIMENT_METRICS = _with(
     "bmr tappr tcos",
-    "SELECT run_name, qrels_name, measure, round(avg(value), 6) AS value FROM long GROUP BY ALL",
+    f"SELECT run_name, qrels_name, measure, {_MEAN} AS value FROM long GROUP BY ALL",
     **_EXPERIMENT,
     **_metrics("runs", "qrels", _BY_SCORE, "run_name, qrels_name"),
 )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ranking import discount, round_score
+from ..functions.ranking import SCORE_DECIMALS, discount, round_score
 from .topk import MAX_LIST, numbered
 
 # Depths at which recall is reported.
@@ -152,7 +152,13 @@ def evaluate(
 def mean_over_queries(metrics: DataFrame) -> DataFrame:
     """``([run_name, ...,] measure, value)``: mean over the queries that were evaluated."""
     keys = [c for c in run_keys(metrics) if c != "query_id"]
-    return metrics.groupBy(*keys, "measure").agg(round_score(F.avg("value")).alias("value"))
+    # Values have six decimals, so their mean is often just between two of them. Whole numbers
+    # of millionths round the same way in whatever order they are added.
+    scale = 10**SCORE_DECIMALS
+    total = F.sum(F.round(F.col("value") * scale).cast("bigint"))
+    count = F.count("value")
+    mean = F.floor((2 * total + count) / (2 * count)) / scale
+    return metrics.groupBy(*keys, "measure").agg(mean.alias("value"))
 
 
 def with_qrels_name(runs: DataFrame) -> DataFrame:
