@@ -9,6 +9,8 @@ from ..session import ship_package
 
 # White space of the contracts: space and the controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
+# Stands for a null id inside an operator: one document that comes after all others.
+LAST_ID = 2**63 - 1
 
 
 def named(df: DataFrame, column: str) -> Column:
@@ -28,9 +30,28 @@ def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def ids_and_bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Like :func:`ids_and_texts`, the text as its UTF-8 bytes."""
-    plain = ids_and_texts(docs, id_col, text_col)
-    return plain.select("id", F.col("text").cast("binary").alias("text"))
+    """``(id, text)`` with the text as its UTF-8 bytes and null ids as :data:`LAST_ID`."""
+    return docs.select(
+        known_id(named(docs, id_col)).alias("id"),
+        F.coalesce(named(docs, text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+
+
+def known_id(column: Column) -> Column:
+    return F.coalesce(column.cast("bigint"), F.lit(LAST_ID))
+
+
+def outer_id(column: str | Column) -> Column:
+    """The id as it came in: :data:`LAST_ID` becomes null again."""
+    return F.nullif(F.col(column) if isinstance(column, str) else column, F.lit(LAST_ID))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:

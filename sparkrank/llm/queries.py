@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import round_trip
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
 from .quality_rules import quality_rules
 from .queries_sql import SQL  # noqa: F401
+from .simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,3 +45,19 @@ def op10_quality_rules(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+@query
+def op2_bpe_round_trip(spark, sf_dir):
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    lines = line_dedup(documents(spark, sf_dir))
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_simhash(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir))
