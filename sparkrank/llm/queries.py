@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .exact_dedup import exact_dedup
+from .langid import identify, learn_languages
 from .line_dedup import line_dedup
+from .packing import pack_documents
 from .quality_rules import quality_rules
 from .queries_sql import SQL  # noqa: F401
 from .simhash import near_duplicates
@@ -61,3 +63,14 @@ def op6_line_dedup(spark, sf_dir):
 @query
 def op8_simhash(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op3_best_fit_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return identify(docs, learn_languages(docs, public_tokenizers.path("piece_bpe_32k.model")))
