@@ -48,7 +48,10 @@ def words_of(text: str) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary's pieces that may stand in a lower-case word, and the unknown character."""
+    """The vocabulary's pieces that may stand in a lower-case word, and the unknown character.
+
+    Pieces are found in many words at once, by rolling hashes of their characters.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -57,29 +60,67 @@ class Pieces:
         skipped = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
         texts = (model.id_to_piece(i) for i in range(model.vocab_size()) if not skipped(i))
         texts = sorted({t for t in texts if t == t.lower() and all(c == _START or c.isalpha() for c in t)})
-        self.number = {t: n + 1 for n, t in enumerate(texts)}
-        self.count = len(texts) + 1  # 0 is any character without a piece
-        self.longest = max(map(len, self.number), default=1)
+        self.texts = ["", *texts]  # 0 is any character without a piece
+        self.count = len(self.texts)
+        self.longest = max(map(len, texts), default=1)
+        hashes = [0]
+        for text in texts:
+            value = np.zeros(1, np.uint64)
+            for code in _codes(text):
+                value = value * _BASE + code
+            hashes.append(int(_mixed(value)[0]))
+        self.hashes = np.array(hashes, np.uint64)
+        # Slots by the hash's high bits; the few pieces whose slot is taken go to the next table.
+        self.tables, left, bits = [], np.arange(1, self.count), 21
+        while len(left):
+            table = np.zeros(1 << bits, np.int32)
+            slots = (self.hashes[left] >> np.uint64(64 - bits)).astype(np.int64)
+            table[slots] = left
+            self.tables.append((np.uint64(64 - bits), table))
+            left, bits = left[table[slots] != left], bits + 1
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece of each hash, 0 if there is none."""
+        out = np.zeros(len(hashes), np.int32)
+        for shift, table in self.tables:
+            found = table[(hashes >> shift).astype(np.int64)]
+            out = np.where((found > 0) & (self.hashes[found] == hashes), found, out)
+        return out
 
     def edges(self, words: list[str]):
         """Steps of the lattices of words: for each end and length the words and their pieces."""
-        find, most = self.number.get, self.longest
-        steps: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        for row, word in enumerate(words):
-            text = _START + word
-            for end in range(1, len(text) + 1):
-                for start in range(max(0, end - most), end):
-                    piece = find(text[start:end])
-                    if piece is None:
-                        if start < end - 1:
-                            continue
-                        piece = 0
-                    step = steps.get((end, end - start))
-                    if step is None:
-                        step = steps[end, end - start] = ([], [])
-                    step[0].append(row)
-                    step[1].append(piece)
-        return [(end, n, np.array(r), np.array(p)) for (end, n), (r, p) in sorted(steps.items())]
+        lengths = np.array([len(w) + 1 for w in words])
+        codes = _codes("".join(_START + w for w in words))
+        starts = np.cumsum(lengths) - lengths
+        row = np.repeat(np.arange(len(words)), lengths)
+        place = np.arange(len(codes)) - starts[row]
+        left = lengths[row] - place
+        at, value, found = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
+        for n in range(1, self.longest + 1):
+            fits = left[at] >= n
+            at, value = at[fits], value[fits]
+            value = value * _BASE + codes[at + n - 1]
+            piece = self.find(_mixed(value))
+            hit = slice(None) if n == 1 else np.flatnonzero(piece)
+            found.append((row[at[hit]], place[at[hit]] + n, np.full(len(at[hit]), n), piece[hit]))
+        row, end, size, piece = (np.concatenate(x) for x in zip(*found))
+        key = end * (self.longest + 1) + size
+        order = np.argsort(key, kind="stable")
+        cuts = np.flatnonzero(np.diff(key[order])) + 1
+        for part in np.split(order, cuts) if len(order) else []:
+            yield int(end[part[0]]), int(size[part[0]]), row[part], piece[part]
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(value: np.ndarray) -> np.ndarray:
+    value = (value ^ (value >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return value ^ (value >> np.uint64(29))
 
 
 @cache
@@ -137,7 +178,7 @@ def expected_counts(vocabulary: Pieces, words: list[str], probability: np.ndarra
     """
     width = max(map(len, words)) + 2
     lengths, every = np.array([len(w) + 1 for w in words]), np.arange(len(words))
-    steps = vocabulary.edges(words)
+    steps = list(vocabulary.edges(words))
     alpha, beta = np.zeros((width, len(words))), np.zeros((width, len(words)))
     alpha[0], beta[lengths, every] = 1.0, 1.0
     for end, n, rows, found in steps:

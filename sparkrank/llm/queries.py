@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .quality_rules import quality_rules
 from .queries_sql import SQL  # noqa: F401
 from .simhash import near_duplicates
+from .suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,3 +75,9 @@ def op3_best_fit_packing(spark, sf_dir):
 def op1_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return identify(docs, learn_languages(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    removed = suffix_dedup(documents(spark, sf_dir))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
