@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .langid import identify, learn_languages
 from .line_dedup import line_dedup
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .queries_sql import SQL  # noqa: F401
 from .simhash import near_duplicates
+from .site_quality import site_quality, url_sites
 from .suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +83,17 @@ def op1_language_id(spark, sf_dir):
 def op5_suffix_dedup(spark, sf_dir):
     removed = suffix_dedup(documents(spark, sf_dir))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_html_extraction(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_quality_classifier(spark, sf_dir):
+    """A document's site is that of the page that names it, else its source and language."""
+    sites = url_sites(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return site_quality(documents(spark, sf_dir), labels, "source", "lang", sites=sites)
