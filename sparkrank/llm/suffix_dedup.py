@@ -45,6 +45,8 @@ COMMON = 4096
 BLOCK = 1 << 20
 STRETCHES = 150_000
 ANCHORS = 1 << 20
+# Bytes whose suffixes are sorted at once; contents around one anchor are never parted.
+SORTED = 1 << 19
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -287,6 +289,18 @@ def repeated_strings(contents: list[bytes], smallest: np.ndarray, span: int = SP
     return which[first], place[first], last - first + span
 
 
+def _portions(several: np.ndarray, anchor: np.ndarray, contents: list[bytes]) -> Iterator[np.ndarray]:
+    """Contents, in order of their anchor, in portions of about ``SORTED`` bytes."""
+    if not len(several):
+        return
+    sizes = np.cumsum([len(contents[i]) for i in several])
+    # The portion of an anchor is that of its first content.
+    own = anchor[several]
+    first = np.maximum.accumulate(np.where(np.append(True, own[1:] != own[:-1]), np.arange(len(own)), 0))
+    portion = sizes[first] // SORTED
+    yield from np.split(several, np.flatnonzero(np.diff(portion)) + 1)
+
+
 def _shard(span: int):
     def run(table: pa.Table) -> pa.Table:
         keys, ids, starts, sizes, contents = [], [], [], [], []
@@ -314,9 +328,9 @@ def _shard(span: int):
             key[which] = keys
             _, back, counts = np.unique(key, return_inverse=True, return_counts=True)
             several = np.flatnonzero(counts[back] > 1)
-            if len(several):
-                content, offset, length = repeated_strings([distinct[i] for i in several], smallest[several], span)
-                content = several[content]
+            for some in _portions(several[np.argsort(back[several], kind="stable")], back, distinct):
+                content, offset, length = repeated_strings([distinct[i] for i in some], smallest[some], span)
+                content = some[content]
                 # Each place where the smallest document has this content.
                 holders = np.flatnonzero(~settled)
                 holders = holders[np.argsort(which[holders], kind="stable")]
