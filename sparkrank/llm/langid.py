@@ -16,26 +16,28 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ship_package
 from ..sources.scratch import materialize
 from .columns import fresh, map_arrow, named
 
 # Bound on the sample that a language is learnt from: rows expected, drawn by a hash of the id.
-TRAINING_ROWS = 4000
+TRAINING_ROWS = 1000
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = "und"
-# Words scored at once, and words remembered per generation.
+# Words scored at once, and words remembered before all are forgotten.
 BLOCK = 4096
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 # Characters of texts that are taken at once.
-CHARS = 1 << 19
+CHARS = 1 << 18
+# Rows whose texts are unpacked at once.
+ROWS = 256
 # Positions between rescalings of the forward pass.
 RESCALE = 8
 
@@ -77,7 +79,7 @@ class Pieces:
             slots = (self.hashes[left] >> np.uint64(64 - bits)).astype(np.int64)
             table[slots] = left
             self.tables.append((np.uint64(64 - bits), table))
-            left, bits = left[table[slots] != left], bits + 1
+            left, bits = left[table[slots] != left], 16
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The piece of each hash, 0 if there is none."""
@@ -341,17 +343,24 @@ def train(
     return Model(path, languages, prior, probability)
 
 
-def predicted(docs: DataFrame, model: Model, text: Column) -> Column:
-    """``struct<lang, score>`` of a text column."""
+def with_language(docs: DataFrame, model: Model, text_col: str, lang: str, score: str) -> DataFrame:
+    """``docs`` with two columns more: the language of ``text_col``, and its posterior."""
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared, place = spark.sparkContext.broadcast(model), docs.columns.index(text_col)
 
-    def score(texts: pd.Series) -> pd.DataFrame:
-        found = shared.value.scores([t or "" for t in texts])
-        return pd.DataFrame(found, columns=["lang", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            texts = batch.column(place).cast(pa.string())
+            found = []
+            for at in range(0, len(texts), ROWS):
+                found += own.scores([t or "" for t in texts.slice(at, ROWS).to_pylist()])
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, lang, score])
 
-    return F.pandas_udf(score, "lang string, score double")(text)
+    added = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def held_out(id_column: Column) -> Column:
@@ -375,15 +384,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
     own = named(docs, id_col)
     rows = docs.select(own.alias("id"), held_out(own).alias("held_out"), named(docs, text_col).cast("string").alias("text"))
-    scored = rows.withColumn("found", predicted(rows, model, F.col("text")))
-    return scored.select(
-        F.col("id").alias(id_col), "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
-    )
+    scored = with_language(rows, model, "text", "lang_pred", "score")
+    return scored.select(F.col("id").alias(id_col), "held_out", "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
     """Rows of ``docs`` whose language is known with ``least_score`` or more; columns as they are."""
-    name = fresh(docs, "_language")
-    scored = docs.withColumn(name, predicted(docs, model, named(docs, text_col).cast("string")))
-    kept = (F.col(f"{name}.lang") != UNKNOWN) & (F.col(f"{name}.score") >= least_score)
+    lang, score = fresh(docs, "_language"), fresh(docs, "_language_score")
+    scored = with_language(docs, model, text_col, lang, score)
+    kept = (F.col(lang) != UNKNOWN) & (F.col(score) >= least_score)
     return scored.filter(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
