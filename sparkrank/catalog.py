@@ -8,6 +8,7 @@ the parts bought are documents.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,12 @@ from .functions import (
 )
 from .functions.standins import HashedBagEncoder, TokenOverlapScorer
 from .operators import corpus, metrics, validate
-from .operators.approx import VectorIndex
+from .operators.approx import VectorIndex, train_centroids
+from .operators.joins import hinted
 from .operators.lexical import LexicalIndex, query_terms
 from .operators.models import encode
-from .operators.topk import cut, ranking_order, top_k, with_rank
+from .operators.sizing import fits
+from .operators.topk import cut, numbered, ranking_order, top_k, with_rank
 from .plans.experiments import judged_queries, make_run, run_experiments
 from .plans.stages import ApproxStage, Bm25Stage, CosineStage, ModelStage, Ranking
 from .sources import readers, writers
@@ -163,28 +166,63 @@ def bought(spark, sf_dir) -> DataFrame:
     )
 
 
-def bought_run(spark, sf_dir) -> DataFrame:
-    spent = bought(spark, sf_dir).groupBy("query_id", "doc_id").agg(
-        F.round(F.sum("price"), 2).alias("score")
+def bought_judged(spark, sf_dir) -> DataFrame:
+    """``(query_id, doc_id, score, rel)``: money spent and a grade, from one pass, written once."""
+    grade = F.when(F.col("flag") == "N", 2).when(F.col("flag") == "A", 1).otherwise(0)
+    both = bought(spark, sf_dir).groupBy("query_id", "doc_id").agg(
+        F.round(F.sum("price"), 2).alias("score"), F.max(grade).cast("int").alias("rel")
     )
-    return top_k(spent, ["query_id"], ranking_order(spent), sql.RUN_DEPTH)
+    return materialize(both, "judged")
+
+
+def ranked_lists(spent: DataFrame) -> DataFrame:
+    """Whole lists, numbered from 1."""
+    scored = spent.select("query_id", "doc_id", "score")
+    return numbered(scored, ["query_id"], ranking_order(scored))
+
+
+def bought_run(spark, sf_dir) -> DataFrame:
+    return ranked_lists(bought_judged(spark, sf_dir))
 
 
 def bought_qrels(spark, sf_dir) -> DataFrame:
-    grade = F.when(F.col("flag") == "N", 2).when(F.col("flag") == "A", 1).otherwise(0)
-    return bought(spark, sf_dir).groupBy("query_id", "doc_id").agg(
-        F.max(grade).cast("int").alias("rel")
-    )
+    return bought_judged(spark, sf_dir).select("query_id", "doc_id", "rel")
 
 
-def pooled_qrels(spark, sf_dir) -> DataFrame:
-    """Judgments of what a shallow lexical search finds, from the labels of the documents."""
-    pool = LexicalIndex.build(documents(spark, sf_dir)).search(
-        questions(spark, sf_dir), sql.POOL_DEPTH
-    )
-    judged = pool.join(labels(spark, sf_dir), "doc_id")
+def run_and_qrels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    both = bought_judged(spark, sf_dir)
+    return ranked_lists(both), both.select("query_id", "doc_id", "rel")
+
+
+# Whole tokens of a passage that stand in every text that contains it.
+GRAM = 5
+
+
+def containing_pairs(texts: DataFrame, passages: DataFrame) -> DataFrame:
+    """``(query_id, doc_id)`` of texts that contain a passage.
+
+    Pairs come from equal token n-grams; the passage's first token may be the end of a longer
+    one, so its n-gram begins at the second.
+    """
+    grams = lambda t, start: F.xxhash64(F.slice(t, start, GRAM))
+    asked = passages.withColumn("t", tokenize(F.col("text"))).filter(F.size("t") > GRAM + 1)
+    asked = asked.select("query_id", F.col("text").alias("passage"), grams(F.col("t"), 2).alias("gram"))
+    split = texts.select("doc_id", tokenize(F.col("text")).alias("t"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("t") - (GRAM - 1), F.lit(1)))
+    seen = split.select("doc_id", F.explode(F.array_distinct(F.transform(starts, lambda i: grams(F.col("t"), i)))).alias("gram"))
+    near = seen.join(hinted(asked, fits(asked)), "gram").select("query_id", "doc_id", "passage")
+    return near.join(texts, "doc_id").filter(F.col("text").contains(F.col("passage"))).select("query_id", "doc_id").distinct()
+
+
+def passage_qrels(spark, sf_dir) -> DataFrame:
+    """Judgments of the documents that contain a query's passage, from their labels if any."""
+    pairs = containing_pairs(documents(spark, sf_dir), questions(spark, sf_dir))
+    judged = pairs.join(labels(spark, sf_dir), "doc_id", "left")
     return judged.select(
-        "query_id", "doc_id", F.col("quality").alias("good"), (1 - F.col("toxic")).alias("clean")
+        "query_id",
+        "doc_id",
+        F.coalesce("quality", F.lit(1)).alias("good"),
+        (1 - F.coalesce("toxic", F.lit(0))).alias("clean"),
     )
 
 
@@ -239,13 +277,16 @@ def known_query_terms(spark, sf_dir):
 
 @query(sql.BM25_TERM_WEIGHTS)
 def bm25_term_weights(spark, sf_dir):
-    index = LexicalIndex.build(documents(spark, sf_dir))
-    return index.contributions(questions(spark, sf_dir))
+    """Of the documents found by vector."""
+    index, asked, candidates = _by_vector(spark, sf_dir, 100)
+    return index.contributions(asked, candidates)
 
 
 @query(sql.BM25_SCORES)
 def bm25_scores(spark, sf_dir):
-    return LexicalIndex.build(documents(spark, sf_dir)).scores(questions(spark, sf_dir))
+    """Of the documents found by vector."""
+    index, asked, candidates = _by_vector(spark, sf_dir, 100)
+    return index.scores(asked, candidates)
 
 
 # Vectors ------------------------------------------------------------------------------------
@@ -479,8 +520,7 @@ def run_names(spark, sf_dir):
 @query(sql.METRICS_ROUND_TRIP)
 def metrics_round_trip(spark, sf_dir):
     path = scratch_path(spark, "metrics")
-    values = metrics.evaluate(bought_run(spark, sf_dir), bought_qrels(spark, sf_dir),
-                              depth=sql.RUN_DEPTH)
+    values = metrics.evaluate(*run_and_qrels(spark, sf_dir))
     writers.write_metrics(metrics.mean_over_queries(values), path)
     return spark.read.parquet(path)
 
@@ -495,11 +535,9 @@ def bm25_top10(spark, sf_dir):
 
 @query(sql.BM25_TOP10)
 def bm25_saved_index_top10(spark, sf_dir):
-    """Search in saved, bucketed statistics."""
-    path = scratch_path(spark, "lexical")
-    name = "lexical_" + path.rsplit("-", 1)[1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = LexicalIndex.build(documents(spark, sf_dir)).save(path, name, buckets)
+    """Search in saved statistics."""
+    slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = LexicalIndex.build(documents(spark, sf_dir)).save(scratch_path(spark, "lexical"), slots)
     return index.search(questions(spark, sf_dir), 10)
 
 
@@ -575,15 +613,15 @@ def approx_saved_index_top10(spark, sf_dir):
     return index.search(vectors(spark, sf_dir, "query_id"), 10, NPROBE)
 
 
-@query()
+@query(sql.COSINE_TOP10)
 def approx_trained_top10(spark, sf_dir):
-    """Cells trained by k-means on the vectors; their number grows with the data."""
-    from .operators.approx import train_centroids
+    """Cells trained by k-means on the vectors, their number growing with the data; with all of
+    them probed, the search is the exact one."""
 
     points = vectors(spark, sf_dir)
     cells = max(1, round(points.count() ** 0.5))
     index = VectorIndex.build(points, train_centroids(points, cells, seed=7))
-    return index.search(vectors(spark, sf_dir, "query_id"), 10, max(1, cells // 4))
+    return index.search(vectors(spark, sf_dir, "query_id"), 10, 2 * cells)
 
 
 @query(sql.APPROX_RESTRICTED)
@@ -651,6 +689,28 @@ def cosine_then_bm25(spark, sf_dir):
     return chain(spark, sf_dir, cosine_stage, bm25_stage, depths=[100, 10])
 
 
+@dataclass(frozen=True)
+class LongestStage:
+    """A stage of one's own: the longest texts first."""
+
+    collection: DataFrame
+    label: str = "Longest()"
+
+    def search(self, queries, candidates, k):
+        length = F.char_length("text").cast("double")
+        pairs = candidates.select("query_id", "doc_id", F.col("rank").alias("prev_rank"))
+        scored = pairs.join(self.collection.select("doc_id", length.alias("score")), "doc_id")
+        best = top_k(scored, ["query_id"], ranking_order(scored), k)
+        return best.select("query_id", "doc_id", "score", "rank")
+
+
+@query(sql.OWN_STAGE)
+def own_stage(spark, sf_dir):
+    """A stage defined by the caller behind a lexical one."""
+    longest = lambda given: LongestStage(given.documents)
+    return chain(spark, sf_dir, bm25_stage, longest, depths=[100, 10])
+
+
 @query(sql.NO_STAGE)
 def no_stage(spark, sf_dir):
     """Without stages the given documents come back in their order, without a score."""
@@ -664,10 +724,7 @@ def no_stage(spark, sf_dir):
 @query(sql.RANKS)
 def ranks(spark, sf_dir):
     """Ranks of whole lists: best score first, then id."""
-    spent = bought(spark, sf_dir).groupBy("query_id", "doc_id").agg(
-        F.round(F.sum("price"), 2).alias("score")
-    )
-    return with_rank(spent, ["query_id"], ranking_order(spent))
+    return bought_run(spark, sf_dir)
 
 
 @query(sql.RANK_CUTOFF)
@@ -685,15 +742,15 @@ def rank_discounts(spark, sf_dir):
 
 @query(sql.JUDGED_RUN)
 def judged_run(spark, sf_dir):
-    return metrics.with_judgments(bought_run(spark, sf_dir), bought_qrels(spark, sf_dir)).select(
+    return metrics.with_judgments(*run_and_qrels(spark, sf_dir)).select(
         "query_id", "doc_id", "rank", "rel"
     )
 
 
 @query(sql.RUNNING_HITS)
 def running_hits(spark, sf_dir):
-    judged = metrics.with_judgments(bought_run(spark, sf_dir), bought_qrels(spark, sf_dir))
-    return metrics.relevant_hits(judged, depth=sql.RUN_DEPTH).select(
+    judged = metrics.with_judgments(*run_and_qrels(spark, sf_dir))
+    return metrics.relevant_hits(judged).select(
         "query_id", "doc_id", "rank", "hits"
     )
 
@@ -706,8 +763,7 @@ def ideal_gains(spark, sf_dir):
 
 
 def _bought_metrics(spark, sf_dir, **options):
-    return metrics.evaluate(bought_run(spark, sf_dir), bought_qrels(spark, sf_dir),
-                            depth=sql.RUN_DEPTH, **options)
+    return metrics.evaluate(*run_and_qrels(spark, sf_dir), **options)
 
 
 @query(sql.METRICS_PER_QUERY)
@@ -738,9 +794,9 @@ def metric_recall(spark, sf_dir):
 @query(sql.METRICS_BY_RANK)
 def metrics_by_given_rank(spark, sf_dir):
     """Metrics that trust the rank of the run, here in ascending order of id."""
-    run = bought_run(spark, sf_dir).drop("rank")
-    run = with_rank(run, ["query_id"], [F.asc("doc_id")])
-    return metrics.evaluate(run, bought_qrels(spark, sf_dir), order="rank", depth=sql.RUN_DEPTH)
+    both = bought_judged(spark, sf_dir)
+    run = numbered(both.select("query_id", "doc_id", "score"), ["query_id"], [F.asc("doc_id")])
+    return metrics.evaluate(run, both.select("query_id", "doc_id", "rel"), order="rank")
 
 
 @query(sql.METRICS_MEAN)
@@ -750,7 +806,7 @@ def metrics_mean(spark, sf_dir):
 
 def _experiment(spark, sf_dir):
     given = Inputs(spark, sf_dir)
-    judged = materialize(pooled_qrels(spark, sf_dir), "qrels")
+    judged = materialize(passage_qrels(spark, sf_dir), "qrels")
     qrels = judged.select(
         "query_id", "doc_id",
         F.explode(F.array(
@@ -758,9 +814,9 @@ def _experiment(spark, sf_dir):
             F.struct(F.lit("qrels.clean.tsv").alias("qrels_name"), F.col("clean").alias("rel")),
         )).alias("j"),
     ).select("j.qrels_name", "query_id", "doc_id", "j.rel")
+    cosines = cosine_stage(given)
     rankings = [
-        Ranking([bm25_stage(given), cosine_stage(given)]),
-        Ranking([approx_stage(given), cosine_stage(given)]),
+        Ranking([bm25_stage(given), cosines]), Ranking([approx_stage(given), cosines])
     ]
     sets = {name: qrels.filter(F.col("qrels_name") == name)
             for name in ("qrels.good.tsv", "qrels.clean.tsv")}
@@ -831,3 +887,17 @@ def malformed_vectors(spark, sf_dir):
 @query(sql.LOAD_REPORT)
 def load_report(spark, sf_dir):
     return validate.load_report(documents(spark, sf_dir), vectors(spark, sf_dir))
+
+
+@query(sql.INPUT_CHECKS)
+def input_checks(spark, sf_dir):
+    """Whether there is a document and a vector; also of the parts nobody labelled."""
+    docs, points = documents(spark, sf_dir), corpus.with_vectors(vectors(spark, sf_dir))
+    listed = labels(spark, sf_dir)
+    rest = listed.join(listed, "doc_id", "left_anti")
+    return validate.input_checks(
+        documents=docs,
+        vectors=points,
+        unlabelled_documents=docs.join(listed, "doc_id", "left_anti"),
+        unlabelled_labels=rest,
+    )

@@ -6,8 +6,6 @@ from __future__ import annotations
 DIM = 64
 CELLS = 16
 NPROBE = 4
-RUN_DEPTH = 20
-POOL_DEPTH = 20
 RECALL = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
 LINE_BREAKERS = "[\t\n\x0b\x0c\r\x1c\x1d\x1e\x85  ]"
 
@@ -180,7 +178,7 @@ _PARTS: dict[str, tuple[str, str]] = {
         "SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id"
         " ORDER BY score DESC, doc_id) AS INT) AS rank FROM spent",
     ),
-    "brun": ("spentr", f"SELECT * FROM spentr WHERE rank <= {RUN_DEPTH}"),
+    "brun": ("spentr", "SELECT * FROM spentr"),
     "bqrels": (
         "bought",
         "SELECT query_id, doc_id, CAST(max(CASE flag WHEN 'N' THEN 2 WHEN 'A' THEN 1 ELSE 0 END)"
@@ -223,9 +221,15 @@ KNOWN_QUERY_TERMS = _with(
     "qt dfs", "SELECT query_id, term, qtf, df FROM qt JOIN dfs USING (term)"
 )
 BM25_TERM_WEIGHTS = _with(
-    "contrib", "SELECT query_id, doc_id, term, round(w, 6) AS weight FROM contrib"
+    "contrib tcosr",
+    "SELECT query_id, doc_id, term, round(w, 6) AS weight FROM contrib"
+    " JOIN (SELECT query_id, doc_id FROM tcosr WHERE rank <= 100) USING (query_id, doc_id)",
+)
+BM25_SCORES = _with(
+    "bm tcosr",
+    "SELECT query_id, doc_id, bm.score FROM bm"
+    " JOIN (SELECT query_id, doc_id FROM tcosr WHERE rank <= 100) USING (query_id, doc_id)",
 )
-BM25_SCORES = _with("bm", "SELECT query_id, doc_id, score FROM bm")
 
 # Vectors.
 VECTOR_NORMS = _with(
@@ -477,6 +481,14 @@ APPROX_THEN_MODEL = _second("tappr", 100, "mod", 10)
 APPROX_THEN_BM25 = _second_bm25("tappr", 100, 10)
 COSINE_THEN_MODEL = _second("tcosr", 100, "mod", 10)
 COSINE_THEN_BM25 = _second_bm25("tcosr", 100, 10)
+OWN_STAGE = _with(
+    "bmr",
+    "SELECT query_id, doc_id, score, rank FROM longest WHERE rank <= 10",
+    longest="SELECT query_id, b.doc_id, CAST(length(text) AS DOUBLE) AS score,"
+            " CAST(row_number() OVER (PARTITION BY query_id ORDER BY length(text) DESC, rank,"
+            " b.doc_id) AS INT) AS rank FROM bmr b JOIN documents USING (doc_id)"
+            " WHERE b.rank <= 100",
+)
 NO_STAGE = _with(
     "brun", "SELECT query_id, doc_id, CAST(NULL AS DOUBLE) AS score, rank FROM brun"
 )
@@ -489,10 +501,11 @@ RANK_DISCOUNTS = _with(
 
 # Experiments: two rankings, two judgment sets, two cutoffs.
 _EXPERIMENT = {
-    "pool": "SELECT query_id, b.doc_id, quality, toxic FROM bmr b JOIN labels l"
-            f" ON l.doc_id = b.doc_id WHERE rank <= {POOL_DEPTH}",
-    "qrels": "SELECT 'qrels.good.tsv' AS qrels_name, query_id, doc_id, quality AS rel FROM pool"
-             " UNION ALL SELECT 'qrels.clean.tsv', query_id, doc_id, 1 - toxic FROM pool",
+    "holds": "SELECT item_id AS query_id, doc_id, coalesce(quality, 1) AS good,"
+             " 1 - coalesce(toxic, 0) AS clean FROM benchmark b JOIN documents d"
+             " ON contains(d.text, b.text) LEFT JOIN labels USING (doc_id)",
+    "qrels": "SELECT 'qrels.good.tsv' AS qrels_name, query_id, doc_id, good AS rel FROM holds"
+             " UNION ALL SELECT 'qrels.clean.tsv', query_id, doc_id, clean FROM holds",
     "firsts": "SELECT 'BM25(1.5-0.75),Cos()' AS label, query_id, doc_id, rank FROM bmr"
               f" UNION ALL SELECT 'IVF({NPROBE}),Cos()', query_id, doc_id, rank FROM tappr",
     "seconds": "SELECT label, f.query_id, f.doc_id, s.score, CAST(row_number() OVER (PARTITION BY"
@@ -549,3 +562,10 @@ LOAD_REPORT = (
     " SELECT 'vectors without passage', count(*) FROM embeddings WHERE vec_id NOT IN"
     " (SELECT doc_id FROM documents)"
 )
+INPUT_CHECKS = (
+    "SELECT 'documents' AS item, count(*) > 0 AS usable FROM documents UNION ALL"
+    " SELECT 'vectors', count(*) > 0 FROM embeddings WHERE embedding IS NOT NULL UNION ALL"
+    " SELECT 'unlabelled_documents', count(*) > 0 FROM documents WHERE doc_id NOT IN"
+    " (SELECT doc_id FROM labels) UNION ALL"
+    " SELECT 'unlabelled_labels', false"
+)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
-from functools import cache, lru_cache
+from functools import lru_cache
 
 import numpy as np
 
@@ -21,7 +21,7 @@ class HashedBagEncoder:
     def __call__(self):
         dim = self.dim
 
-        @cache
+        @lru_cache(maxsize=100_000)
         def slot(token: str) -> int:
             return int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % dim
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,119 +17,196 @@ from pyspark.sql import types as T
 from ..functions.ranking import round_score
 from ..functions.vectors import cosine, l2_norm
 from ..session import ship_package
+from ..sources.scratch import materialize
 from .corpus import restrict, with_vectors
-from .dense import collect_block, pair_vectors
+from .dense import nearest, pair_vectors
 from .joins import hinted
 from .scan import TILE, best_rows, rounded, unit_rows, vector_matrix
-from .sizing import fits, over_waves
+from .sizing import fits
 from .topk import ranking_order, top_k
+from .validate import require_rows
 
-# Vectors that train the centroids; every vector is assigned to a cell afterwards.
-TRAINING_ROWS = 1_000_000
+# Cells of one folder, and rows of one file, of a saved index.
+SLOT_CELLS = 64
+FILE_ROWS = 500_000
 
 
 def train_centroids(
     doc_vectors: DataFrame, cells: int, seed: int = 0, max_iter: int = 10
 ) -> DataFrame:
-    """``(cell, centroid)`` from distributed spherical k-means."""
+    """``(cell, centroid)`` from spherical k-means in two levels, over all vectors.
+
+    About √cells coarse centres come first; fine centres are then moved among the vectors of their
+    coarse cell only, so a round costs √cells products per vector and not cells. A round sends
+    partial sums per task and centre, whatever the number of vectors.
+    """
     # Cosine k-means does not accept vectors without direction.
-    rows = doc_vectors.select("embedding").filter(l2_norm(F.col("embedding")) > 0)
-    total = rows.count()
-    if total > TRAINING_ROWS:
-        rows = rows.sample(TRAINING_ROWS / total, seed=seed)
+    rows = with_vectors(doc_vectors).select("doc_id", "embedding").filter(l2_norm(F.col("embedding")) > 0)
+    coarse = max(2, math.isqrt(cells))
     points = rows.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
     model = KMeans(
-        k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="v"
+        k=coarse, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="v"
     ).fit(points)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return doc_vectors.sparkSession.createDataFrame(centers, "cell int, centroid array<double>")
+    spark = doc_vectors.sparkSession
+    made = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    centres = spark.createDataFrame(made, "cell int, centroid array<double>")
+    placed = nearest_cells(rows, centres, 1).select(
+        F.get("cells", F.lit(0)).alias("coarse"), "doc_id", "embedding"
+    )
+    placed = materialize(placed, "coarse-cells")
+    # Each coarse cell starts with its share of the fine centres, vectors chosen by a hash.
+    sizes = placed.groupBy("coarse").agg(F.count("*").alias("n"))
+    total = placed.count()
+    share = F.greatest(F.lit(1), F.round(cells * F.col("n") / total).cast("int"))
+    sizes = sizes.select("coarse", share.alias("wanted"))
+    drawn = placed.withColumn("draw", F.xxhash64("doc_id", F.lit(seed)))
+    first = top_k(drawn, ["coarse"], [F.asc("draw"), F.asc("doc_id")], cells)
+    chosen = first.join(sizes, "coarse").filter(F.col("rank") <= F.col("wanted"))
+    fine = chosen.orderBy("coarse", "rank").select("coarse", "embedding").toArrow()
+    groups = fine.column("coarse").to_numpy()
+    units = unit_rows(vector_matrix(fine.column("embedding")), 0.0)
+    for _ in range(max_iter):
+        sums = _moved(placed, groups, units).toArrow()
+        new = units.copy()
+        if sums.num_rows:
+            new[sums.column("cell").to_numpy()] = unit_rows(vector_matrix(sums.column("sum")), 0.0)
+        still = np.abs(new - units).max() < 1e-6
+        units = new
+        if still:
+            break
+    table = pa.table({"cell": pa.array(np.arange(len(units)), pa.int32()), "centroid": list(units)})
+    return spark.createDataFrame(table)
 
 
-@dataclass(frozen=True)
-class Centroids:
-    """Measured and collected centroids: cell numbers and unit vectors."""
+def _moved(placed: DataFrame, groups: np.ndarray, units: np.ndarray) -> DataFrame:
+    """``(cell, sum)``: sums of the unit vectors nearest to each fine centre."""
+    shared = ship_package(placed.sparkSession).broadcast((groups, units))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, centres = shared.value
+        sums, seen = np.zeros_like(centres), np.zeros(len(centres), bool)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
+            coarse = batch.column("coarse").to_numpy()
+            for group in np.unique(coarse):
+                mine, at = np.flatnonzero(own == group), np.flatnonzero(coarse == group)
+                if len(mine):
+                    near = mine[(rows[at] @ centres[mine].T).argmax(1)]
+                    np.add.at(sums, near, rows[at])
+                    seen[near] = True
+        cells = np.flatnonzero(seen)
+        places = np.arange(sums.shape[1])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(cells, len(places)).astype(np.int32)),
+                pa.array(np.tile(places, len(cells)).astype(np.int32)),
+                pa.array(sums[cells].ravel()),
+            ],
+            names=["cell", "place", "x"],
+        )
 
-    cells: np.ndarray
-    units: np.ndarray
+    parts = placed.select("coarse", "embedding").mapInArrow(run, "cell int, place int, x double")
+    summed = parts.groupBy("cell", "place").agg(F.sum("x").alias("x"))
+    listed = F.sort_array(F.collect_list(F.struct("place", "x")))
+    return summed.groupBy("cell").agg(F.transform(listed, lambda s: s.x).alias("sum"))
 
-    @classmethod
-    def collect(cls, centroids: DataFrame) -> Centroids:
-        centroids = centroids.select("cell", "centroid")
-        if not fits(centroids):
-            raise ValueError("centroid table exceeds the broadcast bound; use fewer cells")
-        block = collect_block(centroids.orderBy("cell"))
-        if block.num_rows == 0:
-            raise ValueError("no vectors found")
-        units = unit_rows(vector_matrix(block.column("centroid")), 0.0)
-        return cls(np.asarray(block.column("cell").to_numpy()), units)
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(int(c), [float(x) for x in u])
-                for c, u in zip(self.cells, self.units, strict=True)]
-        return spark.createDataFrame(rows, "cell int, centroid array<double>")
-
-
-def nearest_cells(vectors: DataFrame, centroids: Centroids, n: int) -> DataFrame:
-    """``vectors`` with ``cells``, the ``n`` nearest cells in order; ties go to the lower cell."""
-    shared = ship_package(vectors.sparkSession).broadcast((centroids.cells, centroids.units))
+
+def nearest_cells(vectors: DataFrame, centroids: DataFrame, n: int) -> DataFrame:
+    """``vectors(id, ...)`` with ``cells``, the ``n`` nearest of ``centroids(cell, centroid)`` in
+    order; ties go to the lower cell.
+
+    Centroids that fit are sent to where the vectors lie. More of them are searched like documents.
+    """
+    centroids = centroids.select("cell", "centroid")
+    if fits(centroids):
+        return _assigned(vectors, centroids.orderBy("cell").toArrow(), n)
+    key = vectors.columns[0]
+    asked = vectors.select(F.col(key).alias("query_id"), "embedding")
+    known = centroids.select(F.col("cell").alias("doc_id"), F.col("centroid").alias("embedding"))
+    found = nearest(known, asked, n, 0.0)
+    best = top_k(found, ["query_id"], ranking_order(found), n)
+    listed = F.sort_array(F.collect_list(F.struct("rank", "doc_id")))
+    cells = best.groupBy("query_id").agg(F.transform(listed, lambda s: s.doc_id).alias("cells"))
+    return vectors.join(cells.withColumnRenamed("query_id", key), key)
+
+
+def _assigned(vectors: DataFrame, centroids: pa.Table, n: int) -> DataFrame:
+    if centroids.num_rows == 0:
+        raise ValueError("no centroids found")
+    units = unit_rows(vector_matrix(centroids.column("centroid")), 0.0)
+    cells = centroids.column("cell").to_numpy()
+    shared = ship_package(vectors.sparkSession).broadcast((cells, units))
     schema = T.StructType(
         [*vectors.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]
     )
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, units = shared.value
-        width = min(n, len(cells))
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            rows = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
-            near = rounded(rows @ units.T)
-            order = np.argsort(-near, axis=1, kind="stable")[:, :width]
-            chosen = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, (len(rows) + 1) * width, width), pa.int32()),
-                pa.array(cells[order].ravel(), pa.int32()),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, chosen], names=[*batch.schema.names, "cells"]
-            )
+        width, step = min(n, len(cells)), max(1, TILE // len(cells))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                rows = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
+                near = rounded(rows @ units.T)
+                if width == 1:
+                    order = near.argmax(axis=1)[:, None]
+                else:
+                    order = np.argsort(-near, axis=1, kind="stable")[:, :width]
+                chosen = pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, (len(rows) + 1) * width, width), pa.int32()),
+                    pa.array(cells[order].ravel(), pa.int32()),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, chosen], names=[*batch.schema.names, "cells"]
+                )
 
     return vectors.mapInArrow(assign, schema)
 
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """``cells(cell, doc_id, embedding)`` and the centroids that made them."""
+    """``cells(cell, doc_id, embedding)`` and the ``centroids(cell, centroid)`` that made them."""
 
     cells: DataFrame
-    centroids: Centroids
+    centroids: DataFrame
     saved: bool = False
 
     @classmethod
     def build(cls, doc_vectors: DataFrame, centroids: DataFrame) -> VectorIndex:
-        """Assign vectors to the nearest of ``centroids(cell, centroid)``."""
+        """Assign vectors to the nearest of ``centroids(cell, centroid)``, once."""
         vectors = with_vectors(doc_vectors).select("doc_id", "embedding")
-        known = Centroids.collect(centroids)
+        require_rows(vectors, "vectors")
+        known = materialize(centroids.select("cell", "centroid"), "centroids")
         cells = nearest_cells(vectors, known, 1)
-        return cls(
-            cells.select(F.get("cells", F.lit(0)).alias("cell"), "doc_id", "embedding"), known
-        )
+        cells = cells.select(F.get("cells", F.lit(0)).alias("cell"), "doc_id", "embedding")
+        return cls(materialize(cells, "cells"), known)
 
     def save(self, path: str) -> VectorIndex:
-        """Write the cells as partitions, so that cells nobody probes are not read.
+        """Write the cells in folders of ``SLOT_CELLS`` cells, each file sorted by cell.
 
-        Rows are spread over writers by (cell, document), so a crowded cell becomes many files.
+        A crowded folder is written by as many tasks as its measured size asks for.
         """
         spark = self.cells.sparkSession
-        spread = self.cells.withColumn("_slot", F.pmod(F.xxhash64("doc_id"), F.lit(16)))
-        spread.repartition("cell", "_slot").drop("_slot").write.partitionBy("cell").parquet(
-            f"{path}/cells"
+        slotted = self.cells.withColumn("slot", (F.col("cell") / SLOT_CELLS).cast("int"))
+        files = slotted.groupBy("slot").agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files"))
+        spread = slotted.join(hinted(files, fits(files)), "slot").withColumn(
+            "_file", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
+        )
+        (
+            spread.repartition("slot", "_file")
+            .sortWithinPartitions("slot", "cell")
+            .drop("_file", "_files")
+            .write.partitionBy("slot")
+            .parquet(f"{path}/cells")
         )
-        self.centroids.table(spark).write.parquet(f"{path}/centroids")
+        self.centroids.write.parquet(f"{path}/centroids")
         return self.load(spark, path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> VectorIndex:
-        centroids = Centroids.collect(spark.read.parquet(f"{path}/centroids"))
+        centroids = spark.read.parquet(f"{path}/centroids")
         return cls(spark.read.parquet(f"{path}/cells"), centroids, True)
 
     def probes(self, query_vectors: DataFrame, nprobe: int) -> DataFrame:
@@ -144,42 +222,38 @@ class VectorIndex:
         ``within(doc_id)`` limits the documents looked at.
         """
         probed = self.probes(query_vectors, nprobe)
-        id_type = probed.schema["query_id"].dataType
-        context = ship_package(self.cells.sparkSession)
-
-        def nearest(part: DataFrame, small: bool) -> DataFrame:
-            if not small:
-                raise ValueError("one query vector exceeds the broadcast bound")
-            block = collect_block(part)
-            matrix = unit_rows(vector_matrix(block.column("embedding")), 0.0)
-            lists = vector_matrix(block.column("cells")).astype(np.int64)
-            visitors = {int(c): np.nonzero((lists == c).any(axis=1))[0] for c in np.unique(lists)}
-            shared = context.broadcast((matrix, visitors))
-            documents = restrict(self.cells, within)
-            if self.saved:
-                wanted = part.select(F.explode("cells").alias("cell")).distinct()
-                documents = documents.join(F.broadcast(wanted), "cell", "left_semi")
-
-            def score(batch):
-                units, by_cell = shared.value
-                docs = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
-                cells = batch.column("cell").to_numpy()
-                order = np.argsort(cells, kind="stable")
-                found, starts = np.unique(cells[order], return_index=True)
-                for cell, rows in zip(found, np.split(order, starts[1:]), strict=True):
-                    queries = by_cell.get(int(cell))
-                    if queries is None:
-                        continue
-                    step = max(1, TILE // len(rows))
-                    for at in range(0, len(queries), step):
-                        some = queries[at : at + step]
-                        yield some, rows, units[some] @ docs[rows].T
-
-            ids = block.column("query_id").combine_chunks()
-            found = best_rows(documents, ids, id_type, k, score)
-            return top_k(found, ["query_id"], ranking_order(found), k)
-
-        return over_waves(probed, "query_id", nearest).select(
+        documents = restrict(self.cells, within)
+        if self.saved:
+            # Folders that nobody probes are not read.
+            wanted = probed.select(F.explode("cells").alias("cell")).distinct()
+            wanted = materialize(wanted.withColumn("slot", (F.col("cell") / SLOT_CELLS).cast("int")), "probed")
+            documents = documents.join(hinted(wanted, fits(wanted)), ["slot", "cell"], "left_semi")
+
+        def prepare(table: pa.Table):
+            lists = vector_matrix(table.column("cells")).astype(np.int64)
+            order = np.argsort(lists, axis=None, kind="stable")
+            cells, starts = np.unique(lists.ravel()[order], return_index=True)
+            rows = np.split(order // max(1, lists.shape[1]), starts[1:])
+            visitors = dict(zip(cells.tolist(), rows))
+            return unit_rows(vector_matrix(table.column("embedding")), 0.0), visitors
+
+        def score(state, batch: pa.RecordBatch):
+            units, by_cell = state
+            docs = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
+            cells = batch.column("cell").to_numpy()
+            order = np.argsort(cells, kind="stable")
+            found, starts = np.unique(cells[order], return_index=True)
+            for cell, rows in zip(found, np.split(order, starts[1:]), strict=True):
+                queries = by_cell.get(int(cell))
+                if queries is None:
+                    continue
+                step = max(1, TILE // len(rows))
+                for at in range(0, len(queries), step):
+                    some = queries[at : at + step]
+                    yield some, rows, units[some] @ docs[rows].T
+
+        found = best_rows(documents.select("cell", "doc_id", "embedding"), probed, k, prepare, score)
+        return top_k(found, ["query_id"], ranking_order(found), k).select(
             "query_id", "doc_id", "score", "rank"
         )
 

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import round_score
 from ..functions.vectors import cosine
-from ..session import ship_package
 from .corpus import with_vectors
 from .joins import hinted
 from .scan import TILE, best_rows, unit_rows, vector_matrix
-from .sizing import fits, over_waves
+from .sizing import fits
 from .topk import ranking_order, top_k
 
 
@@ -29,30 +29,29 @@ def cosine_search(doc_vectors: DataFrame, query_vectors: DataFrame, k: int) -> D
     """
     queries = with_vectors(query_vectors).select("query_id", "embedding")
     documents = with_vectors(doc_vectors).select("doc_id", "embedding")
-    id_type = queries.schema["query_id"].dataType
-    context = ship_package(documents.sparkSession)
-
-    def nearest(part: DataFrame, small: bool) -> DataFrame:
-        if not small:
-            raise ValueError("one query vector exceeds the broadcast bound")
-        block = collect_block(part)
-        matrix = unit_rows(vector_matrix(block.column("embedding")), None)
-        shared = context.broadcast(matrix)
-
-        def score(batch):
-            units = shared.value
-            rows = np.arange(batch.num_rows)
-            docs = unit_rows(vector_matrix(batch.column("embedding")), None)
-            step = max(1, TILE // max(1, len(docs)))
-            for at in range(0, len(units), step):
-                some = units[at : at + step]
-                yield np.arange(at, at + len(some)), rows, some @ docs.T
-
-        ids = block.column("query_id").combine_chunks()
-        found = best_rows(documents, ids, id_type, k, score)
-        return top_k(found, ["query_id"], ranking_order(found), k)
-
-    return over_waves(queries, "query_id", nearest).select("query_id", "doc_id", "score", "rank")
+    found = nearest(documents, queries, k, None)
+    return top_k(found, ["query_id"], ranking_order(found), k).select(
+        "query_id", "doc_id", "score", "rank"
+    )
+
+
+def nearest(
+    documents: DataFrame, queries: DataFrame, k: int, zero_score: float | None
+) -> DataFrame:
+    """Candidates of the ``k`` nearest by cosine; vectors without direction score ``zero_score``."""
+
+    def prepare(table: pa.Table) -> np.ndarray:
+        return unit_rows(vector_matrix(table.column("embedding")), zero_score)
+
+    def score(units: np.ndarray, batch: pa.RecordBatch):
+        rows = np.arange(batch.num_rows)
+        docs = unit_rows(vector_matrix(batch.column("embedding")), zero_score)
+        step = max(1, TILE // max(1, len(docs)))
+        for at in range(0, len(units), step):
+            some = units[at : at + step]
+            yield np.arange(at, at + len(some)), rows, some @ docs.T
+
+    return best_rows(documents, queries, k, prepare, score)
 
 
 def pair_vectors(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,17 @@ from ..functions.ranking import round_score
 from ..functions.text import B, K1, bm25_idf, bm25_weight, term_counts, tokenize
 from ..sources.scratch import materialize
 from .corpus import restrict
-from .dense import collect_block
 from .joins import hinted, salted_join
 from .lexical_scan import best_documents, wanted_counts, weight_blocks
-from .sizing import fits, union_all, waves
+from .sizing import fits
 from .topk import ranking_order, top_k
 from .validate import require_rows
 
 
+# Postings of one file of a saved index.
+FILE_ROWS = 2_000_000
+
+
 def term_vectors(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, dl, counts)``: token count and per-term counts of each row, without a shuffle."""
     tokens = texts.select(key, tokenize(F.col(text)).alias("_tokens"))
@@ -44,6 +47,11 @@ def _exploded(counted: DataFrame) -> DataFrame:
     return rows.filter(F.col("term").isNotNull())
 
 
+def term_slot(term: Column, slots: int) -> Column:
+    """The folder of a saved index that holds a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(int(slots))).cast("int")
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """``(query_id, term, qtf)``: a repeated query term counts as often as it occurs."""
     counted = _exploded(term_vectors(queries, "query_id"))
@@ -68,18 +76,18 @@ class LexicalIndex:
 
     ``postings(doc_id, dl, term, tf)``, ``docs(doc_id, dl)``, ``terms(term, df)`` and the
     one-row ``stats(n, avgdl)``. Derived lazily from ``collection(doc_id, text)``, or opened
-    from saved tables; then all postings of a document lie in one partition (``clustered``).
+    from saved tables, whose postings lie in folders by a hash of the term (``slots``).
     """
 
     def __init__(
         self,
         collection: DataFrame | None = None,
-        clustered: bool = False,
+        slots: int = 0,
         k1: float = K1,
         b: float = B,
         **tables: DataFrame,
     ):
-        self.collection, self.clustered, self.k1, self.b = collection, clustered, k1, b
+        self.collection, self.slots, self.k1, self.b = collection, slots, k1, b
         vars(self).update(tables)
 
     @classmethod
@@ -103,57 +111,46 @@ class LexicalIndex:
     def stats(self) -> DataFrame:
         return _corpus_stats(self.docs)
 
-    def save(self, path: str, name: str, buckets: int) -> LexicalIndex:
-        """Write the statistics under ``path``; postings go to table ``name``.
+    def save(self, path: str, slots: int) -> LexicalIndex:
+        """Write the statistics under ``path``; texts are split once.
 
-        Postings are bucketed and sorted by document, once, so that every later search sums a
-        document's score without shuffling postings. Documents move as compact count arrays
-        and are unrolled into postings where they arrive.
+        Postings go to ``slots`` folders by term, each file sorted by term, so that a search reads
+        the folders of its terms and skips the row groups between them. The postings of a crowded
+        folder are written by as many tasks as its measured size asks for.
         """
-        spark = self.docs.sparkSession
+        spark = self.collection.sparkSession
         require_rows(self.collection.select("doc_id"), "documents")
-        counted = term_vectors(self.collection, "doc_id").repartition(buckets, "doc_id")
+        counted = materialize(term_vectors(self.collection, "doc_id"), "counted")
+        counted.select("doc_id", "dl").write.parquet(f"{path}/docs")
+        postings = _exploded(counted).withColumn("slot", term_slot(F.col("term"), slots))
+        files = postings.groupBy("slot").agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files"))
+        spread = postings.join(hinted(files, fits(files)), "slot").withColumn(
+            "_file", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
+        )
         (
-            _exploded(counted.sortWithinPartitions("doc_id"))
-            .write.bucketBy(buckets, "doc_id")
-            .sortBy("doc_id")
-            .option("path", f"{path}/postings")
-            .format("parquet")
-            .saveAsTable(name)
+            spread.repartition("slot", "_file")
+            .sortWithinPartitions("slot", "term")
+            .drop("_file", "_files")
+            .write.partitionBy("slot")
+            .option("parquet.bloom.filter.enabled#term", "true")
+            .parquet(f"{path}/postings")
         )
-        postings = spark.table(name)
-        written = postings.groupBy("term").agg(F.count("*").alias("df"))
-        written.write.parquet(f"{path}/terms")
-        self.docs.write.parquet(f"{path}/docs")
-        _corpus_stats(spark.read.parquet(f"{path}/docs")).write.parquet(f"{path}/stats")
-        return self._opened(spark, path, name, self.k1, self.b)
+        written = spark.read.parquet(f"{path}/postings")
+        written.groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{path}/terms")
+        stats = _corpus_stats(spark.read.parquet(f"{path}/docs"))
+        stats.withColumn("slots", F.lit(int(slots))).write.parquet(f"{path}/stats")
+        return self.load(spark, path, self.k1, self.b)
 
     @classmethod
-    def load(
-        cls, spark: SparkSession, path: str, name: str, buckets: int, k1: float = K1, b: float = B
-    ) -> LexicalIndex:
-        """Open saved statistics, declaring the bucketed table if the catalog lacks it."""
-        if not spark.catalog.tableExists(name):
-            fields = spark.read.parquet(f"{path}/postings").schema.fields
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-            spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet "
-                f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {int(buckets)} BUCKETS "
-                f"LOCATION '{path}/postings'"
-            )
-        return cls._opened(spark, path, name, k1, b)
-
-    @classmethod
-    def _opened(cls, spark, path, name, k1, b) -> LexicalIndex:
-        read = spark.read.parquet
+    def load(cls, spark: SparkSession, path: str, k1: float = K1, b: float = B) -> LexicalIndex:
+        """Open saved statistics."""
+        stats = spark.read.parquet(f"{path}/stats")
         return cls(
-            clustered=True,
+            slots=stats.first()["slots"],
             k1=k1,
             b=b,
-            postings=spark.table(name),
-            docs=read(f"{path}/docs"),
-            terms=read(f"{path}/terms"),
-            stats=read(f"{path}/stats"),
+            stats=stats,
+            **{t: spark.read.parquet(f"{path}/{t}") for t in ("postings", "docs", "terms")},
         )
 
     def term_stats(self) -> DataFrame:
@@ -172,11 +169,14 @@ class LexicalIndex:
         """
         if self.collection is None:
             listed = hinted(wanted, small)
+            # At most one row per folder comes to the driver.
+            slots = wanted.select(term_slot(F.col("term"), self.slots).alias("slot")).distinct()
+            read = self.postings.filter(F.col("slot").isin([r["slot"] for r in slots.collect()]))
             return LexicalIndex(
-                clustered=self.clustered,
+                slots=self.slots,
                 k1=self.k1,
                 b=self.b,
-                postings=self.postings.join(listed, "term", "left_semi"),
+                postings=read.drop("slot").join(listed, "term", "left_semi"),
                 docs=self.docs,
                 terms=self.terms.join(listed, "term", "left_semi"),
                 stats=self.stats,
@@ -210,19 +210,12 @@ class LexicalIndex:
         avgdl = _stat(self.stats, "avgdl")
         return bm25_weight(F.col("weight"), F.col("tf"), F.col("dl"), avgdl, self.k1, self.b)
 
-    def _over_waves(
-        self, queries: DataFrame, step: Callable[[LexicalIndex, DataFrame, bool], DataFrame]
-    ) -> DataFrame:
-        """``step(found, terms, fits)`` for every broadcastable part of the query terms.
-
-        However many parts there are, the texts are scanned once for all terms asked.
-        """
+    def _asked(self, queries: DataFrame) -> tuple[LexicalIndex, DataFrame, bool]:
+        """The index cut to the terms of ``queries``, these terms, and whether they fit."""
         terms = query_terms(queries)
-        parts = list(waves(terms, "query_id"))
         wanted = terms.select("term").distinct()
-        small = (len(parts) == 1 and parts[0][1]) or fits(wanted)
-        found = self._found(wanted, small)
-        return union_all([step(found, part, part_fits) for part, part_fits in parts])
+        small = fits(terms)
+        return self._found(wanted, small or fits(wanted)), terms, small
 
     def _hits(self, terms: DataFrame, small: bool, within: DataFrame | None = None) -> DataFrame:
         """``(query_id, doc_id, term, score)``: what every matching term adds to a score."""
@@ -231,39 +224,45 @@ class LexicalIndex:
         if not small:
             hits = salted_join(postings, weights, "term", "doc_id")
         else:
-            if not self.clustered:
+            if not self.slots:
                 # Only postings of query terms move, and they move once: scores are then summed
                 # and cut to the best k where the document is, before pairs are shuffled.
                 postings = postings.repartition("doc_id")
             hits = postings.join(F.broadcast(weights), "term")
         return hits.select("query_id", "doc_id", "term", self._weight().alias("score"))
 
-    def contributions(self, queries: DataFrame) -> DataFrame:
-        """``(query_id, doc_id, term, weight)`` of every matching term."""
-        return self._over_waves(queries, LexicalIndex._hits).select(
+    def contributions(
+        self, queries: DataFrame, candidates: DataFrame | None = None
+    ) -> DataFrame:
+        """``(query_id, doc_id, term, weight)`` of matching terms, of all pairs of query and
+        document that share one, or of ``candidates(query_id, doc_id)`` only."""
+        hits = self._pair_hits(queries, candidates)
+        return hits.select(
             "query_id", "doc_id", "term", round_score(F.col("score")).alias("weight")
         )
 
-    def scores(self, queries: DataFrame) -> DataFrame:
-        """``(query_id, doc_id, score)`` of every document that shares a term with the query."""
-        return self._over_waves(
-            queries, lambda found, terms, small: _summed(found._hits(terms, small))
-        )
+    def scores(self, queries: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+        """``(query_id, doc_id, score)`` of every document that shares a term with the query, or
+        of those among ``candidates(query_id, doc_id)``."""
+        return _summed(self._pair_hits(queries, candidates))
+
+    def _pair_hits(self, queries: DataFrame, candidates: DataFrame | None) -> DataFrame:
+        found, terms, small = self._asked(queries)
+        if candidates is None:
+            return found._hits(terms, small)
+        pairs = candidates.select("query_id", "doc_id").distinct()
+        ids = pairs.select("doc_id").distinct()
+        hits = found._hits(terms, small, ids)
+        return hits.join(hinted(pairs, fits(pairs)), ["query_id", "doc_id"], "left_semi")
 
     def search(self, queries: DataFrame, k: int, within: DataFrame | None = None) -> DataFrame:
         """The ``k`` best documents for every query, of the whole collection or of the ids in
         ``within(doc_id)``."""
-        if self.collection is not None:
-            terms = query_terms(queries)
-            parts = list(waves(terms, "query_id"))
-            wanted = terms.select("term").distinct()
-            if (len(parts) == 1 and parts[0][1]) or fits(wanted):
-                return self._scan(parts, wanted, k, within)
-
-        def best(found: LexicalIndex, terms: DataFrame, small: bool) -> DataFrame:
-            return found._best(terms, small, k, within)
-
-        return self._over_waves(queries, best).select("query_id", "doc_id", "score", "rank")
+        terms = query_terms(queries)
+        if self.collection is not None and fits(terms):
+            return self._scan(terms, k, within)
+        found, terms, small = self._asked(queries)
+        return found._best(terms, small, k, within).select("query_id", "doc_id", "score", "rank")
 
     def _best(
         self, terms: DataFrame, small: bool, k: int, within: DataFrame | None
@@ -271,51 +270,51 @@ class LexicalIndex:
         scored = _summed(self._hits(terms, small, within))
         return top_k(scored, ["query_id"], ranking_order(scored), k)
 
-    def _scan(
-        self,
-        parts: list[tuple[DataFrame, bool]],
-        wanted: DataFrame,
-        k: int,
-        within: DataFrame | None,
-    ) -> DataFrame:
-        """Search the texts themselves, for measured parts of the query terms.
+    def _counted(self, terms: DataFrame) -> tuple[DataFrame, pa.Table, float]:
+        """Counts of the wanted terms per document, written once, and what comes from them:
+        ``(counts, weights, avgdl)``.
 
-        The counts of the wanted terms are written once per document. Document frequencies,
-        corpus statistics and all scores come from them, without moving a posting.
+        ``weights(query_id, number, weight)`` is of checked size; terms are numbered. Document
+        frequencies, corpus statistics and all scores come from the counts, without moving a
+        posting.
         """
-        blocks = [collect_block(part) if small else None for part, small in parts]
-        if len(blocks) == 1:
-            vocabulary = pc.unique(blocks[0].column("term"))
-        else:
-            vocabulary = collect_block(wanted).column("term").combine_chunks()
+        block = terms.toArrow().combine_chunks()
+        vocabulary = pc.unique(block.column("term").combine_chunks())
         counts = materialize(wanted_counts(self.collection, vocabulary), "counts")
         stats = _corpus_stats(counts).first()
         if stats["n"] == 0:
             raise ValueError("no documents found")
         df = np.zeros(len(vocabulary))
-        seen = counts.select(F.explode("terms").alias("term")).groupBy("term").count()
-        seen = collect_block(seen)
+        seen = counts.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
         df[seen.column("term").to_numpy()] = seen.column("count").to_numpy()
         idf = np.where(df > 0, np.log((stats["n"] - df + 0.5) / (df + 0.5) + 1.0), 0.0)
-        documents = restrict(counts, within)
-        id_type = parts[0][0].schema["query_id"].dataType
-        lists = []
-        for (part, _), block in zip(parts, blocks, strict=True):
-            if block is None:
-                lists.append(self._found(wanted, True)._best(part, False, k, within))
-                continue
-            ids = block.column("query_id").combine_chunks().dictionary_encode()
-            term = pc.index_in(block.column("term").combine_chunks(), value_set=vocabulary)
-            term = term.to_numpy()
-            weight = idf[term] * block.column("qtf").to_numpy()
-            grouped = weight_blocks(
-                ids.indices.to_numpy(), term, weight, len(ids.dictionary), len(vocabulary)
-            )
-            found = best_documents(
-                documents, ids.dictionary, id_type, grouped, k, stats["avgdl"], self.k1, self.b
-            )
-            lists.append(top_k(found, ["query_id"], ranking_order(found), k))
-        return union_all(lists).select("query_id", "doc_id", "score", "rank")
+        term = pc.index_in(block.column("term").combine_chunks(), value_set=vocabulary).to_numpy()
+        weights = pa.table(
+            {
+                "query_id": block.column("query_id"),
+                "number": pa.array(term, pa.int32()),
+                "weight": idf[term] * block.column("qtf").to_numpy(),
+            }
+        )
+        return counts, weights, stats["avgdl"]
+
+    def _scan(self, terms: DataFrame, k: int, within: DataFrame | None) -> DataFrame:
+        """Search the texts themselves, for query terms of checked size."""
+        counts, weights, avgdl = self._counted(terms)
+        ids = weights.column("query_id").combine_chunks().dictionary_encode()
+        grouped = weight_blocks(
+            ids.indices.to_numpy(),
+            weights.column("number").to_numpy(),
+            weights.column("weight").to_numpy(),
+            len(ids.dictionary),
+        )
+        found = best_documents(
+            restrict(counts, within), ids.dictionary, terms.schema["query_id"].dataType, grouped,
+            k, avgdl, self.k1, self.b,
+        )
+        return top_k(found, ["query_id"], ranking_order(found), k).select(
+            "query_id", "doc_id", "score", "rank"
+        )
 
     def rerank(
         self, queries: DataFrame, candidates: DataFrame, k: int, pad_zero: bool = True
@@ -334,20 +333,41 @@ class LexicalIndex:
         few = fits(pairs)
         terms = query_terms(queries)
         small = fits(terms)
-        found = self._found(terms.select("term").distinct(), small)
-        weights = hinted(found._weights(terms), small)
-        pair_terms = pairs.select("query_id", "doc_id").join(weights, "query_id")
-        hits = (
-            found.postings.join(hinted(ids, few), "doc_id", "left_semi")
-            .join(pair_terms, ["doc_id", "term"])
-            .select("query_id", "doc_id", found._weight().alias("score"))
-        )
-        sums = _summed(hits)
-        known = found.docs.join(hinted(ids, few), "doc_id", "left_semi").select("doc_id")
+        if self.collection is not None and small:
+            known, hits = self._candidate_hits(terms, pairs, ids, few)
+        else:
+            found = self._found(terms.select("term").distinct(), small)
+            weights = hinted(found._weights(terms), small)
+            pair_terms = pairs.select("query_id", "doc_id").join(weights, "query_id")
+            known = found.docs.join(hinted(ids, few), "doc_id", "left_semi").select("doc_id")
+            hits = (
+                found.postings.join(hinted(ids, few), "doc_id", "left_semi")
+                .join(pair_terms, ["doc_id", "term"])
+                .select("query_id", "doc_id", found._weight().alias("score"))
+            )
         scored = pairs.join(known, "doc_id").join(
-            sums, ["query_id", "doc_id"], "left" if pad_zero else "inner"
+            _summed(hits), ["query_id", "doc_id"], "left" if pad_zero else "inner"
         )
         scored = scored.withColumn("score", F.coalesce("score", F.lit(0.0)))
         return top_k(scored, ["query_id"], ranking_order(scored), k).select(
             "query_id", "doc_id", "score", "rank"
         )
+
+    def _candidate_hits(self, terms: DataFrame, pairs: DataFrame, ids: DataFrame, few: bool):
+        """Candidates the collection holds, and what each of their terms adds.
+
+        Only counts of candidates meet their pairs; a count stays in its document's row till then.
+        """
+        counts, weights, avgdl = self._counted(terms)
+        held = counts.join(hinted(ids, few), "doc_id", "left_semi")
+        listed = terms.sparkSession.createDataFrame(weights)
+        postings = pairs.select("query_id", "doc_id").join(held, "doc_id").select(
+            "query_id", "doc_id", "dl", F.explode(F.arrays_zip("terms", "tfs")).alias("t")
+        )
+        matched = postings.select(
+            "query_id", "doc_id", "dl", F.col("t.terms").alias("number"), F.col("t.tfs").alias("tf")
+        ).join(F.broadcast(listed), ["query_id", "number"])
+        score = bm25_weight(
+            F.col("weight"), F.col("tf"), F.col("dl"), F.lit(avgdl), self.k1, self.b
+        )
+        return held.select("doc_id"), matched.select("query_id", "doc_id", score.alias("score"))

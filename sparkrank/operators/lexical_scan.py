@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import tokenize
 from ..session import ship_package
-from .scan import TILE, best_rows
+from .scan import TILE, scan_rows
 
 # Queries scored together against a batch of documents.
 QUERY_BLOCK = 512
@@ -71,23 +71,29 @@ def wanted_counts(collection: DataFrame, vocabulary: pa.Array) -> DataFrame:
 
 
 def weight_blocks(
-    query: np.ndarray, term: np.ndarray, weight: np.ndarray, n_queries: int, n_terms: int
-) -> list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    query: np.ndarray, term: np.ndarray, weight: np.ndarray, n_queries: int
+) -> list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Query-term weights by blocks of queries, grouped by term inside a block:
-    ``(first query, queries, start of each term, query within block, weight)``."""
+    ``(first query, queries, terms, start of each term, query within block, weight)``.
+
+    A block holds the terms of its queries only, so all blocks are as large as the weights.
+    """
     blocks = []
     for first in range(0, n_queries, QUERY_BLOCK):
         inside = (query >= first) & (query < first + QUERY_BLOCK)
         order = np.argsort(term[inside], kind="stable")
-        starts = np.searchsorted(term[inside][order], np.arange(n_terms + 1))
+        own = term[inside][order]
+        terms, starts = np.unique(own, return_index=True)
         size = min(QUERY_BLOCK, n_queries - first)
         blocks.append(
-            (first, size, starts, query[inside][order] - first, weight[inside][order])
+            (first, size, terms, np.append(starts, len(own)), query[inside][order] - first,
+             weight[inside][order])
         )
     return blocks
 
 
 def block_scores(
+    known: np.ndarray,
     starts: np.ndarray,
     queries: np.ndarray,
     weights: np.ndarray,
@@ -104,7 +110,12 @@ def block_scores(
     runs of documents.
     """
     scores = np.zeros((size, width))
-    fans = starts[terms + 1] - starts[terms]
+    if not len(known):
+        return scores
+    place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+    mine = known[place] == terms
+    place, docs, parts = place[mine], docs[mine], parts[mine]
+    fans = starts[place + 1] - starts[place]
     ends = np.searchsorted(docs, np.arange(1, width + 1))
     total = np.concatenate([[0], np.cumsum(fans)])[ends]
     at = 0
@@ -115,7 +126,7 @@ def block_scores(
         fan = fans[low:high]
         hits = np.repeat(np.arange(low, high), fan)
         within = np.arange(len(hits)) - np.repeat(np.cumsum(fan) - fan, fan)
-        entry = starts[terms[hits]] + within
+        entry = starts[place[hits]] + within
         cell = queries[entry] * (to - at) + docs[hits] - at
         scores[:, at:to] = np.bincount(
             cell, weights=weights[entry] * parts[hits], minlength=size * (to - at)
@@ -135,9 +146,8 @@ def best_documents(
     b: float,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` candidates of the best ``k`` with a matching term."""
-    shared = ship_package(counts.sparkSession).broadcast(blocks)
 
-    def score(batch: pa.RecordBatch):
+    def score(blocks: list, batch: pa.RecordBatch):
         lists = batch.column("terms")
         terms = lists.flatten().to_numpy()
         docs = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
@@ -145,11 +155,11 @@ def best_documents(
         dl = batch.column("dl").to_numpy().astype(np.float64)
         parts = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl[docs] / avgdl))
         rows = np.arange(batch.num_rows)
-        for first, size, starts, queries, weights in shared.value:
+        for first, size, known, starts, queries, weights in blocks:
             found = block_scores(
-                starts, queries, weights, size, terms, docs, parts, batch.num_rows
+                known, starts, queries, weights, size, terms, docs, parts, batch.num_rows
             )
             found[found == 0.0] = np.nan
             yield np.arange(first, first + size), rows, found
 
-    return best_rows(counts, query_ids, id_type, k, score, drop_missing=True)
+    return scan_rows(counts, query_ids, id_type, k, blocks, score, drop_missing=True)

@@ -51,29 +51,14 @@ def relevant_hits(
     ``depth`` bounds the length of a list. Without a bound the longest list is measured, and
     lists too long for one task are numbered across tasks.
     """
-    keys = run_keys(judged)
-    if order == "score":
-        judged = judged.drop("rank")
-    longest = depth
-    if longest is None:
-        longest = judged.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    is_hit = F.col("rel") >= RELEVANT
-    if longest <= max_list:
-        w = W.partitionBy(*keys).orderBy(*run_order(order))
-        running = F.sum(is_hit.cast("bigint")).over(w.rowsBetween(W.unboundedPreceding, 0))
-        rank = F.col("rank") if order == "rank" else F.row_number().over(w)
-        return judged.withColumn("_rank", rank).withColumn("hits", running).drop("rank").select(
-            *[c for c in judged.columns if c != "rank"], F.col("_rank").alias("rank"), "hits"
-        )
-    ranked = judged
-    if order == "score":
-        ranked = numbered(judged, keys, run_order(order), longest, max_list)
-    # Only relevant rows need a running count, and it is their number among themselves.
-    found = ranked.filter(is_hit).withColumnRenamed("rank", "_rank")
-    found = numbered(found, keys, [F.asc("_rank")], None, max_list)
-    found = found.withColumnRenamed("rank", "hits").withColumnRenamed("_rank", "rank")
-    rest = ranked.filter(~is_hit).withColumn("hits", F.lit(None).cast("bigint"))
-    return found.withColumn("hits", F.col("hits").cast("bigint")).unionByName(rest)
+    keys, given = run_keys(judged), order == "rank"
+    kept = [c for c in judged.columns if c != "rank"]
+    rows = judged.withColumnRenamed("rank", "_given") if given else judged.select(*kept)
+    by = [F.asc("_given")] if given else run_order(order)
+    hit = (F.col("rel") >= RELEVANT).cast("bigint")
+    found = numbered(rows, keys, by, depth, max_list, {"hits": hit})
+    rank = F.col("_given" if given else "rank").alias("rank")
+    return found.select(*kept, rank, "hits")
 
 
 def ideal_gains(qrels: DataFrame) -> DataFrame:

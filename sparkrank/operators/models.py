@@ -19,10 +19,9 @@ from pyspark.sql import types as T
 
 from ..functions.ranking import round_score
 from ..session import ship_package
-from .dense import collect_block
 from .joins import hinted
 from .scan import best_rows
-from .sizing import fits, over_waves
+from .sizing import fits
 from .topk import ranking_order, top_k
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
@@ -153,33 +152,24 @@ def model_search(
     The number of model calls is queries times passages by definition; pairs are formed inside
     the tasks and never become rows.
     """
-    asked = queries.select("query_id", "text")
-    passages = collection.select("doc_id", "text")
-    id_type = asked.schema["query_id"].dataType
     key = loader_key(loader)
-    context = ship_package(passages.sparkSession)
-
-    def best(part: DataFrame, small: bool) -> DataFrame:
-        if not small:
-            raise ValueError("one query text exceeds the broadcast bound")
-        block = collect_block(part)
-        shared = context.broadcast([t or "" for t in block.column("text").to_pylist()])
-
-        def score(batch):
-            model = loaded(key, loader)
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows = np.arange(len(texts))
-            for i, query in enumerate(shared.value):
-                parts = [
-                    np.asarray(model([query] * len(some), some), dtype=np.float64)
-                    for some in (
-                        texts[at : at + batch_size] for at in range(0, len(texts), batch_size)
-                    )
-                ]
-                yield np.array([i]), rows, np.concatenate(parts)[None, :]
-
-        ids = block.column("query_id").combine_chunks()
-        found = best_rows(passages, ids, id_type, k, score)
-        return top_k(found, ["query_id"], ranking_order(found), k)
-
-    return over_waves(asked, "query_id", best).select("query_id", "doc_id", "score", "rank")
+
+    def prepare(table: pa.Table) -> list[str]:
+        return [t or "" for t in table.column("text").to_pylist()]
+
+    def score(asked: list[str], batch: pa.RecordBatch):
+        model = loaded(key, loader)
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        rows = np.arange(len(texts))
+        for i, query in enumerate(asked):
+            parts = [
+                np.asarray(model([query] * len(some), some), dtype=np.float64)
+                for some in (texts[at : at + batch_size] for at in range(0, len(texts), batch_size))
+            ]
+            yield np.array([i]), rows, np.concatenate(parts)[None, :]
+
+    asked = queries.select("query_id", "text")
+    found = best_rows(collection.select("doc_id", "text"), asked, k, prepare, score)
+    return top_k(found, ["query_id"], ranking_order(found), k).select(
+        "query_id", "doc_id", "score", "rank"
+    )

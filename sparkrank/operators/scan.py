@@ -1,30 +1,50 @@
 """Best-k scans: score every document against every query where the document lies.
 
-The query side is measured and sent to the executors in parts that fit a broadcast; documents
-are read in place, in Arrow batches, and never shuffled or paired as rows. Each batch gives at
-most k rows per query, and less once a task has seen better ones.
+A query side that is measured to fit is broadcast, and documents are read in place, in Arrow
+batches, without being shuffled or paired as rows. A larger query side never passes through the
+driver: it is cut into parts, documents into blocks, and each (block, part) is one group of a
+cogroup. Either way a task keeps the best k per query as it goes and gives them at its end.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import SCORE_DECIMALS
+from ..session import ship_package
+from . import sizing
+from .sizing import measured_size
 
 # Scores held at once in a task: 8 million doubles.
 TILE = 8_000_000
+# Candidates a task holds before it drops what is not among the best.
+HELD = 4_000_000
+# Documents of a block, where blocks meet parts of the query side.
+BLOCK_ROWS = 50_000
 
 
 def rounded(scores: np.ndarray) -> np.ndarray:
-    """Round half away from zero to the decimals of a run file, as the SQL ROUND does."""
+    """The scores as Spark's ``round`` gives them: decimal digits, halves away from zero."""
     scale = 10.0**SCORE_DECIMALS
-    return np.trunc(scores * scale + np.copysign(0.5, scores)) / scale
+    size = np.abs(scores) * scale
+    with np.errstate(invalid="ignore"):
+        out = np.copysign(np.floor(size + 0.5), scores) / scale
+        # Close to a half, the shortest decimal form decides and not the product.
+        close = np.abs(size - np.floor(size) - 0.5) < 1e-4
+    step = Decimal(1).scaleb(-SCORE_DECIMALS)
+    for at in zip(*np.nonzero(close)):
+        out[at] = float(Decimal(repr(float(scores[at]))).quantize(step, ROUND_HALF_UP))
+    return out
 
 
 def vector_matrix(column: pa.Array) -> np.ndarray:
@@ -85,49 +105,160 @@ def select_best(
     return queries[rows[keep]], cols[keep], values[keep]
 
 
-def best_rows(
+class Best:
+    """The best k candidates per query of one task, in bounded memory."""
+
+    def __init__(self, n_queries: int, k: int):
+        self.k, self.floor = k, np.full(n_queries, -np.inf)
+        self.queries: list[np.ndarray] = []
+        self.values: list[np.ndarray] = []
+        self.ids: list[pa.Array] = []
+        self.held = 0
+
+    def add(self, queries: np.ndarray, ids: pa.Array, values: np.ndarray) -> None:
+        self.queries.append(queries)
+        self.ids.append(ids)
+        self.values.append(values)
+        self.held += len(queries)
+
+    def taken(self) -> tuple[np.ndarray, pa.Array, np.ndarray] | None:
+        """All that is held, cut to the best k per query; nothing is held afterwards."""
+        if not self.held:
+            return None
+        queries, values = np.concatenate(self.queries), np.concatenate(self.values)
+        ids = pa.concat_arrays(self.ids)
+        order = np.lexsort((positions_by_id(ids), -values, queries))
+        queries, values = queries[order], values[order]
+        place = np.arange(len(queries)) - np.searchsorted(queries, queries, side="left")
+        last = place == self.k - 1
+        self.floor[queries[last]] = np.maximum(self.floor[queries[last]], values[last])
+        keep = place < self.k
+        self.queries, self.values, self.ids, self.held = [], [], [], 0
+        return queries[keep], ids.take(pa.array(order[keep])), values[keep]
+
+
+Score = Callable[[Any, pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _scan(
+    batches: Iterator[pa.RecordBatch],
+    query_ids: pa.Array,
+    state: Any,
+    score: Score,
+    k: int,
+    drop_missing: bool,
+) -> Iterator[pa.RecordBatch]:
+    best = Best(len(query_ids), k)
+
+    def rows(found: tuple) -> pa.RecordBatch:
+        queries, ids, values = found
+        return pa.RecordBatch.from_arrays(
+            [query_ids.take(pa.array(queries)), ids, pa.array(values, mask=np.isneginf(values))],
+            names=["query_id", "doc_id", "score"],
+        )
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        ids = batch.column("doc_id")
+        places = positions_by_id(ids)
+        for queries, docs, scores in score(state, batch):
+            if scores.size == 0:
+                continue
+            q, cols, values = select_best(
+                rounded(scores), queries, places[docs], k, best.floor, drop_missing
+            )
+            best.add(q, ids.take(pa.array(docs[cols])), values)
+            if best.held > HELD:
+                found = best.taken()
+                # With more queries than fit, what is known goes out and floors stay.
+                if len(found[0]) > HELD // 2:
+                    yield rows(found)
+                else:
+                    best.add(*found)
+    found = best.taken()
+    if found:
+        yield rows(found)
+
+
+def _schema(documents: DataFrame, id_type: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query_id", id_type),
+            T.StructField("doc_id", documents.schema["doc_id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
+def scan_rows(
     documents: DataFrame,
     query_ids: pa.Array,
     id_type: T.DataType,
     k: int,
-    score_batches: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
+    state: Any,
+    score: Score,
     drop_missing: bool = False,
 ) -> DataFrame:
-    """Scan ``documents`` once and give ``(query_id, doc_id, score)`` candidates of the best k.
+    """Candidates of the best k, for a query side of checked size that is sent as ``state``.
 
-    ``score_batches(batch)`` yields ``(query indices, row indices, scores)`` blocks of a batch.
+    ``score(state, batch)`` yields ``(query indices, row indices, scores)`` blocks of a batch.
     NaN scores become null and rank last, or are left out with ``drop_missing``.
     """
-    doc_type = documents.schema["doc_id"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("query_id", id_type),
-            T.StructField("doc_id", doc_type),
-            T.StructField("score", T.DoubleType()),
-        ]
+    shared = ship_package(documents.sparkSession).broadcast((query_ids, state))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, own = shared.value
+        yield from _scan(batches, ids, own, score, k, drop_missing)
+
+    return documents.mapInArrow(run, _schema(documents, id_type))
+
+
+def best_rows(
+    documents: DataFrame,
+    queries: DataFrame,
+    k: int,
+    prepare: Callable[[pa.Table], Any],
+    score: Score,
+    drop_missing: bool = False,
+) -> DataFrame:
+    """``(query_id, doc_id, score)`` candidates of the best k of ``documents`` for ``queries``.
+
+    ``prepare(table)`` makes of rows of ``queries`` what ``score`` takes as its first argument.
+    """
+    id_type = queries.schema["query_id"].dataType
+    rows, size = measured_size(queries)
+    if rows <= sizing.BROADCAST_ROWS and size <= sizing.BROADCAST_BYTES:
+        table = queries.toArrow().combine_chunks()
+        ids = table.column("query_id").combine_chunks()
+        return scan_rows(documents, ids, id_type, k, prepare(table), score, drop_missing)
+    ship_package(documents.sparkSession)
+    parts = max(
+        math.ceil(2 * size / sizing.BROADCAST_BYTES), math.ceil(2 * rows / sizing.BROADCAST_ROWS)
     )
-    n_queries = len(query_ids)
+    blocks = max(1, math.ceil(documents.count() / BLOCK_ROWS))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    left = documents.withColumn("_block", own("doc_id", blocks)).withColumn("_part", every(parts))
+    right = queries.withColumn("_part", own("query_id", parts)).withColumn("_block", every(blocks))
+    schema = _schema(documents, id_type)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floor = np.full(n_queries, -np.inf)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column("doc_id")
-            places = positions_by_id(ids)
-            for queries, rows, scores in score_batches(batch):
-                if scores.size == 0:
-                    continue
-                q, cols, values = select_best(
-                    rounded(scores), queries, places[rows], k, floor, drop_missing
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        query_ids.take(pa.array(q)),
-                        ids.take(pa.array(rows[cols])),
-                        pa.array(values, mask=np.isneginf(values)),
-                    ],
-                    names=["query_id", "doc_id", "score"],
-                )
-
-    return documents.mapInArrow(scan, schema)
+    def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
+        names = ["query_id", "doc_id", "score"]
+        found: list[pa.RecordBatch] = []
+        if docs.num_rows and asked.num_rows:
+            asked = asked.combine_chunks()
+            ids = asked.column("query_id").combine_chunks()
+            batches = iter(docs.combine_chunks().to_batches())
+            found = list(_scan(batches, ids, prepare(asked), score, k, drop_missing))
+        if not found:
+            types = (asked.schema.field("query_id").type, docs.schema.field("doc_id").type)
+            empty = [pa.array([], t) for t in (*types, pa.float64())]
+            return pa.Table.from_arrays(empty, names=names)
+        return pa.Table.from_batches(found)
+
+    return (
+        left.groupBy("_block", "_part")
+        .cogroup(right.groupBy("_block", "_part"))
+        .applyInArrow(run, schema)
+    )

@@ -1,9 +1,7 @@
-"""Size checks that decide what may be broadcast, and how to go on beyond that."""
+"""Size checks that decide what may be broadcast."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,52 +46,5 @@ def fits(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = Non
     return rows <= (max_rows or BROADCAST_ROWS) and size <= (max_bytes or BROADCAST_BYTES)
 
 
-def waves(
-    df: DataFrame,
-    key: str,
-    max_bytes: int | None = None,
-    max_rows: int | None = None,
-    attempts: int = 3,
-) -> Iterator[tuple[DataFrame, bool]]:
-    """Split a table by ``key`` into parts that are each measured to fit a broadcast.
-
-    Yields ``(part, fits)``. A small table is its own single part. A larger one is cut by a
-    hash of the key; the parts are measured in one pass, and a part that is still too large is
-    cut again with another hash. What remains too large (one key holding most rows) comes with
-    ``fits=False`` so that the caller joins it by shuffle. Every row is in exactly one part.
-    """
-    max_bytes, max_rows = max_bytes or BROADCAST_BYTES, max_rows or BROADCAST_ROWS
-    rows, size = measured_size(df)
-    # Half-full parts on average leave room for uneven hashing.
-    parts = max(1, math.ceil(2 * size / max_bytes), math.ceil(2 * rows / max_rows))
-    if rows <= max_rows and size <= max_bytes:
-        yield df, True
-        return
-    part = F.pmod(F.xxhash64(F.col(key), F.lit(attempts)), F.lit(parts))
-    sizes = (
-        df.select(part.alias("part"), row_bytes(df).alias("b"))
-        .groupBy("part")
-        .agg(F.count("*").alias("rows"), F.sum("b").alias("bytes"))
-    )
-    for found in sorted(sizes.toLocalIterator(), key=lambda r: r["part"]):
-        small = found["rows"] <= max_rows and found["bytes"] <= max_bytes
-        rest = df.filter(part == F.lit(found["part"]))
-        if small or attempts <= 1:
-            yield rest, small
-        else:
-            yield from waves(rest, key, max_bytes, max_rows, attempts - 1)
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def over_waves(
-    df: DataFrame,
-    key: str,
-    step: Callable[[DataFrame, bool], DataFrame],
-    max_bytes: int | None = None,
-    max_rows: int | None = None,
-) -> DataFrame:
-    """``step(part, fits)`` on every part of ``df``, results united."""
-    return union_all([step(part, small) for part, small in waves(df, key, max_bytes, max_rows)])

@@ -58,9 +58,12 @@ def numbered(
     order: list[Column],
     longest: int | None = None,
     max_list: int | None = None,
+    running: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Number whole lists of any length in ``rank``, keeping every row.
 
+    ``running`` adds sums of whole numbers over a list up to and with each row, by name.
+
     ``longest`` is a known bound of the list length; without it the longest list is counted.
     Lists up to ``max_list`` rows are numbered by a window. Beyond that one list may hold a
     large part of the table, so rows are range-partitioned by list and order, written, and
@@ -70,8 +73,12 @@ def numbered(
     max_list = max_list or MAX_LIST
     if longest is None:
         longest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    df, running = df.withColumns(running or {}), list(running or {})
+    so_far = lambda w: w.rowsBetween(W.unboundedPreceding, 0)
     if longest <= max_list:
-        return with_rank(df, by, order)
+        whole = so_far(W.partitionBy(*by).orderBy(*order))
+        ranked = with_rank(df, by, order)
+        return ranked.withColumns({c: F.sum(c).over(whole) for c in running})
     keys = [F.col(c) for c in by]
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
@@ -82,14 +89,23 @@ def numbered(
         "numbered",
     )
     parts = placed.groupBy(*by, "_part").agg(
-        F.min("_pos").alias("_first"), F.count("*").alias("_rows")
+        F.min("_pos").alias("_first"),
+        F.count("*").alias("_rows"),
+        *[F.sum(c).alias(f"_all_{c}") for c in running],
     )
     earlier = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
     starts = parts.select(
-        *by, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+        *by,
+        "_part",
+        "_first",
+        before("_rows").alias("_before"),
+        *[before(f"_all_{c}").alias(f"_all_{c}") for c in running],
     )
+    inside = so_far(W.partitionBy(*by, "_part").orderBy("_pos"))
     return (
         placed.join(starts, [*by, "_part"])
         .withColumn("rank", (F.col("_pos") - F.col("_first") + F.col("_before") + 1).cast("int"))
+        .withColumns({c: F.sum(c).over(inside) + F.col(f"_all_{c}") for c in running})
         .select(*df.columns, "rank")
     )

@@ -48,6 +48,18 @@ def load_report(
     return report
 
 
+def input_checks(**tables: DataFrame) -> DataFrame:
+    """``(item, usable)`` per table: whether it has a row."""
+    rows = [
+        table.agg(F.lit(name).alias("item"), (F.count("*") > 0).alias("usable"))
+        for name, table in tables.items()
+    ]
+    report = rows[0]
+    for row in rows[1:]:
+        report = report.unionByName(row)
+    return report
+
+
 def require_rows(df: DataFrame, what: str) -> None:
     if df.isEmpty():
         raise ValueError(f"no {what} found")

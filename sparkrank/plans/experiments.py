@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..operators.joins import hinted
 from ..operators.sizing import fits, union_all
 from ..operators.validate import missing_details, with_required
-from ..sources.scratch import materialize
 from ..sources.writers import at_cutoffs, run_name
 from .stages import Ranking
 
@@ -80,15 +79,16 @@ def run_experiments(
 ) -> DataFrame:
     """Runs of all rankings over all judgment sets.
 
-    Every ranking retrieves once for the union of the judged queries, and is written once.
+    Every ranking retrieves once for the union of the judged queries, and is written once. First
+    stages that rankings have in common, with equal depths, run once for all of them.
     """
     asked = judged_queries(query_sets)
     wanted = evaluated_queries(asked, queries, on_missing)
     if on_missing == "drop":
         unknown = missing_details(asked, queries, "query_id", "text")
         asked = asked.join(unknown, "query_id", "left_anti")
-    runs = []
+    runs, known = [], []
     for ranking in rankings:
-        ranked = materialize(ranking.retrieve(wanted, depths), "ranked")
+        ranked = ranking.retrieve(wanted, depths, known=known)
         runs.append(make_run(ranked, asked, ranking.label, depths, cutoffs, run_id))
     return union_all(runs)

@@ -23,7 +23,8 @@ class Stage(Protocol):
 
     ``candidates`` are pairs ``(query_id, doc_id[, rank])``, or ids ``(doc_id)`` that are
     candidates of every query, or None for the whole collection. Any object with this method
-    and a ``label`` can be used as a stage.
+    and a ``label`` can be used as a stage. One that doesn't look at its candidates may say so by
+    ``reads_candidates = False``; then stages before it are not run.
     """
 
     label: str
@@ -85,6 +86,10 @@ class ApproxStage:
     def label(self) -> str:
         return self.name or f"IVF({self.nprobe})"
 
+    @property
+    def reads_candidates(self) -> bool:
+        return self.respect_candidates
+
     def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
         wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
         if not self.respect_candidates:
@@ -131,9 +136,13 @@ class Ranking:
         depths: Sequence[int],
         candidates: DataFrame | None = None,
         strict: bool = True,
+        known: list[tuple[list, DataFrame]] | None = None,
     ) -> DataFrame:
         """Run all stages for all queries.
 
+        ``known`` keeps what the first stages of rankings gave, as ``([(stage, depth), ...],
+        written list)``, for further rankings of the same queries that begin with them.
+
         ``depths`` gives each stage's k. With ``strict=False`` surplus stages or depths are
         ignored. What one stage hands to the next is written: at most k rows per query, whose
         size then decides how the next stage joins.
@@ -145,11 +154,19 @@ class Ranking:
             if candidates is None:
                 raise ValueError("no stage and no candidates")
             return _unscored(candidates)
-        ranked = candidates
-        for i, (stage, k) in enumerate(steps):
+        # What comes before a stage that looks through everything again is not needed.
+        unread = [i for i, (s, _) in enumerate(steps) if not getattr(s, "reads_candidates", True)]
+        steps = steps[unread[-1] if unread else 0 :]
+        ranked, done = candidates, 0
+        for prefix, frame in known or []:
+            if done < len(prefix) <= len(steps) and prefix == steps[: len(prefix)]:
+                ranked, done = frame, len(prefix)
+        for i, (stage, k) in enumerate(steps[done:], done):
             ranked = stage.search(queries, ranked, k)
-            if i < len(steps) - 1:
+            if i < len(steps) - 1 or known is not None:
                 ranked = materialize(ranked, "stage")
+            if known is not None:
+                known.append((steps[: i + 1], ranked))
         return ranked
 
 

@@ -4,9 +4,9 @@ from conftest import ranked_lists
 from pyspark.sql import functions as F
 
 from sparkrank.functions import cosine, dot, l2_norm, l2_normalize
-from sparkrank.operators import sizing
+from sparkrank.operators import approx, scan, sizing
 from sparkrank.operators.approx import VectorIndex, train_centroids
-from sparkrank.operators.dense import cosine_rerank, cosine_search
+from sparkrank.operators.dense import cosine_rerank, cosine_search, nearest
 from sparkrank.operators.scan import rounded, select_best
 
 VECTORS = [("e1", [1.0, 0.0]), ("e2", [1.0, 1.0]), ("e3", [0.0, 2.0]), ("e4", [-1.0, 0.0]),
@@ -49,8 +49,34 @@ def test_vector_expressions(spark):
     assert row["unit"] == [0.6, 0.8] and row["none"] == [None, None] and row["kept"] == [0.0, 0.0]
 
 
-def test_rounding_is_half_away_from_zero():
+def test_rounding_is_that_of_spark(spark):
     assert list(rounded(np.array([0.5e-6, -0.5e-6, 1.4e-6, 0.25]))) == [1e-6, -1e-6, 1e-6, 0.25]
+    rng = np.random.default_rng(4)
+    values = np.concatenate([
+        (rng.integers(0, 10**8, 20_000) * 10 + 5) / 1e7 * rng.choice([-1, 1], 20_000),
+        rng.normal(0, 3, 2000), [0.0, np.nan, np.inf, -np.inf],
+    ])
+    table = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double")
+    expected = [r[0] for r in table.orderBy("i").select(F.round("v", 6)).collect()]
+    assert np.array_equal(rounded(values), np.array(expected), equal_nan=True)
+    assert rounded(np.array([[0.1234565], [2.0]])).shape == (2, 1)
+
+
+def test_a_task_gives_k_rows_per_query(spark, monkeypatch):
+    """Also where blocks are narrower than k, and where less is held than there are pairs."""
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame(
+        [(i, [float(x) for x in rng.normal(size=4)]) for i in range(600)],
+        "doc_id long, embedding array<float>").coalesce(1)
+    queries = docs.filter("doc_id < 20").select(F.col("doc_id").alias("query_id"), "embedding")
+    monkeypatch.setattr(scan, "HELD", 1500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        found = nearest(docs, queries, 40, None)
+        assert found.count() == 20 * 40
+        assert ranked_lists(cosine_search(docs, queries, 40)) == brute(docs, queries, 40)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_select_best_against_sorting():
@@ -99,16 +125,18 @@ def brute(docs, queries, k):
     return out
 
 
-def test_search_equals_brute_force_in_one_and_many_waves(clusters, monkeypatch):
+def test_search_equals_brute_force_with_query_sides_of_any_size(clusters, monkeypatch):
     docs, queries = clusters
     expected = brute(docs, queries, 9)
     assert ranked_lists(cosine_search(docs, queries, 9)) == expected
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", 3000)
-    assert len(list(sizing.waves(queries, "query_id"))) > 3
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 50)
+    plan = nearest(docs, queries, 9, None)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
     assert ranked_lists(cosine_search(docs, queries, 9)) == expected
 
 
-def test_approximate_search(clusters, tmp_path):
+def test_approximate_search(clusters, tmp_path, monkeypatch):
     docs, queries = clusters
     centroids = train_centroids(docs, 3, seed=1)
     index = VectorIndex.build(docs, centroids)
@@ -118,10 +146,34 @@ def test_approximate_search(clusters, tmp_path):
     found = ranked_lists(index.search(queries, 9, nprobe=1))
     hits = sum(len({d for d, _ in exact[q]} & {d for d, _ in found[q]}) for q in exact)
     assert hits / (9 * len(exact)) > 0.95
+    monkeypatch.setattr(approx, "SLOT_CELLS", 1)
     saved = index.save(str(tmp_path / "cells"))
     assert ranked_lists(saved.search(queries, 9, nprobe=1)) == found
 
 
+def test_bounds_change_no_result(clusters, monkeypatch):
+    docs, queries = clusters
+    index = VectorIndex.build(docs, train_centroids(docs, 6, seed=2))
+    cells = sorted(tuple(r) for r in index.cells.select("doc_id", "cell").collect())
+    lists = ranked_lists(index.search(queries, 5, nprobe=2))
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 100)
+    again = VectorIndex.build(docs, index.centroids)
+    assert sorted(tuple(r) for r in again.cells.select("doc_id", "cell").collect()) == cells
+    assert ranked_lists(again.search(queries, 5, nprobe=2)) == lists
+
+
+def test_training_finds_planted_groups(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(9, 16)) * 4
+    rows = [(i, [float(x) for x in centres[i % 9] + rng.normal(0, 0.1, 16)]) for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id long, embedding array<float>").repartition(3)
+    index = VectorIndex.build(docs, train_centroids(docs, 36, seed=3))
+    held = {}
+    for r in index.cells.collect():
+        held.setdefault(r["cell"], set()).add(r["doc_id"] % 9)
+    assert len(held) >= 18 and all(len(groups) == 1 for groups in held.values())
+
+
 def test_approximate_rerank_keeps_to_candidates_and_cells(clusters):
     docs, queries = clusters
     index = VectorIndex.build(docs, train_centroids(docs, 3, seed=1))

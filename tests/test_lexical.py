@@ -1,11 +1,14 @@
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 from conftest import ranked_lists
 
 from sparkrank.operators import lexical, sizing
 from sparkrank.operators.lexical import LexicalIndex, query_terms
+from sparkrank.operators.lexical_scan import weight_blocks
 
 
 def approx(pairs):
@@ -46,20 +49,16 @@ def test_repeated_query_terms_count(questions):
     assert found[("q2", "a")] == 2 and found[("q1", "a")] == 1
 
 
-def test_saved_index_gives_the_same_without_shuffling_postings(
-    spark, docs, questions, tmp_path
-):
+def test_saved_index_reads_the_folders_of_its_terms(spark, docs, questions, tmp_path):
     path = str(tmp_path / "index")
-    saved = LexicalIndex.build(docs).save(path, "lexical_saved", 3)
+    saved = LexicalIndex.build(docs).save(path, 8)
     result = saved.search(questions, 10)
     check(ranked_lists(result), WORKED)
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    assert "hashpartitioning(doc_id" not in plan
-    spark.sql("DROP TABLE lexical_saved")
-    check(ranked_lists(LexicalIndex.load(spark, path, "lexical_saved", 3).search(questions, 10)),
-          WORKED)
-    spark.sql("DROP TABLE lexical_saved")
+    assert re.search(r"PartitionFilters: \[.*slot", plan)
+    check(ranked_lists(LexicalIndex.load(spark, path).search(questions, 10)), WORKED)
+    few = questions.filter("query_id = 'q3'")
+    check(ranked_lists(saved.search(few, 10)), {"q3": WORKED["q3"]})
 
 
 def test_search_prunes_before_the_pair_shuffle(docs, questions):
@@ -132,24 +131,33 @@ def test_search_equals_brute_force(spark, random_case):
 
 @pytest.mark.parametrize("bound", [2000, 60])
 def test_query_sides_beyond_the_bound_give_the_same(spark, random_case, monkeypatch, bound):
-    """2000 bytes: several broadcast waves; 60 bytes: no wave fits, salted shuffle join."""
     docs, queries = random_case
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", bound)
-    if bound == 60:
-        # One query too long for any broadcast, the rest in waves of their own.
-        queries = [(0, " ".join(f"w{i}" for i in range(30))), queries[1]]
     index = LexicalIndex.build(spark.createDataFrame(docs, "doc_id int, text string"))
     asked = spark.createDataFrame(queries, "query_id int, text string")
-    parts = list(sizing.waves(query_terms(asked), "query_id"))
-    assert len(parts) > 1
-    assert sum(p.count() for p, _ in parts) == query_terms(asked).count()
-    if bound == 60:
-        assert not all(fits for _, fits in parts)
-        called = []
-        real = lexical.salted_join
-        monkeypatch.setattr(
-            lexical, "salted_join", lambda *a: called.append(1) or real(*a)
-        )
+    called = []
+    real = lexical.salted_join
+    monkeypatch.setattr(lexical, "salted_join", lambda *a: called.append(1) or real(*a))
     check(ranked_lists(index.search(asked, 7)), brute(docs, queries, 7))
-    if bound == 60:
-        assert called
+    assert called
+    pairs = index.search(asked, 7).select("query_id", "doc_id")
+    check(ranked_lists(index.rerank(asked, pairs, 7)), brute(docs, queries, 7))
+
+
+def test_scores_of_candidates_only(spark, random_case):
+    docs, queries = random_case
+    index = LexicalIndex.build(spark.createDataFrame(docs, "doc_id int, text string"))
+    asked = spark.createDataFrame(queries, "query_id int, text string")
+    every = {(r["query_id"], r["doc_id"]): r["score"] for r in index.scores(asked).collect()}
+    some = spark.createDataFrame(list(every)[::3], "query_id int, doc_id int")
+    found = {(r["query_id"], r["doc_id"]): r["score"] for r in index.scores(asked, some).collect()}
+    assert found == {pair: every[pair] for pair in list(every)[::3]}
+    plan = index.rerank(asked, some, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan
+
+
+def test_a_block_holds_the_terms_of_its_queries_only():
+    query, term = np.array([0, 0, 600, 601]), np.array([7, 90_000, 3, 90_000])
+    blocks = weight_blocks(query, term, np.ones(4), 602)
+    assert [b[2].tolist() for b in blocks] == [[7, 90_000], [3, 90_000]]
+    assert sum(a.nbytes for b in blocks for a in b[2:]) < 500

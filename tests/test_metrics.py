@@ -104,6 +104,18 @@ def test_metrics_equal_brute_force_with_lists_longer_than_a_task(spark, max_list
     assert all(0 <= v <= 1 for v in found.values())
 
 
+def test_hits_do_not_depend_on_the_length_of_a_task(spark):
+    run, qrels = random_run(6, 150, 7)
+    judged = metrics.with_judgments(
+        spark.createDataFrame(run, RUN).repartition(3), spark.createDataFrame(qrels, QRELS))
+    tables = [
+        sorted(tuple(r) for r in metrics.relevant_hits(judged, max_list=n).select(
+            "query_id", "doc_id", "rank", "hits").collect())
+        for n in (1000, 10)
+    ]
+    assert tables[0] == tables[1] and all(r[3] is not None for r in tables[0])
+
+
 def test_perfect_run_scores_one(spark):
     _, qrels = random_run(5, 20, 9)
     run = [("r", q, d, 0, float(g)) for q, d, g in qrels if g >= 1]
