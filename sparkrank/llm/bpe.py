@@ -33,7 +33,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # Longest stretch of text that is split and merged at once.
 LONG = 4096
 # Entries of each generation of a worker's cache.
-CACHE = 150_000
+CACHE = 300_000
 # Bytes of one stretch that are merged at once, beside those held back.
 PIECE = 256
 # Ids that are turned into bytes at once.
