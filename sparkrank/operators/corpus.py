@@ -21,10 +21,12 @@ def keep_last_sparse(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     """As ``keep_last``, for wide rows with few repeated keys.
 
     Only keys are shuffled to find the repeated ones; rows with a key of their own stay where
-    they were read.
+    they were read. Without repeated keys the table is given back as it is.
     """
     repeated = df.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
     repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return df.drop(*order)
     listed = hinted(repeated, fits(repeated))
     single = df.join(listed, keys, "left_anti").drop(*order)
     last = keep_last(df.join(listed, keys, "left_semi"), keys, order)
