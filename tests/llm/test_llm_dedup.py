@@ -197,3 +197,16 @@ def test_first_of_near_duplicates_stays(spark):
 @pytest.mark.parametrize("operator", [exact_dedup, line_dedup.line_dedup, suffix_dedup.suffix_dedup, simhash.near_duplicates, simhash.drop_near_duplicates])
 def test_empty_tables(spark, operator):
     assert operator(awkward.docs(spark, [])).count() == 0
+
+
+def test_portions_keep_anchors_whole(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SORTED", 100)
+    r = np.random.default_rng(9)
+    anchor = r.integers(0, 12, 80)
+    contents = [b"x" * int(n) for n in r.integers(50, 70, 80)]
+    several = np.argsort(anchor, kind="stable")
+    parts = list(suffix_dedup._portions(several, anchor, contents))
+    assert np.concatenate(parts).tolist() == several.tolist() and len(parts) > 5
+    homes = [set(anchor[p].tolist()) for p in parts]
+    assert sum(map(len, homes)) == len(set(anchor.tolist()))
+    assert list(suffix_dedup._portions(several[:0], anchor, contents)) == []
