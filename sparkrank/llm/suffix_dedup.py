@@ -42,11 +42,11 @@ FILTER_BYTES = 48 * 1024 * 1024
 # Documents from which on an anchor is very common.
 COMMON = 4096
 # Bytes of text looked at in one piece, stretches combined and anchors counted at once.
-BLOCK = 1 << 20
-STRETCHES = 150_000
-ANCHORS = 1 << 20
+BLOCK = 1 << 18
+STRETCHES = 80_000
+ANCHORS = 1 << 19
 # Bytes whose suffixes are sorted at once; contents around one anchor are never parted.
-SORTED = 1 << 19
+SORTED = 1 << 18
 
 _LOW = np.uint64(0xFFFFFFFF)
 
