@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -54,10 +58,48 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package importable in the workers."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+# Most rows and bytes of whole texts that go to a Python worker at once.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 16 * 1024 * 1024,
+}
+
+
+def for_workers(spark: SparkSession) -> None:
+    """Make this package importable in the workers, and bound the batches that they get.
+
+    Texts are wide rows: the session's batch sizes are lowered to :data:`BATCH` if they are larger.
+    """
+    ship_package(spark)
+    for key, most in BATCH.items():
+        size = spark.conf.get(key).lower().removesuffix("b")
+        if not size.isdigit() or not 0 < int(size) <= most:
+            spark.conf.set(key, str(most))
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema) -> DataFrame:
+    """``mapInArrow`` for whole texts; see :func:`for_workers` and :func:`release`."""
+    for_workers(df.sparkSession)
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
 
 
 def shuffle_parts(df: DataFrame) -> int:

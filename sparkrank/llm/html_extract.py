@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .columns import map_arrow, named
+from .columns import for_workers, map_arrow, named
 
 # Bound on the labelled pages that potentials are counted on: rows expected, drawn by a hash.
 TRAINING_PAGES = 2000
@@ -370,7 +369,7 @@ def train(pages: DataFrame, html_col: str = "html", rows: int = TRAINING_PAGES)
 
 def main_text(pages: DataFrame, model: Model, html: Column) -> Column:
     """The main text of a column of pages; empty if there is none."""
-    ship_package(pages.sparkSession)
+    for_workers(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def texts(sources: pd.Series) -> pd.Series:

@@ -22,9 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
 from ..sources.scratch import materialize
-from .columns import fresh, map_arrow, named
+from .columns import for_workers, fresh, map_arrow, named
 
 # Bound on the sample that a language is learnt from: rows expected, drawn by a hash of the id.
 TRAINING_ROWS = 1000
@@ -309,7 +308,7 @@ def train(
     comes to the driver is a row per language and piece.
     """
     spark = labelled.sparkSession
-    ship_package(spark)
+    for_workers(spark)
     known = labelled.select(
         named(labelled, id_col).cast("string").alias("id"),
         named(labelled, text_col).cast("string").alias("text"),
@@ -345,9 +344,8 @@ def train(
 
 def with_language(docs: DataFrame, model: Model, text_col: str, lang: str, score: str) -> DataFrame:
     """``docs`` with two columns more: the language of ``text_col``, and its posterior."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    shared, place = spark.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -360,7 +358,7 @@ def with_language(docs: DataFrame, model: Model, text_col: str, lang: str, score
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, lang, score])
 
     added = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return map_arrow(docs, run, T.StructType([*docs.schema.fields, *added]))
 
 
 def held_out(id_column: Column) -> Column:

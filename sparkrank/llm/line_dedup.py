@@ -20,9 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from ..sources.scratch import materialize
-from .columns import BLANKS, fresh, ids_and_bytes, known_id, map_arrow, named, shuffle_parts
+from .columns import BLANKS, for_workers, fresh, ids_and_bytes, known_id, map_arrow, named, shuffle_parts
 
 # Least code points of a key that counts as a line of text.
 MIN_CHARS = 10
@@ -196,7 +195,7 @@ def repeated_lines(
 ) -> DataFrame:
     """``(id, keys)``: the line keys each document loses, for documents that lose any."""
     spark = docs.sparkSession
-    ship_package(spark)
+    for_workers(spark)
     rows = ids_and_bytes(docs, id_col, text_col)
     segments = shuffle_parts(docs)
     filters = (

@@ -30,8 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .columns import fresh, ids_and_bytes, known_id, map_arrow, named, shuffle_parts
+from .columns import for_workers, fresh, ids_and_bytes, known_id, map_arrow, named, release, shuffle_parts
 from .line_dedup import Bloom, Suspects, segments_of
 from .suffix_array import common_prefixes, suffix_array
 
@@ -342,6 +341,7 @@ def _shard(span: int):
                 out_ids.append(ids[holder])
                 out_starts.append(starts[holder] + offset[own])
                 out_sizes.append(length[own])
+        release()
         packed = [(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (out_ids, out_starts, out_sizes)]
         return pa.table({"id": packed[0], "span": packed[1] << 32 | packed[2]})
 
@@ -360,7 +360,7 @@ def repeated_spans(
     if span < ANCHOR:
         raise ValueError(f"span must be at least {ANCHOR} bytes")
     spark = docs.sparkSession
-    ship_package(spark)
+    for_workers(spark)
     rows, shards = ids_and_bytes(docs, id_col, text_col), shuffle_parts(docs)
     filters = (
         map_arrow(rows, _send_anchors(span, shards), "segment int, hashes binary, counts binary")
