@@ -44,6 +44,8 @@ COMMON = 4096
 BLOCK = 1 << 18
 STRETCHES = 80_000
 ANCHORS = 1 << 19
+# Shards per partition of a shuffle; many small ones are dealt more evenly.
+SHARDS = 8
 # Bytes whose suffixes are sorted at once; contents around one anchor are never parted.
 SORTED = 1 << 18
 
@@ -361,19 +363,20 @@ def repeated_spans(
         raise ValueError(f"span must be at least {ANCHOR} bytes")
     spark = docs.sparkSession
     for_workers(spark)
-    rows, shards = ids_and_bytes(docs, id_col, text_col), shuffle_parts(docs)
+    rows, segments = ids_and_bytes(docs, id_col, text_col), shuffle_parts(docs)
+    shards = SHARDS * segments
     filters = (
-        map_arrow(rows, _send_anchors(span, shards), "segment int, hashes binary, counts binary")
+        map_arrow(rows, _send_anchors(span, segments), "segment int, hashes binary, counts binary")
         .groupBy("segment")
         .applyInArrow(
-            _anchor_filters(max(8, filter_bytes // 2 // shards), common),
+            _anchor_filters(max(8, filter_bytes // 2 // segments), common),
             "segment int, shared binary, common binary",
         )
         .collect()
     )  # filter_bytes at most
     shared = spark.sparkContext.broadcast(
         (
-            shards,
+            segments,
             {int(r["segment"]): bytes(r["shared"]) for r in filters},
             {int(r["segment"]): bytes(r["common"]) for r in filters},
         )
@@ -381,6 +384,8 @@ def repeated_spans(
     schema = "shard int, keys binary, ids binary, starts binary, sizes binary, contents binary"
     return (
         map_arrow(rows, _send_stretches(span, shards, shared), schema)
+        # A stated number of partitions: what is sent is small, and sorting it is not.
+        .repartition(segments, "shard")
         .groupBy("shard")
         .applyInArrow(_shard(span), "id bigint, span bigint")
         .groupBy("id")
