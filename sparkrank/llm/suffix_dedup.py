@@ -188,6 +188,21 @@ def _anchor_filters(most_bytes: int, common: int):
     return run
 
 
+def merged(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+    """Spans ``(ids, starts, sizes)`` with those that overlap or touch in a document as one."""
+    order = np.lexsort((starts, ids))
+    ids, starts, ends = ids[order], starts[order], (starts + sizes)[order]
+    if not len(ids):
+        return ids, starts, sizes
+    # Documents one after the other on one line, with gaps between them.
+    document = np.cumsum(np.append(0, ids[1:] != ids[:-1])) * (int(ends.max()) + 2)
+    reach = np.maximum.accumulate(ends + document)
+    begins = np.flatnonzero(np.append(True, starts[1:] + document[1:] > reach[:-1]))
+    last = np.append(begins[1:], len(ids)) - 1
+    ends = reach[last] - document[last]
+    return ids[begins], starts[begins], (ends - starts[begins]).astype(np.int32)
+
+
 def _send_stretches(span: int, shards: int, shared):
     """Rows by shard: keys, ids, starts, sizes and contents of stretches; without contents those
     that are settled."""
@@ -200,9 +215,13 @@ def _send_stretches(span: int, shards: int, shared):
         settled = ids > smallest[which]
         own = np.array(keys, np.uint64)[which]
         columns: list[list] = [[] for _ in range(6)]
-        for part, known in ((np.flatnonzero(~settled), False), (np.flatnonzero(settled), True)):
+        # What is settled is spans of documents, and those that touch are one.
+        runs = merged(ids[settled], starts[settled], sizes[settled])
+        left, kept = np.flatnonzero(~settled), (ids, starts, sizes)
+        for part, known in ((left, False), (np.arange(len(runs[0])), True)):
             if not len(part):
                 continue
+            ids, starts, sizes = runs if known else kept
             spread = _mixed(ids[part].view(np.uint64)) if known else own[part]
             order, present, bounds = _parted(segments_of(spread, shards))
             for shard, a, b in zip(present, bounds[:-1], bounds[1:]):

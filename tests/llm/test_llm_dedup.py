@@ -210,3 +210,14 @@ def test_portions_keep_anchors_whole(monkeypatch):
     homes = [set(anchor[p].tolist()) for p in parts]
     assert sum(map(len, homes)) == len(set(anchor.tolist()))
     assert list(suffix_dedup._portions(several[:0], anchor, contents)) == []
+
+
+def test_spans_that_touch_are_merged():
+    r = np.random.default_rng(10)
+    ids, starts, sizes = r.integers(0, 6, 200), r.integers(0, 900, 200), r.integers(1, 30, 200)
+    covered = {(i, x) for i, a, n in zip(ids, starts, sizes) for x in range(a, a + n)}
+    out = list(zip(*suffix_dedup.merged(ids, starts, sizes)))
+    assert sorted(out) == out and len(out) < 200
+    assert {(i, x) for i, a, n in out for x in range(a, a + n)} == covered
+    assert all(i != j or a + n < b for (i, a, n), (j, b, _) in zip(out, out[1:]))
+    assert [len(x) for x in suffix_dedup.merged(ids[:0], starts[:0], sizes[:0])] == [0, 0, 0]
