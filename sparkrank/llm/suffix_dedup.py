@@ -21,6 +21,7 @@ Filters may let strangers through, which costs time only: what is removed is dec
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +40,12 @@ ANCHOR = 20
 # Bound on the filters that every worker holds.
 FILTER_BYTES = 48 * 1024 * 1024
 # Documents from which on an anchor is very common.
-COMMON = 4096
-# Bytes of text looked at in one piece, stretches combined and anchors counted at once.
+COMMON = 16384
+# Bytes of text looked at in one piece; different stretches, and places of them, that are combined at
+# once; anchors counted at once.
 BLOCK = 1 << 18
 STRETCHES = 80_000
+PLACES = 1_000_000
 ANCHORS = 1 << 19
 # Shards per partition of a shuffle; many small ones are dealt more evenly.
 SHARDS = 8
@@ -207,8 +210,8 @@ def _send_stretches(span: int, shards: int, shared):
     """Rows by shard: keys, ids, starts, sizes and contents of stretches; without contents those
     that are settled."""
 
-    def send(entries: list[tuple], keys: list[int], contents: list[bytes]) -> pa.RecordBatch:
-        which, ids, starts = (np.array(x, np.int64) for x in zip(*entries))
+    def send(entries: array, keys: list[int], contents: list[bytes]) -> pa.RecordBatch:
+        which, ids, starts = np.frombuffer(entries, np.int64).reshape(-1, 3).T.copy()
         sizes = np.array([len(c) for c in contents], np.int32)[which]
         smallest = np.full(len(contents), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
@@ -245,7 +248,7 @@ def _send_stretches(span: int, shards: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments, filters, very = shared.value
         is_shared, is_common = Suspects(segments, filters), Suspects(segments, very)
-        entries, keys, contents, place = [], [], [], {}
+        entries, keys, contents, place = array("q"), [], [], {}
 
         def add(content: bytes, key: int, i: int, start: int) -> None:
             at = place.get(content)
@@ -253,7 +256,7 @@ def _send_stretches(span: int, shards: int, shared):
                 at = place[content] = len(contents)
                 contents.append(content)
                 keys.append(key)
-            entries.append((at, i, start))
+            entries.extend((at, i, start))
 
         for ids, texts in _blocks(batches):
             joined, lengths = _joined(texts)
@@ -272,9 +275,9 @@ def _send_stretches(span: int, shards: int, shared):
                         add(content, xxhash.xxh3_64_intdigest(content), i, at - begin)
                 else:
                     add(joined[a : b + span], key, i, a - begin)
-            if len(entries) >= STRETCHES:
+            if len(contents) >= STRETCHES or len(entries) >= 3 * PLACES:
                 yield send(entries, keys, contents)
-                entries, keys, contents, place = [], [], [], {}
+                entries, keys, contents, place = array("q"), [], [], {}
         if entries:
             yield send(entries, keys, contents)
 
