@@ -23,6 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ CAPACITY = 1024
 END_ID = 2
 # Fixed value: the special token of the byte-level vocabulary.
 SPECIAL = {"<|endoftext|>": 50256}
+# Blanks from which on a run is cut off by itself: the library's pattern gives up at about a million.
+BLANK_RUN = 1 << 16
+_blank_run = regex.compile(rf"(?<!\s)\s{{{BLANK_RUN},}}")
 
 # A pattern: ((length, pieces of it), ...), and how many sequences follow it.
 Pattern = tuple[tuple[tuple[int, int], ...], int]
@@ -226,15 +230,27 @@ def _tokenizer(path: str):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _ordinary(encoding, text: str) -> list[int]:
+    """Ids of a text without special tokens; long runs of blanks are cut where the pattern cuts them."""
+    out, at = [], 0
+    for run in _blank_run.finditer(text) if len(text) >= BLANK_RUN else ():
+        # The pattern takes a run as one match, without its last blank if something follows.
+        end = run.end() - (run.end() < len(text))
+        out += encoding.encode_ordinary(text[at : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def token_ids(text: str, path: str) -> list[int]:
     """Ids of a text; written-out special tokens are taken as such."""
-    encode, out = _tokenizer(path).encode_ordinary, []
+    encoding, out = _tokenizer(path), []
     for special, number in SPECIAL.items():
         first, *rest = text.split(special)
-        out += encode(first)
+        out += _ordinary(encoding, first)
         for part in rest:
             out.append(number)
-            out += encode(part)
+            out += _ordinary(encoding, part)
     return out
 
 

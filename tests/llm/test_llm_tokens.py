@@ -159,6 +159,20 @@ def test_packing(spark, small):
     check_packed(QUERIES["op3_best_fit_packing"](spark, small).collect(), rows)
 
 
+def test_long_runs_of_blanks_are_packed(spark):
+    n = 2_000_000
+    texts = ["x " + " " * n + "y", "x" + " " * n, "\n" * n + ".", " \t" * (n // 2) + "<|endoftext|>" + " " * n + "\u3000é"]
+    for text in texts:
+        assert packing.token_ids(text, RANKS) == brute.ids(text)
+    rows = [(1, "a few words"), (2, texts[0])]
+    check_packed(packing.pack_documents(awkward.docs(spark, rows), RANKS).collect(), rows)
+
+
+def test_runs_of_blanks_about_the_cut(spark):
+    for text in (a + b * n + c for a in ("", "x", "x ") for b in (" ", "\n", "\u3000") for c in ("", "y", "<|endoftext|>") for n in (packing.BLANK_RUN - 1, packing.BLANK_RUN, packing.BLANK_RUN + 1)):
+        assert packing.token_ids(text, RANKS) == brute.ids(text)
+
+
 def test_lengths_out_of_range_are_refused(spark):
     pieces = spark.createDataFrame([(1, 5), (2, 11)], "id bigint, length bigint")
     with pytest.raises(AssertionError):
