@@ -60,10 +60,24 @@ WORDS = {
     ),
     **dict.fromkeys("header masthead topbar tags byline meta".split(), -6.0),
 }
+# Words that say where or how a part stands. A compound name has its strong word's weight if it
+# holds no others ("comment-list"); one that does is of another meaning ("related-work", "with-sidebar").
+FRAME = frozenset(
+    "area bar block body bottom box button buttons card col column container count foot footer fixed global group head holder icon "
+    "icons inline inner item items left link links list lists page pages panel post posts article articles stories primary right "
+    "root row secondary section site slot tab thread title top unit widgets wrap wrapper wp author contact email facebook google "
+    "mobile desktop metadata reader text this twitter user".split()
+)
+_prefix = re.compile(r"(?!as|at|by|in|is|my|no|of|on|or|to|up)[a-z]{1,2}")
+# Elements that names take nothing from: ids of headings are made of their texts, and an article's or
+# page's classes say what goes with it.
+PLAIN_NAMES = frozenset("h1 h2 h3 h4 h5 h6 article main body html".split())
 # Elements that hold anything: their tags say nothing.
 NEUTRAL = frozenset("html body div section span center table tbody tr td".split())
 # Weights below this are certain; such a part says nothing about what it stands in.
 CERTAIN = -20.0
+# Weight of strong names, however many an element has.
+STRONG = -30.0
 # Log odds of a child having its parent's label lie between these.
 LEAST_STAY, MOST_STAY = math.log(0.99 / 0.01), math.log(0.998 / 0.002)
 
@@ -95,19 +109,35 @@ class Page:
         return len(self.parents) - 1
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
+def _strong(name: str) -> bool:
+    """If a whole name is that of a part beside the article."""
+    first, *rest = parts = _part.findall(name) or [""]
+    if rest and first not in WORDS and _prefix.fullmatch(first):
+        parts = rest  # a theme's mark
+    return any(WORDS.get(w, 0.0) < CERTAIN for w in parts) and all(w in WORDS or w in FRAME for w in parts)
+
+
+def _name_weight(tag: str, words: set[str], strong: bool) -> float:
+    """Fixed weight of an element's names; parts of compounds have no strong one."""
+    low = 0.0 if tag in PLAIN_NAMES else CERTAIN
+    return sum(x for x in (WORDS.get(w, 0.0) for w in words) if x > low) + STRONG * (strong and tag not in PLAIN_NAMES)
+
+
+def _names(attributes: str) -> tuple[set[str], bool, bool]:
+    """Words of class, id and role; whether one is a strong name; whether the element is hidden."""
     words: set[str] = set()
+    strong = False
     hidden = bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes)) if "hidden" in attributes else False
     for name, *values in _attribute.findall(attributes):
         value, name = "".join(values), name.lower()
         if name in ("class", "id", "role", "itemprop"):
             words |= set(_part.findall(_camel.sub(" ", value).lower())) | {value.lower()}
+            strong = strong or any(_strong(_camel.sub("-", token).lower()) for token in value.split())
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             hidden = True
         elif name == "aria-hidden" and value == "true":
             hidden = True
-    return words, hidden
+    return words, strong, hidden
 
 
 def _shape(text: str, linked: int, tag: str) -> tuple[str, ...]:
@@ -199,8 +229,8 @@ def parse(source: str) -> Page:
             if tag not in INLINE:
                 say(" ") if tag in ("select", "textarea", "iframe", "object") else None
             continue
-        words, hidden = _names(attributes) if attributes else (set(), False)
-        weight = TAGS.get(tag, 0.0) + sum(WORDS.get(w, 0.0) for w in words) - 60.0 * hidden
+        words, strong, hidden = _names(attributes) if attributes else (set(), False, False)
+        weight = TAGS.get(tag, 0.0) + _name_weight(tag, words, strong) - 60.0 * hidden
         if tag in INLINE and weight > CERTAIN:
             links += tag == "a"
             stack.append((tag, stack[-1][1], False))

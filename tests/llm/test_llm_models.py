@@ -126,6 +126,28 @@ def test_page_parts(spark):
     assert html_extract.extract(pages.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("tag, names", [
+    ("section", "id='social-impact'"), ("div", "class='text with-sidebar'"), ("div", "class='no-sidebar has-comments'"),
+    ("article", "class='post category-social comments-open'"), ("main", "class='search form'"), ("div", "id='searchOfTruth'"),
+])
+def test_compound_names_keep_their_text(tag, names):
+    model = html_extract.fit({})
+    inner = f"<h2 id='related-work'>Related work</h2><{tag} {names}><h3 id='form'>Form</h3><p>One sentence.</p><p>And another.</p></{tag}><p>End.</p>"
+    page = f"<body class='search widget'><article><h1>Title</h1>{inner}</article></body>"
+    assert model.text(page) == "Title Related work Form One sentence. And another. End."
+    if tag in ("article", "main"):
+        assert model.text(f"<body><{tag} {names}><p>One sentence.</p></{tag}></body>") == "One sentence."
+
+
+@pytest.mark.parametrize("names", [
+    "class='sidebar'", "class='comment-list'", "id='cookie-notice'", "class='commentList'", "class='x related-posts'", "class='wp-block-search'",
+    "class='main-nav'", "id='sidebar-2'", "class='td-post-sharing'", "role='search'",
+])
+def test_whole_names_of_other_parts_lose_their_text(names):
+    page = f"<article><p>One sentence.</p><div {names}><p>A paragraph here.</p><p>Another.</p></div><p>End.</p></article>"
+    assert html_extract.fit({}).text(page) == "One sentence. End."
+
+
 def test_articles_of_all_pages(spark, small):
     import html
     import re
