@@ -32,6 +32,7 @@ LEAST_SEEN, MOST_WEIGHT = 20, 1.0
 
 # Elements whose text is none, that stand alone, and that don't break a block.
 SILENT = frozenset("script style noscript template textarea title svg math iframe object select button canvas".split())
+FOREIGN = frozenset(["svg", "math"])  # complete without an end if closed by themselves
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -86,6 +87,8 @@ _tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>",
 _plain_tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _other = re.compile(r"<[!?/][^>]*>", re.S)
 _attribute = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# A slash at the end that is no part of an unquoted value.
+_complete = re.compile(r"(?<!=)(?<!=\s)(?:^|[\s\"']|(?:^|[\s\"'/])[^\s\"'=/]+)/\Z")
 _part = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -223,6 +226,8 @@ def parse(source: str) -> Page:
             if tag in ("hr", "img"):
                 say(" ") if tag == "hr" else None
             continue
+        if tag in FOREIGN and _complete.search(attributes):
+            continue
         if tag in SILENT:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             at = end.end() if end else n
@@ -257,7 +262,7 @@ def parse(source: str) -> Page:
         node = page.add(stack[-1][1], tag, features, weight, None)
         links += tag == "a"
         stack.append((tag, node, True))
-        if attributes.endswith("/") and tag in ("svg", "path"):
+        if attributes.endswith("/") and tag == "path":
             pop_to(len(stack) - 1)
     pop_to(1)
     flush()

@@ -148,6 +148,16 @@ def test_whole_names_of_other_parts_lose_their_text(names):
     assert html_extract.fit({}).text(page) == "One sentence. End."
 
 
+@pytest.mark.parametrize("icon", [
+    "<svg/>", "<svg />", "<svg class='icon' viewBox=\"0 0 1 1\"/>", "<svg class=x />", "<svg hidden/>", "<math/>", "<SVG id='a' />",
+    "<svg><path d='M0'/></svg>", "<svg class=x/></svg>", "<svg><title>Icon</title></svg>",
+])
+def test_icons_end_where_they_are_closed(icon):
+    page = f"<nav><a href=/>{icon}Menu</a></nav><article><p>One {icon}sentence.</p><p>And another.</p></article><footer>{icon}</footer>"
+    assert html_extract.fit({}).text(page) == "One sentence. And another."
+    assert html_extract.fit({}).text(page.replace(f"<footer>{icon}</footer>", "<svg><g></g></svg>")) == "One sentence. And another."
+
+
 def test_articles_of_all_pages(spark, small):
     import html
     import re
