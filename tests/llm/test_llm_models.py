@@ -79,6 +79,14 @@ def test_language_of_odd_texts(spark, languages):
     ]
 
 
+def test_languages_of_some_thousand_rows_give_all(spark, monkeypatch):
+    counted, write = [], langid.materialize
+    monkeypatch.setattr(langid, "materialize", lambda df, name: counted.append(write(df, name)) or counted[-1])
+    rows = [(n, "word" + "".join("abcdefghij"[int(d)] for d in str(n)), "en") for n in range(3000)]
+    langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), PIECES, rounds=1)
+    assert counted[0].count() == 3000
+
+
 def test_nothing_to_learn_from(spark):
     docs = awkward.docs(spark).withColumn("lang", F.lit(None).cast("string"))
     model = langid.learn_languages(docs, PIECES)
