@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .exact_dedup import exact_dedup
+from .fingerprints import edited_fingerprints
 from .html_extract import extract
 from .langid import identify, learn_languages
 from .line_dedup import line_dedup
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .queries_sql import SQL  # noqa: F401
+from .ranked import RankedIndex
 from .simhash import near_duplicates
 from .site_quality import site_quality, url_sites
+from .spelling import spelling_variants
 from .suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +100,19 @@ def op9_quality_classifier(spark, sf_dir):
     sites = url_sites(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return site_quality(documents(spark, sf_dir), labels, "source", "lang", sites=sites)
+
+
+@query
+def op11_fingerprints(spark, sf_dir):
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    index = RankedIndex.build(documents(spark, sf_dir))
+    return index.search(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir), typo_every=97)

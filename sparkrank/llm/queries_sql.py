@@ -91,3 +91,30 @@ SELECT doc_id, n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, n
        base_failed, NOT base_failed AND lost * 100 <= chars * 50 AS kept
 FROM j
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')"
+
+SQL["op12_ranked_search"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents
+), s AS (
+  SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d
+), q AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), u AS (
+  SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d
+), p AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM u WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s GROUP BY term, n_docs
+), r AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, row, doc_id
+), k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM r WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
