@@ -4,19 +4,25 @@ A string of ``span`` bytes that starts in two documents must end up in one shard
 that: of all the string's pieces of ``ANCHOR`` bytes the one with the least hash, so equal strings
 have equal anchors at equal places.
 
-1. Tasks send the hashes of their anchors to the owners of hash ranges (eight bytes and a count
-   each, combined per task). Owners answer with Bloom filters of anchors in two or more
-   documents, and of those in very many; together they have a fixed bound and are broadcast.
-2. Texts are read again. Around each anchor that the filter knows, the stretch whose strings it
-   anchors goes to the anchor's shard. Equal stretches are combined in the task, and all but the
-   smallest document's copy are settled there. Strings around a very common anchor travel one by
-   one instead, each to a shard of its own hash, so no anchor's neighbourhoods meet in one place.
-3. A shard combines equal stretches again and sorts the suffixes of those that differ around a
-   common anchor by induced sorting. Permuted common prefixes of ``span`` bytes or more cut the
-   order into classes of equal strings; all strings but the smallest document's are marked.
-4. Marks meet their texts by document, and covered bytes are removed.
-
-Filters may let strangers through, which costs time only: what is removed is decided on bytes.
+1. Of byte-equal documents all but the one with the smallest id lose everything, and send nothing.
+2. Tasks send the hashes of their anchors to the owners of hash ranges (about four bytes each,
+   combined per task). Owners answer with Bloom filters of anchors in two or more documents, and
+   of those in very many; together they have a fixed bound and are broadcast.
+3. Texts are read again. Where anchors in a row are known to the filter, the run is cut into chunks
+   at anchors that their hash chooses, so equal runs have equal chunks. A chunk travels once, to the
+   shard of its hash, and equal ones are combined on the way and there: the smallest document's copy
+   is left, the others are settled.
+4. What is left are different contents. Their anchors are counted again, and now only anchors in
+   two or more contents are of interest. The stretch of strings around each goes to the anchor's
+   shard. Strings around a very common anchor travel one by one instead, each to a shard of its own
+   hash, so no anchor's neighbourhoods meet in one place.
+5. A shard sorts the suffixes of stretches that differ around a common anchor by induced sorting.
+   Permuted common prefixes of ``span`` bytes or more cut the order into classes of equal strings;
+   all strings but the smallest document's are marked.
+6. Marks meet their texts by document, and covered bytes are removed.
+
+Filters may let strangers through, which costs time only: what is removed is decided on bytes, and
+for whole documents on their SHA-256.
 """
 
 from __future__ import annotations
@@ -31,7 +37,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import for_workers, fresh, ids_and_bytes, known_id, map_arrow, named, release, shuffle_parts
+from ..operators.joins import hinted, salted_join
+from ..operators.sizing import fits
+from ..sources.scratch import materialize
+from .columns import LAST_ID, for_workers, fresh, ids_and_bytes, known_id, map_arrow, named, release, shuffle_parts
 from .line_dedup import Bloom, Suspects, segments_of
 from .suffix_array import common_prefixes, suffix_array
 
@@ -47,6 +56,9 @@ BLOCK = 1 << 18
 STRETCHES = 80_000
 PLACES = 1_000_000
 ANCHORS = 1 << 19
+# One anchor of so many, by its hash, begins a chunk; bytes of chunks that are combined at once.
+CHUNK = 16
+CHUNK_BYTES = 1 << 24
 # Shards per partition of a shuffle; many small ones are dealt more evenly.
 SHARDS = 8
 # Bytes whose suffixes are sorted at once; contents around one anchor are never parted.
@@ -97,22 +109,25 @@ def stretches(data: np.ndarray, lengths: np.ndarray, span: int = SPAN):
     begins = np.append(True, (own[1:] != own[:-1]) | (valid[1:] != valid[:-1] + 1))
     at = np.flatnonzero(begins)
     first, last = valid[at], valid[np.append(at[1:], len(valid)) - 1]
-    return np.searchsorted(ends, first, side="right"), first, last, hashes[own[at]]
+    # An anchor's hash is a least one: mixed, its high bits are as even as its low ones.
+    return np.searchsorted(ends, first, side="right"), first, last, _mixed(hashes[own[at]])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """(ids, texts) of about ``BLOCK`` bytes; a text is never cut."""
-    ids, texts, size = [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
+    """(ids, texts, lists of ``more`` columns) of about ``BLOCK`` bytes; a text is never cut."""
+    ids, texts, rest, size = [], [], [[] for _ in more], 0
     for batch in batches:
-        for i, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+        for i, text, *other in zip(batch.column("id").to_pylist(), *(batch.column(c) for c in ("text", *more))):
             ids.append(i)
             texts.append(text.as_py())
+            for column, value in zip(rest, other):
+                column.append(value.as_py())
             size += len(texts[-1])
             if size >= BLOCK:
-                yield np.array(ids, np.int64), texts
-                ids, texts, size = [], [], 0
+                yield np.array(ids, np.int64), texts, *rest
+                ids, texts, rest, size = [], [], [[] for _ in more], 0
     if ids:
-        yield np.array(ids, np.int64), texts
+        yield np.array(ids, np.int64), texts, *rest
 
 
 def _joined(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
@@ -126,20 +141,47 @@ def _parted(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, present, np.append(starts, len(owner))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """32-bit numbers in ascending order as planes of their differences' bytes, which compress."""
+    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
+
+
+class Anchors(Suspects):
+    """Which anchors a filter of their hashes' low halves knows; the high halves name the segment."""
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), bool)
+        if len(hashes):
+            order, present, bounds = _parted(segments_of(hashes, self.segments))
+            for segment, a, b in zip(present, bounds[:-1], bounds[1:]):
+                words = self.filters.get(int(segment))
+                if words:
+                    bloom = Bloom(8 * len(words), np.frombuffer(words, np.uint8))
+                    out[order[a:b]] = bloom.has(hashes[order[a:b]] & _LOW)
+        return out
+
+
 def _send_anchors(span: int, shards: int):
     def send(hashes: list[np.ndarray], documents: list[np.ndarray]) -> pa.RecordBatch:
         found, document = np.concatenate(hashes), np.concatenate(documents)
+        owner = segments_of(found, shards).astype(np.uint64)
+        found = owner << np.uint64(32) | found & _LOW
         order = np.lexsort((document, found))
         found, document = found[order], document[order]
         once = np.append(True, (found[1:] != found[:-1]) | (document[1:] != document[:-1]))
         found, counts = np.unique(found[once], return_counts=True)
-        owner = segments_of(found, shards)
-        _, present, bounds = _parted(owner)
-        parts = list(zip(bounds[:-1], bounds[1:]))
+        _, present, bounds = _parted(found >> np.uint64(32))
+        low, parts = (found & _LOW).astype(np.uint32), list(zip(bounds[:-1], bounds[1:]))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(present.astype(np.int32)),
-                pa.array([found[a:b].tobytes() for a, b in parts], pa.binary()),
+                pa.array([packed(low[a:b]) for a, b in parts], pa.binary()),
                 pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in parts], pa.binary()),
             ],
             names=["segment", "hashes", "counts"],
@@ -166,15 +208,15 @@ def _send_anchors(span: int, shards: int):
 def _anchor_filters(most_bytes: int, common: int):
     most_bits = 1 << max(6, (8 * most_bytes).bit_length() - 1)
 
-    def packed(found: np.ndarray) -> bytes:
+    def filtered(found: np.ndarray) -> bytes:
         if not len(found):
             return b""
         bloom = Bloom(min(most_bits, 16 * len(found)))
-        bloom.add(found)
+        bloom.add(found.astype(np.uint64))
         return bloom.words.tobytes()
 
     def run(table: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")])
+        hashes = np.concatenate([unpacked(x.as_py()) for x in table.column("hashes")])
         counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
         order = np.argsort(hashes, kind="stable")
         hashes = hashes[order]
@@ -183,8 +225,8 @@ def _anchor_filters(most_bytes: int, common: int):
         return pa.table(
             {
                 "segment": table.column("segment")[:1],
-                "shared": pa.array([packed(hashes[starts][totals > 1])], pa.binary()),
-                "common": pa.array([packed(hashes[starts][totals >= common])], pa.binary()),
+                "shared": pa.array([filtered(hashes[starts][totals > 1])], pa.binary()),
+                "common": pa.array([filtered(hashes[starts][totals >= common])], pa.binary()),
             }
         )
 
@@ -206,17 +248,38 @@ def merged(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
     return ids[begins], starts[begins], (ends - starts[begins]).astype(np.int32)
 
 
-def _send_stretches(span: int, shards: int, shared):
-    """Rows by shard: keys, ids, starts, sizes and contents of stretches; without contents those
-    that are settled."""
+SENT = "shard int, keys binary, ids binary, starts binary, sizes binary, contents binary"
 
-    def send(entries: array, keys: list[int], contents: list[bytes]) -> pa.RecordBatch:
-        which, ids, starts = np.frombuffer(entries, np.int64).reshape(-1, 3).T.copy()
+
+class _Sender:
+    """Contents and where they stand, equal contents as one until they are sent."""
+
+    def __init__(self, shards: int):
+        self.shards = shards
+        self.clear()
+
+    def clear(self) -> None:
+        self.entries, self.keys, self.contents, self.place, self.size = array("q"), [], [], {}, 0
+
+    def add(self, content: bytes, key: int | None, i: int, starts: list[int]) -> None:
+        at = self.place.get(content)
+        if at is None:
+            at = self.place[content] = len(self.contents)
+            self.contents.append(content)
+            self.keys.append(xxhash.xxh3_64_intdigest(content) if key is None else key)
+            self.size += len(content)
+        for start in starts:
+            self.entries.extend((at, i, start))
+
+    def sent(self) -> pa.RecordBatch:
+        """Rows by shard: keys, ids, starts, sizes and contents; without contents what is settled."""
+        contents = self.contents
+        which, ids, starts = np.frombuffer(self.entries, np.int64).reshape(-1, 3).T.copy()
         sizes = np.array([len(c) for c in contents], np.int32)[which]
         smallest = np.full(len(contents), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
         settled = ids > smallest[which]
-        own = np.array(keys, np.uint64)[which]
+        own = np.array(self.keys, np.uint64)[which]
         columns: list[list] = [[] for _ in range(6)]
         # What is settled is spans of documents, and those that touch are one.
         runs = merged(ids[settled], starts[settled], sizes[settled])
@@ -226,7 +289,7 @@ def _send_stretches(span: int, shards: int, shared):
                 continue
             ids, starts, sizes = runs if known else kept
             spread = _mixed(ids[part].view(np.uint64)) if known else own[part]
-            order, present, bounds = _parted(segments_of(spread, shards))
+            order, present, bounds = _parted(segments_of(spread, self.shards))
             for shard, a, b in zip(present, bounds[:-1], bounds[1:]):
                 at = part[order[a:b]]
                 row = (
@@ -240,46 +303,69 @@ def _send_stretches(span: int, shards: int, shared):
                 for column, value in zip(columns, row):
                     column.append(value)
         kinds = (pa.int32(), *[pa.binary()] * 5)
+        self.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["shard", "keys", "ids", "starts", "sizes", "contents"],
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in SENT.split(", ")]
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, filters, very = shared.value
-        is_shared, is_common = Suspects(segments, filters), Suspects(segments, very)
-        entries, keys, contents, place = array("q"), [], [], {}
 
-        def add(content: bytes, key: int, i: int, start: int) -> None:
-            at = place.get(content)
-            if at is None:
-                at = place[content] = len(contents)
-                contents.append(content)
-                keys.append(key)
-            entries.extend((at, i, start))
+def chunks(document: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray, known: np.ndarray):
+    """(document, first string, last string) of runs of stretches that are known, cut by hash."""
+    hit = np.flatnonzero(known)
+    begins = np.ones(len(hit), bool)
+    if len(hit):
+        on = (hit[1:] == hit[:-1] + 1) & (document[hit[1:]] == document[hit[:-1]])
+        begins[1:] = ~on | (hashes[hit[1:]] % np.uint64(CHUNK) == 0)
+    at = np.flatnonzero(begins)
+    ends = np.append(at[1:], len(hit))[: len(at)] - 1
+    return document[hit[at]], first[hit[at]], last[hit[ends]]
+
 
+def _send_chunks(span: int, shards: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments, filters, _ = shared.value
+        is_shared, sender = Anchors(segments, filters), _Sender(shards)
         for ids, texts in _blocks(batches):
+            joined, lengths = _joined(texts)
+            document, first, last, hashes = stretches(np.frombuffer(joined, np.uint8), lengths, span)
+            document, first, last = chunks(document, first, last, hashes, is_shared(hashes))
+            begins = (np.cumsum(lengths) - lengths)[document]
+            for a, b, i, begin in zip(first.tolist(), last.tolist(), ids[document].tolist(), begins.tolist()):
+                sender.add(joined[a : b + span], None, i, [a - begin])
+            if sender.size >= CHUNK_BYTES or len(sender.entries) >= 3 * PLACES:
+                yield sender.sent()
+        if sender.entries:
+            yield sender.sent()
+
+    return run
+
+
+def _send_stretches(span: int, shards: int, shared):
+    """Of contents ``(id, text, starts)``, each at all its places in the smallest document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments, filters, very = shared.value
+        is_shared, is_common = Anchors(segments, filters), Anchors(segments, very)
+        sender = _Sender(shards)
+        for ids, texts, starts in _blocks(batches, "starts"):
             joined, lengths = _joined(texts)
             document, first, last, hashes = stretches(np.frombuffer(joined, np.uint8), lengths, span)
             hit = np.flatnonzero(is_shared(hashes))
             begins = np.cumsum(lengths) - lengths
-            alone = is_common(hashes[hit])
             rows = zip(
-                first[hit].tolist(), last[hit].tolist(), hashes[hit].tolist(), ids[document[hit]].tolist(),
-                begins[document[hit]].tolist(), alone.tolist(),
+                first[hit].tolist(), last[hit].tolist(), hashes[hit].tolist(), document[hit].tolist(),
+                begins[document[hit]].tolist(), is_common(hashes[hit]).tolist(),
             )
-            for a, b, key, i, begin, single in rows:
+            for a, b, key, d, begin, single in rows:
                 if single:
                     for at in range(a, b + 1):
-                        content = joined[at : at + span]
-                        add(content, xxhash.xxh3_64_intdigest(content), i, at - begin)
+                        sender.add(joined[at : at + span], None, int(ids[d]), [at - begin + s for s in starts[d]])
                 else:
-                    add(joined[a : b + span], key, i, a - begin)
-            if len(contents) >= STRETCHES or len(entries) >= 3 * PLACES:
-                yield send(entries, keys, contents)
-                entries, keys, contents, place = array("q"), [], [], {}
-        if entries:
-            yield send(entries, keys, contents)
+                    sender.add(joined[a : b + span], key, int(ids[d]), [a - begin + s for s in starts[d]])
+            if len(sender.contents) >= STRETCHES or len(sender.entries) >= 3 * PLACES:
+                yield sender.sent()
+        if sender.entries:
+            yield sender.sent()
 
     return run
 
@@ -324,28 +410,60 @@ def _portions(several: np.ndarray, anchor: np.ndarray, contents: list[bytes]) ->
     yield from np.split(several, np.flatnonzero(np.diff(portion)) + 1)
 
 
-def _shard(span: int):
-    def run(table: pa.Table) -> pa.Table:
+class _Received:
+    """What a shard was sent: settled spans, and contents, equal ones combined."""
+
+    def __init__(self, table: pa.Table):
+        self.settled: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         keys, ids, starts, sizes, contents = [], [], [], [], []
-        out_ids, out_starts, out_sizes = [], [], []
         for k, i, a, n, text in zip(*(table.column(c) for c in ("keys", "ids", "starts", "sizes", "contents"))):
             i, a = np.frombuffer(i.as_py(), np.int64), np.frombuffer(a.as_py(), np.int64)
             n, text = np.frombuffer(n.as_py(), np.int32).astype(np.int64), text.as_py()
             if text is None:
-                out_ids.append(i), out_starts.append(a), out_sizes.append(n)
+                self.settled.append((i, a, n))
                 continue
             keys.append(np.frombuffer(k.as_py(), np.uint64))
             ids.append(i), starts.append(a), sizes.append(n)
             ends = np.cumsum(n).tolist()
             contents += [text[x:y] for x, y in zip([0, *ends[:-1]], ends)]
+        place: dict[bytes, int] = {}
+        self.which = np.array([place.setdefault(c, len(place)) for c in contents], np.int64)
+        self.distinct, self.smallest = list(place), np.full(len(place), np.iinfo(np.int64).max)
         if contents:
-            keys, ids, starts, sizes = map(np.concatenate, (keys, ids, starts, sizes))
-            place: dict[bytes, int] = {}
-            which = np.array([place.setdefault(c, len(place)) for c in contents], np.int64)
-            distinct, smallest = list(place), np.full(len(place), np.iinfo(np.int64).max)
-            np.minimum.at(smallest, which, ids)
-            settled = ids > smallest[which]
-            out_ids.append(ids[settled]), out_starts.append(starts[settled]), out_sizes.append(sizes[settled])
+            self.keys, self.ids, self.starts, self.sizes = map(np.concatenate, (keys, ids, starts, sizes))
+            np.minimum.at(self.smallest, self.which, self.ids)
+            self.done = self.ids > self.smallest[self.which]
+            self.settled.append((self.ids[self.done], self.starts[self.done], self.sizes[self.done]))
+
+
+def _settle(table: pa.Table) -> pa.Table:
+    """Spans that are settled, and each content once with all its places in the smallest document."""
+    got = _Received(table)
+    spans = [np.concatenate(x) for x in zip(*got.settled)] if got.settled else [np.empty(0, np.int64)] * 3
+    ids, starts, sizes = merged(*spans)
+    n, many = len(ids), len(got.distinct)
+    holders = np.flatnonzero(~got.done) if many else np.empty(0, np.int64)
+    holders = holders[np.argsort(got.which[holders], kind="stable")]
+    bounds = np.searchsorted(got.which[holders], np.arange(many + 1))
+    places = got.starts[holders] if many else holders
+    release()
+    return pa.table(
+        {
+            "id": np.concatenate([ids, got.smallest]),
+            "span": pa.concat_arrays([pa.array(starts << 32 | sizes.astype(np.int64)), pa.nulls(many, pa.int64())]),
+            "text": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(got.distinct, pa.binary())]),
+            "starts": pa.ListArray.from_arrays(pa.array(np.append(np.zeros(n), bounds).astype(np.int32)), pa.array(places)),
+        }
+    )
+
+
+def _shard(span: int):
+    def run(table: pa.Table) -> pa.Table:
+        got = _Received(table)
+        out_ids, out_starts, out_sizes = (list(x) for x in zip(*got.settled)) if got.settled else ([], [], [])
+        if got.distinct:
+            keys, ids, starts = got.keys, got.ids, got.starts
+            which, distinct, smallest, settled = got.which, got.distinct, got.smallest, got.done
             # Around an anchor with one content only there is nothing left to sort.
             key = np.empty(len(distinct), np.uint64)
             key[which] = keys
@@ -366,12 +484,44 @@ def _shard(span: int):
                 out_starts.append(starts[holder] + offset[own])
                 out_sizes.append(length[own])
         release()
-        packed = [(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (out_ids, out_starts, out_sizes)]
-        return pa.table({"id": packed[0], "span": packed[1] << 32 | packed[2]})
+        spans = [(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (out_ids, out_starts, out_sizes)]
+        return pa.table({"id": spans[0], "span": spans[1] << 32 | spans[2]})
 
     return run
 
 
+def whole_copies(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    """``(id, n)`` of documents ``(id, text)`` that are byte-equal to one with a smaller id.
+
+    ``n`` is the bytes they lose. A group of copies, however large, is told by its smallest id.
+    """
+    long = rows.filter((F.octet_length("text") >= span) & (F.col("id") < LAST_ID))
+    marks = long.select("id", F.octet_length("text").alias("n"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    marks = materialize(marks, "suffix-digests")
+    groups = marks.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    groups = materialize(groups.filter("first < last").select("digest", "first"), "suffix-copied")
+    if fits(groups):
+        found = marks.join(F.broadcast(groups), "digest")
+    else:
+        found = salted_join(marks, groups, "digest", "id")
+    return materialize(found.filter("id > first").select("id", "n"), "suffix-copies")
+
+
+def _shared_anchors(rows: DataFrame, span: int, segments: int, filter_bytes: int, common: int):
+    """The broadcast filters of anchors in two or more rows; ``filter_bytes`` at most."""
+    filters = (
+        map_arrow(rows.select("id", "text"), _send_anchors(span, segments), "segment int, hashes binary, counts binary")
+        .groupBy("segment")
+        .applyInArrow(
+            _anchor_filters(max(8, filter_bytes // 2 // segments), common),
+            "segment int, shared binary, common binary",
+        )
+        .collect()
+    )
+    shared, very = ({int(r["segment"]): bytes(r[c]) for r in filters} for c in ("shared", "common"))
+    return rows.sparkSession.sparkContext.broadcast((segments, shared, very))
+
+
 def repeated_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -387,32 +537,27 @@ def repeated_spans(
     for_workers(spark)
     rows, segments = ids_and_bytes(docs, id_col, text_col), shuffle_parts(docs)
     shards = SHARDS * segments
-    filters = (
-        map_arrow(rows, _send_anchors(span, segments), "segment int, hashes binary, counts binary")
-        .groupBy("segment")
-        .applyInArrow(
-            _anchor_filters(max(8, filter_bytes // 2 // segments), common),
-            "segment int, shared binary, common binary",
-        )
-        .collect()
-    )  # filter_bytes at most
-    shared = spark.sparkContext.broadcast(
-        (
-            segments,
-            {int(r["segment"]): bytes(r["shared"]) for r in filters},
-            {int(r["segment"]): bytes(r["common"]) for r in filters},
-        )
-    )
-    schema = "shard int, keys binary, ids binary, starts binary, sizes binary, contents binary"
-    return (
-        map_arrow(rows, _send_stretches(span, shards, shared), schema)
+
+    def by_shard(sent: DataFrame):
         # A stated number of partitions: what is sent is small, and sorting it is not.
-        .repartition(segments, "shard")
-        .groupBy("shard")
-        .applyInArrow(_shard(span), "id bigint, span bigint")
-        .groupBy("id")
-        .agg(F.collect_list("span").alias("spans"))
+        return sent.repartition(segments, "shard").groupBy("shard")
+
+    copies = whole_copies(rows, span)
+    rows = rows.join(hinted(copies.select("id"), fits(copies)), "id", "left_anti")
+    anchors = _shared_anchors(rows, span, segments, filter_bytes, common)
+    cut = by_shard(map_arrow(rows, _send_chunks(span, shards, anchors), SENT))
+    settled = materialize(
+        cut.applyInArrow(_settle, "id bigint, span bigint, text binary, starts array<bigint>"), "suffix-chunks"
+    )
+    left = settled.filter("text IS NOT NULL").select("id", "text", "starts")
+    anchors = _shared_anchors(left, span, segments, filter_bytes, common)
+    sent = by_shard(map_arrow(left, _send_stretches(span, shards, anchors), SENT))
+    found = (
+        sent.applyInArrow(_shard(span), "id bigint, span bigint")
+        .unionByName(settled.filter("span IS NOT NULL").select("id", "span"))
+        .unionByName(copies.select("id", F.col("n").cast("bigint").alias("span")))
     )
+    return found.groupBy("id").agg(F.collect_list("span").alias("spans"))
 
 
 def _without_spans(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
