@@ -258,7 +258,7 @@ def parse(source: str) -> Page:
         else:
             flush()
         features = () if tag in NEUTRAL else (f"tag {tag}",)
-        features += tuple(sorted(f"name {w}" for w in words)[:20])
+        features += tuple(sorted(f"name {w}" for w in words))
         node = page.add(stack[-1][1], tag, features, weight, None)
         links += tag == "a"
         stack.append((tag, node, True))

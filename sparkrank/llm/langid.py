@@ -39,6 +39,8 @@ CHARS = 1 << 18
 ROWS = 256
 # Positions between rescalings of the forward pass.
 RESCALE = 8
+# Code points of a word up to which products of probabilities don't vanish in training.
+PLAIN = 64
 
 _word = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _START = "▁"
@@ -175,9 +177,12 @@ def _close(alpha, end, keep, lengths, scale, out) -> None:
 def expected_counts(vocabulary: Pieces, words: list[str], probability: np.ndarray) -> list[tuple]:
     """(word, piece, expected number) under each word's own ``probability`` (words, pieces).
 
-    For training words, whose lengths are bounded; one alpha and one beta per position.
+    One alpha and one beta per position. Where words are longer than ``PLAIN``, all is in
+    logarithms, so that no product vanishes.
     """
     width = max(map(len, words)) + 2
+    if width > PLAIN + 2:
+        return _expected_in_logs(vocabulary, words, probability, width)
     lengths, every = np.array([len(w) + 1 for w in words]), np.arange(len(words))
     steps = list(vocabulary.edges(words))
     alpha, beta = np.zeros((width, len(words))), np.zeros((width, len(words)))
@@ -193,6 +198,23 @@ def expected_counts(vocabulary: Pieces, words: list[str], probability: np.ndarra
     ]
 
 
+def _expected_in_logs(vocabulary: Pieces, words: list[str], probability, width: int) -> list[tuple]:
+    lengths, every = np.array([len(w) + 1 for w in words]), np.arange(len(words))
+    steps = [(end, n, rows, found, np.log(probability(rows, found))) for end, n, rows, found in vocabulary.edges(words)]
+    alpha, beta = np.full((width, len(words)), -np.inf), np.full((width, len(words)), -np.inf)
+    alpha[0], beta[lengths, every] = 0.0, 0.0
+    # A word has one piece at most of a length at an end, so no row comes twice in a step.
+    for end, n, rows, _, weight in steps:
+        alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[end - n, rows] + weight)
+    for end, n, rows, _, weight in reversed(steps):
+        beta[end - n, rows] = np.logaddexp(beta[end - n, rows], beta[end, rows] + weight)
+    total = alpha[lengths, every]
+    return [
+        (rows, found, np.exp(alpha[end - n, rows] + weight + beta[end, rows] - total[rows]))
+        for end, n, rows, found, weight in steps
+    ]
+
+
 class Model:
     """Languages, their log priors and piece probabilities; scores texts."""
 
@@ -245,13 +267,12 @@ class Model:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, n) per batch; words of over 64 characters teach nothing."""
+    """(lang, word, n) per batch."""
     for batch in batches:
         counts: dict[tuple[str, str], int] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
             for word in words_of(text.as_py()):
-                if len(word) <= 64:
-                    counts[lang, word] = counts.get((lang, word), 0) + 1
+                counts[lang, word] = counts.get((lang, word), 0) + 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [

@@ -42,6 +42,28 @@ def test_forward_sums_all_segmentations():
             assert found[row, lang] == pytest.approx(math.log(total[-1]), rel=1e-9)
 
 
+def test_expected_counts_of_long_words(monkeypatch):
+    """A word of 200 code points counts whole, and logarithms give what products give."""
+    vocabulary = langid.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["stone" * 40, "turning", "a", "überhaupt" * 9]
+    probability = np.random.default_rng(2).random(vocabulary.count) + 0.01
+    probability /= probability.sum()
+    chars = np.array([1, *map(len, vocabulary.texts[1:])])
+
+    def covered(some):
+        total = np.zeros(len(some))
+        for rows, found, n in langid.expected_counts(vocabulary, some, lambda rows, found: probability[found]):
+            np.add.at(total, rows, n * chars[found])
+        return total
+
+    assert np.allclose(covered(words), [len(w) + 1 for w in words])
+    plain = [w for w in words if len(w) < 60]
+    first = langid.expected_counts(vocabulary, plain, lambda rows, found: probability[found])
+    monkeypatch.setattr(langid, "PLAIN", 0)
+    again = langid.expected_counts(vocabulary, plain, lambda rows, found: probability[found])
+    assert all(np.allclose(a[2], b[2]) for a, b in zip(first, again))
+
+
 def test_expected_counts_are_whole():
     vocabulary = langid.pieces(PIECES)
     probability = np.full(vocabulary.count, 1 / vocabulary.count)
