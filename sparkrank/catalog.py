@@ -27,14 +27,15 @@ from .functions import (
 )
 from .functions.standins import HashedBagEncoder, TokenOverlapScorer
 from .operators import corpus, metrics, validate
-from .operators.approx import VectorIndex, train_centroids
+from .operators.approx import VectorIndex, calibrated_probes, train_centroids
+from .operators.graph import GraphIndex
 from .operators.joins import hinted
 from .operators.lexical import LexicalIndex, query_terms
 from .operators.models import encode
 from .operators.sizing import fits
 from .operators.topk import cut, numbered, ranking_order, top_k, with_rank
 from .plans.experiments import judged_queries, make_run, run_experiments
-from .plans.stages import ApproxStage, Bm25Stage, CosineStage, ModelStage, Ranking
+from .plans.stages import ApproxStage, Bm25Stage, CosineStage, GraphStage, ModelStage, Ranking
 from .sources import readers, writers
 from .sources.scratch import materialize, scratch_path
 
@@ -194,23 +195,47 @@ def run_and_qrels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return ranked_lists(both), both.select("query_id", "doc_id", "rel")
 
 
-# Whole tokens of a passage that stand in every text that contains it.
-GRAM = 5
+# Whole tokens of a passage, and first characters of one without any, that stand in every text that
+# contains it.
+GRAM, CHARS = 5, 8
 
 
 def containing_pairs(texts: DataFrame, passages: DataFrame) -> DataFrame:
     """``(query_id, doc_id)`` of texts that contain a passage.
 
-    Pairs come from equal token n-grams; the passage's first token may be the end of a longer
-    one, so its n-gram begins at the second.
+    Pairs come from equal keys, and are tested on the texts. A passage's first and last token may
+    be parts of longer ones, so its key is the whole tokens between them, ``GRAM`` at most. A
+    passage of one or two tokens has none: its key is its first characters, ``CHARS`` at most, of
+    which texts give theirs only if some passage asks for that many. An empty passage is in every
+    text.
     """
-    grams = lambda t, start: F.xxhash64(F.slice(t, start, GRAM))
-    asked = passages.withColumn("t", tokenize(F.col("text"))).filter(F.size("t") > GRAM + 1)
-    asked = asked.select("query_id", F.col("text").alias("passage"), grams(F.col("t"), 2).alias("gram"))
-    split = texts.select("doc_id", tokenize(F.col("text")).alias("t"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("t") - (GRAM - 1), F.lit(1)))
-    seen = split.select("doc_id", F.explode(F.array_distinct(F.transform(starts, lambda i: grams(F.col("t"), i)))).alias("gram"))
-    near = seen.join(hinted(asked, fits(asked)), "gram").select("query_id", "doc_id", "passage")
+    asked = passages.filter("text IS NOT NULL").select(
+        "query_id", F.col("text").alias("passage"), tokenize(F.col("text")).alias("t")
+    )
+    whole = F.least(F.size("t") - 2, F.lit(GRAM))
+    kind = F.when(whole > 0, whole).otherwise(-F.least(F.char_length("passage"), F.lit(CHARS)))
+    asked = asked.withColumn("kind", kind.cast("int"))
+    inner = F.xxhash64("kind", F.slice("t", F.lit(2), F.greatest("kind", F.lit(0))))
+    begin = F.xxhash64("kind", F.substr("passage", F.lit(1), -F.col("kind")))
+    asked = asked.select("query_id", "passage", "kind", F.when(F.col("kind") > 0, inner).otherwise(begin).alias("gram"))
+    asked = materialize(asked, "passages")
+    kinds = [r["kind"] for r in asked.select("kind").distinct().collect()]  # GRAM + CHARS + 1 at most
+    split = texts.filter("text IS NOT NULL").select(
+        "doc_id", tokenize(F.col("text")).alias("t"), *([F.split("text", "").alias("c")] if min(kinds, default=1) < 0 else [])
+    )
+
+    def keys(kind: int):
+        """Of all places of a text that have so many tokens or characters."""
+        parts, n = F.col("t" if kind > 0 else "c"), abs(kind)
+        places = F.when(F.size(parts) >= n, F.sequence(F.lit(1), F.size(parts) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        piece = lambda i: F.slice(parts, i, n) if kind > 0 else F.array_join(F.slice(parts, i, n), "")
+        return F.transform(places, lambda i: F.xxhash64(F.lit(kind), piece(i)))
+
+    every = [keys(kind) if kind else F.array(F.xxhash64(F.lit(0), F.lit(""))) for kind in sorted(kinds)]
+    every = F.concat(*every) if every else F.array().cast("array<bigint>")
+    seen = split.select("doc_id", F.explode(F.array_distinct(every)).alias("gram"))
+    small = asked.select("query_id", "passage", "gram")
+    near = seen.join(hinted(small, fits(small)), "gram").select("query_id", "doc_id", "passage").distinct()
     return near.join(texts, "doc_id").filter(F.col("text").contains(F.col("passage"))).select("query_id", "doc_id").distinct()
 
 
@@ -624,6 +649,40 @@ def approx_trained_top10(spark, sf_dir):
     return index.search(vectors(spark, sf_dir, "query_id"), 10, 2 * cells)
 
 
+def trained_index(points: DataFrame, per_root: float) -> VectorIndex:
+    """Cells trained by k-means, ``per_root`` times the root of the vectors."""
+    cells = max(1, round(per_root * points.count() ** 0.5))
+    return VectorIndex.build(points, train_centroids(points, cells, seed=7))
+
+
+@query(sql.COSINE_TOP10)
+def approx_exact_top10(spark, sf_dir):
+    """Cells are passed over only where their radii show that they hold nothing better."""
+    index = trained_index(vectors(spark, sf_dir), 1.0)
+    return index.search_exact(vectors(spark, sf_dir, "query_id"), 10)
+
+
+@query()
+def approx_recall_top10(spark, sf_dir):
+    """As many probes as a recall of 0.9 takes, told by a sample of the vectors."""
+    index = trained_index(vectors(spark, sf_dir), 4.0)
+    probes = calibrated_probes(index, 10, 0.9)
+    return index.search(vectors(spark, sf_dir, "query_id"), 10, probes)
+
+
+@query()
+def graph_top10(spark, sf_dir):
+    """Search by walking a neighbour graph of all vectors."""
+    return GraphIndex.build(vectors(spark, sf_dir)).search(vectors(spark, sf_dir, "query_id"), 10)
+
+
+@query()
+def graph_then_cosine(spark, sf_dir):
+    """A walk of the graph of text vectors, re-ranked exactly."""
+    graph = lambda given: GraphStage(GraphIndex.build(given.doc_vectors), given.query_vectors)
+    return chain(spark, sf_dir, graph, cosine_stage, depths=[100, 10])
+
+
 @query(sql.APPROX_RESTRICTED)
 def approx_restricted(spark, sf_dir):
     """Approximate search among candidates only."""

@@ -9,7 +9,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +23,19 @@ from .corpus import restrict, with_vectors
 from .dense import nearest, pair_vectors
 from .joins import hinted
 from .scan import TILE, best_rows, rounded, unit_rows, vector_matrix
-from .sizing import fits
+from . import sizing
+from .sizing import fits, union_all
 from .topk import ranking_order, top_k
 from .validate import require_rows
 
 # Cells of one folder, and rows of one file, of a saved index.
 SLOT_CELLS = 64
 FILE_ROWS = 500_000
+# Documents that serve as queries when probes are chosen for a recall, and what the recall wanted is
+# raised by for their small number.
+CALIBRATION, MARGIN = 200, 0.01
+# Angles are given so much room, for rounding.
+SLACK = 1e-6
 
 
 def train_centroids(
@@ -61,8 +68,29 @@ def train_centroids(
     sizes = sizes.select("coarse", share.alias("wanted"))
     drawn = placed.withColumn("draw", F.xxhash64("doc_id", F.lit(seed)))
     first = top_k(drawn, ["coarse"], [F.asc("draw"), F.asc("doc_id")], cells)
-    chosen = first.join(sizes, "coarse").filter(F.col("rank") <= F.col("wanted"))
-    fine = chosen.orderBy("coarse", "rank").select("coarse", "embedding").toArrow()
+    chosen = materialize(
+        first.join(sizes, "coarse").filter(F.col("rank") <= F.col("wanted")).select("coarse", "embedding", "rank"),
+        "first-centres",
+    )
+    # Fine centres move among their own coarse cell's vectors only, so coarse cells are trained in
+    # portions whose centres are few enough to be sent.
+    width = sizing.measured_size(chosen)[1]
+    portions = max(1, min(coarse, math.ceil(2 * width / sizing.BROADCAST_BYTES)))
+    trained, known = [], 0
+    for portion in range(portions):
+        own = F.col("coarse") % portions == portion
+        fine = chosen.filter(own).orderBy("coarse", "rank").select("coarse", "embedding").toArrow()
+        units = _trained(placed.filter(own) if portions > 1 else placed, fine, max_iter)
+        numbers = pa.array(known + np.arange(len(units)), pa.int32())
+        known += len(units)
+        trained.append(spark.createDataFrame(pa.table({"cell": numbers, "centroid": list(units)})))
+        if portions > 1:
+            trained[-1] = materialize(trained[-1], "centres")
+    return union_all(trained)
+
+
+def _trained(placed: DataFrame, fine: pa.Table, max_iter: int) -> np.ndarray:
+    """Unit vectors of the ``fine(coarse, embedding)`` centres after their rounds."""
     groups = fine.column("coarse").to_numpy()
     units = unit_rows(vector_matrix(fine.column("embedding")), 0.0)
     for _ in range(max_iter):
@@ -70,16 +98,19 @@ def train_centroids(
         new = units.copy()
         if sums.num_rows:
             new[sums.column("cell").to_numpy()] = unit_rows(vector_matrix(sums.column("sum")), 0.0)
-        still = np.abs(new - units).max() < 1e-6
+        still = len(units) == 0 or np.abs(new - units).max() < 1e-6
         units = new
         if still:
             break
-    table = pa.table({"cell": pa.array(np.arange(len(units)), pa.int32()), "centroid": list(units)})
-    return spark.createDataFrame(table)
+    return units
 
 
 def _moved(placed: DataFrame, groups: np.ndarray, units: np.ndarray) -> DataFrame:
-    """``(cell, sum)``: sums of the unit vectors nearest to each fine centre."""
+    """``(cell, sum)``: sums of the unit vectors nearest to each fine centre.
+
+    A task gives one dense array per centre it has seen; arrays are added up where they meet, and
+    in part before they are shuffled.
+    """
     shared = ship_package(placed.sparkSession).broadcast((groups, units))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,20 +128,15 @@ def _moved(placed: DataFrame, groups: np.ndarray, units: np.ndarray) -> DataFram
                     np.add.at(sums, near, rows[at])
                     seen[near] = True
         cells = np.flatnonzero(seen)
-        places = np.arange(sums.shape[1])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(cells, len(places)).astype(np.int32)),
-                pa.array(np.tile(places, len(cells)).astype(np.int32)),
-                pa.array(sums[cells].ravel()),
-            ],
-            names=["cell", "place", "x"],
+        width = sums.shape[1] if sums.ndim == 2 else 0
+        arrays = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(cells) + 1) * width, pa.int32()), pa.array(sums[cells].ravel())
         )
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), arrays], names=["cell", "sum"])
 
-    parts = placed.select("coarse", "embedding").mapInArrow(run, "cell int, place int, x double")
-    summed = parts.groupBy("cell", "place").agg(F.sum("x").alias("x"))
-    listed = F.sort_array(F.collect_list(F.struct("place", "x")))
-    return summed.groupBy("cell").agg(F.transform(listed, lambda s: s.x).alias("sum"))
+    parts = placed.select("coarse", "embedding").mapInArrow(run, "cell int, sum array<double>")
+    summed = parts.groupBy("cell").agg(Summarizer.sum(array_to_vector("sum")).alias("sum"))
+    return summed.select("cell", vector_to_array("sum").alias("sum"))
 
 
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, n: int) -> DataFrame:
@@ -165,9 +191,33 @@ def _assigned(vectors: DataFrame, centroids: pa.Table, n: int) -> DataFrame:
     return vectors.mapInArrow(assign, schema)
 
 
+def cell_angles(cells: DataFrame, centroids: DataFrame) -> DataFrame:
+    """``centroids`` with ``low, high``: the least and the largest angle of a cell's vectors to its
+    centroid, with room for rounding (null for an empty cell). One pass, partial in each task."""
+    near = cells.join(hinted(centroids, fits(centroids)), "cell")
+    cosines = F.coalesce(cosine(F.col("embedding").cast("array<double>"), F.col("centroid")), F.lit(0.0))
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosines)))
+    spread = near.select("cell", angle.alias("angle")).groupBy("cell").agg(
+        (F.min("angle") - SLACK).alias("low"), (F.max("angle") + SLACK).alias("high")
+    )
+    return centroids.join(spread, "cell", "left")
+
+
+def _listed(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of lists of cells of any length, in order of (cell, row)."""
+    lists = column.combine_chunks()
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    order = np.argsort(flat, kind="stable")
+    return rows[order], flat[order]
+
+
 @dataclass(frozen=True)
 class VectorIndex:
-    """``cells(cell, doc_id, embedding)`` and the ``centroids(cell, centroid)`` that made them."""
+    """``cells(cell, doc_id, embedding)`` and the ``centroids(cell, centroid)`` that made them.
+
+    Centroids also have ``low, high``, the angles between which their cell's vectors lie.
+    """
 
     cells: DataFrame
     centroids: DataFrame
@@ -181,7 +231,8 @@ class VectorIndex:
         known = materialize(centroids.select("cell", "centroid"), "centroids")
         cells = nearest_cells(vectors, known, 1)
         cells = cells.select(F.get("cells", F.lit(0)).alias("cell"), "doc_id", "embedding")
-        return cls(materialize(cells, "cells"), known)
+        cells = materialize(cells, "cells")
+        return cls(cells, materialize(cell_angles(cells, known), "centroids"))
 
     def save(self, path: str) -> VectorIndex:
         """Write the cells in folders of ``SLOT_CELLS`` cells, each file sorted by cell.
@@ -221,7 +272,45 @@ class VectorIndex:
 
         ``within(doc_id)`` limits the documents looked at.
         """
-        probed = self.probes(query_vectors, nprobe)
+        return self._visited(self.probes(query_vectors, nprobe), k, within)
+
+    def reachable(self, probed: DataFrame, found: DataFrame, k: int) -> DataFrame:
+        """``(query_id, embedding, cells)``: cells not in ``probed.cells`` that may hold a document
+        as good as the k-th of ``found``.
+
+        A document at angle ``a`` from its cell's centroid and a query at ``t`` from that are at
+        least ``|t - a|`` apart, and a cell's documents lie between two angles. Centroids are sent
+        in portions of a checked size.
+        """
+        spark = self.cells.sparkSession
+        kth = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        asked = probed.join(kth, "query_id", "left").select("query_id", "embedding", "cells", "kth")
+        asked = materialize(asked, "probed")
+        known = self.centroids.filter("high IS NOT NULL").select("cell", "centroid", "low", "high")
+        portions = max(1, math.ceil(sizing.measured_size(known)[1] / sizing.BROADCAST_BYTES))
+        schema = T.StructType([f for f in asked.schema.fields if f.name != "kth"])
+        out = []
+        for portion in range(portions):
+            table = known.filter(F.col("cell") % portions == portion).orderBy("cell").toArrow()
+            units = unit_rows(vector_matrix(table.column("centroid")), 0.0)
+            shared = ship_package(spark).broadcast((units, *(table.column(c).to_numpy() for c in ("cell", "low", "high"))))
+            out.append(asked.mapInArrow(_in_reach(shared), schema))
+        return union_all(out)
+
+    def search_exact(self, query_vectors: DataFrame, k: int, first: int = 8) -> DataFrame:
+        """The ``k`` nearest documents of all, as :func:`cosine_search`, passing over what can't matter.
+
+        Queries search their ``first`` nearest cells, and after that every cell that may hold a
+        document as good as what they have. Documents without direction score 0.
+        """
+        probed = materialize(self.probes(query_vectors, first), "probes")
+        near = materialize(self._visited(probed, k), "first-cells")
+        rest = self._visited(self.reachable(probed, near, k).filter(F.size("cells") > 0), k)
+        both = near.select("query_id", "doc_id", "score").unionByName(rest.select("query_id", "doc_id", "score"))
+        return top_k(both, ["query_id"], ranking_order(both), k).select("query_id", "doc_id", "score", "rank")
+
+    def _visited(self, probed: DataFrame, k: int, within: DataFrame | None = None) -> DataFrame:
+        """The ``k`` best of the cells that ``probed(query_id, embedding, cells)`` names."""
         documents = restrict(self.cells, within)
         if self.saved:
             # Folders that nobody probes are not read.
@@ -230,11 +319,9 @@ class VectorIndex:
             documents = documents.join(hinted(wanted, fits(wanted)), ["slot", "cell"], "left_semi")
 
         def prepare(table: pa.Table):
-            lists = vector_matrix(table.column("cells")).astype(np.int64)
-            order = np.argsort(lists, axis=None, kind="stable")
-            cells, starts = np.unique(lists.ravel()[order], return_index=True)
-            rows = np.split(order // max(1, lists.shape[1]), starts[1:])
-            visitors = dict(zip(cells.tolist(), rows))
+            rows, listed = _listed(table.column("cells"))
+            cells, starts = np.unique(listed, return_index=True)
+            visitors = dict(zip(cells.tolist(), np.split(rows, starts[1:])))
             return unit_rows(vector_matrix(table.column("embedding")), 0.0), visitors
 
         def score(state, batch: pa.RecordBatch):
@@ -272,3 +359,54 @@ class VectorIndex:
         return top_k(scored, ["query_id"], ranking_order(scored), k).select(
             "query_id", "doc_id", "score", "rank"
         )
+
+
+def _in_reach(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, cells, low, high = shared.value
+        step = max(1, TILE // max(1, len(cells)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                rows = unit_rows(vector_matrix(batch.column("embedding")), 0.0)
+                angle = np.arccos(np.clip(rows @ units.T, -1.0, 1.0))
+                least = np.maximum(0.0, np.maximum(angle - high, low - angle))
+                # Scores are rounded, so a document may be as good as one that is a little better.
+                floor = batch.column("kth").to_numpy(zero_copy_only=False).astype(np.float64) - 2e-6
+                near = ~(np.cos(np.minimum(np.pi, least)) < floor[:, None])
+                # Without direction, a vector scores 0 with everything.
+                near |= ~rows.any(axis=1)[:, None] & ~(0.0 < floor[:, None])
+                lists = batch.column("cells")
+                have = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+                seen = lists.flatten().to_numpy(zero_copy_only=False)
+                place = np.minimum(np.searchsorted(cells, seen), len(cells) - 1)
+                hit = cells[place] == seen if len(cells) else np.zeros(0, bool)
+                near[have[hit], place[hit]] = False
+                row, column = np.nonzero(near)
+                offsets = np.searchsorted(row, np.arange(batch.num_rows + 1))
+                chosen = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(cells[column], pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("query_id"), batch.column("embedding"), chosen], names=["query_id", "embedding", "cells"]
+                )
+
+    return run
+
+
+def calibrated_probes(index: VectorIndex, k: int, recall: float, sample: int = CALIBRATION, seed: int = 0) -> int:
+    """The fewest probes with which ``k`` nearest documents are found with the wanted recall.
+
+    ``sample`` documents, drawn by a hash, are searched for exactly, themselves left out; a true
+    neighbour is found with as many probes as its cell's place in the query's order of cells.
+    """
+    drawn = index.cells.withColumn("draw", F.xxhash64("doc_id", F.lit(seed))).orderBy("draw", "doc_id").limit(sample)
+    asked = materialize(drawn.select(F.col("doc_id").alias("query_id"), "embedding"), "calibration")
+    found = nearest(index.cells.select("doc_id", "embedding"), asked, k + 1, 0.0)
+    found = top_k(found, ["query_id"], ranking_order(found), k + 1)
+    true = top_k(found.filter("query_id <> doc_id").drop("rank"), ["query_id"], ranking_order(found), k)
+    total = index.centroids.count()
+    order = index.probes(asked, total).select("query_id", F.posexplode("cells").alias("place", "cell"))
+    homes = true.select("query_id", "doc_id").join(index.cells.select("doc_id", "cell"), "doc_id")
+    places = homes.join(order, ["query_id", "cell"]).groupBy("place").agg(F.count("*").alias("n")).orderBy("place").toArrow()
+    counts = places.column("n").to_numpy()
+    enough = np.cumsum(counts) >= min(1.0, recall + MARGIN) * counts.sum()
+    return int(places.column("place").to_numpy()[enough.argmax()]) + 1 if len(counts) else 1

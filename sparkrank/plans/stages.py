@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.approx import VectorIndex
 from ..operators.corpus import restrict
 from ..operators.dense import cosine_rerank, cosine_search
+from ..operators.graph import BEAM, GraphIndex
 from ..operators.lexical import LexicalIndex
 from ..operators.models import BATCH, model_rerank, model_search
 from ..operators.validate import required, with_required
@@ -99,6 +100,28 @@ class ApproxStage:
         return self.index.rerank(candidates, wanted, k, self.nprobe)
 
 
+@dataclass(frozen=True)
+class GraphStage:
+    """Approximate search by a walk of the neighbour graph, always through the whole collection."""
+
+    index: GraphIndex
+    query_vectors: DataFrame
+    beam: int = BEAM
+    name: str | None = None
+
+    @property
+    def label(self) -> str:
+        return self.name or f"Graph({self.index.degree}-{self.beam})"
+
+    @property
+    def reads_candidates(self) -> bool:
+        return False
+
+    def search(self, queries: DataFrame, candidates: DataFrame | None, k: int) -> DataFrame:
+        wanted = with_required(queries, self.query_vectors, "query_id", "embedding")
+        return self.index.search(wanted, k, self.beam)
+
+
 @dataclass(frozen=True)
 class ModelStage:
     """Pairwise model over query and passage texts (a cross-encoder)."""

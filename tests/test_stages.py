@@ -2,6 +2,7 @@ import pytest
 from conftest import ranked_lists
 from pyspark.sql import functions as F
 
+from sparkrank import catalog
 from sparkrank.functions.standins import HashedBagEncoder, TokenOverlapScorer
 from sparkrank.operators import sizing
 from sparkrank.operators.lexical import LexicalIndex
@@ -196,3 +197,23 @@ def test_empty_inputs_are_errors(spark, docs, questions):
     some = spark.createDataFrame([("d1", [1.0])], none.schema)
     with pytest.raises(ValueError, match="no centroids found"):
         VectorIndex.build(some, centres)
+
+
+def test_passages_of_any_length_are_found(spark):
+    texts = [
+        (1, "xalpha beta gammay and so on"), (2, "alpha  beta gamma"), (3, ""), (4, "日本語のテキスト and beta"),
+        (5, "a b c d e f g h i"), (6, "one two three four five six seven eight"), (7, "aaaa"), (8, None), (9, "eta"),
+    ]
+    passages = [
+        "", " ", "a", "eta", "alpha", "alpha beta", "a b", "c d e", "two three four five", "wo three four five six",
+        "wo three four five six sev", "two three four five six seven e", "語のテ", "aaaaa", "alpha  beta", "lpha beta gamma", "beta gamma",
+        "b c d e f g h", "zzz", "a\tb",
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    asked = spark.createDataFrame([*enumerate(passages), (99, None)], "query_id long, text string")
+    found = {tuple(r) for r in catalog.containing_pairs(docs, asked).collect()}
+    assert found == {(q, i) for q, p in enumerate(passages) for i, t in texts if t is not None and p in t}
+    for p in ("lpha beta gamma", "aaaa"):  # one length asked for
+        one = spark.createDataFrame([(0, p)], "query_id long, text string")
+        assert {tuple(r) for r in catalog.containing_pairs(docs, one).collect()} == {(0, i) for i, t in texts if t and p in t}
+    assert catalog.containing_pairs(docs, asked.limit(0)).count() == 0
