@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkrank.llm.langid import keep_identified, learn_languages
 from sparkrank.llm.line_dedup import line_dedup
 from sparkrank.llm.packing import pack_documents
-from sparkrank.llm.shingle_dedup import drop_similar
+from sparkrank.llm.simhash import drop_near_duplicates
 from sparkrank.llm.suffix_dedup import drop_repeated_strings
 from sparkrank.sources.scratch import materialize
 
@@ -30,9 +30,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
-    Near are texts whose five-word shingles have a similarity of 0.8 or more.
+    Groups are components of SimHash fingerprints (three-word shingles) at 2 or fewer differing bits.
+    Null and blank texts are one group.
     """
-    return drop_similar(docs)
+    return drop_near_duplicates(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
