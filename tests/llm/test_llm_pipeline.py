@@ -1,5 +1,8 @@
 """The pipeline against plain versions of its stages, one after another."""
 
+import random
+
+import awkward
 import brute
 import corpus_pipeline
 import duckdb
@@ -24,6 +27,22 @@ def test_pipeline(spark, small):
     assert used <= sum(r["length"] for r in found) / 1024 * 1.01 + 2
 
 
+def test_near_duplicate_stage_keeps_the_first_of_each_component(spark):
+    r, rows = random.Random(2), []
+    for family in range(20):
+        base = [f"w{r.randrange(5000)}" for _ in range(400)]
+        for n in range(4):
+            own = base[:]
+            for at in r.sample(range(400), n):
+                own[at] = "changed"
+            rows.append((4 * family + n, " ".join(own)))
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    found = stage(spark, awkward.docs(spark, rows, clashing=False), "")
+    firsts = [i for i, (_, component) in brute.components(rows).items() if component == i]
+    assert sorted(x["doc_id"] for x in found.collect()) == sorted(firsts)
+    assert 20 <= len(firsts) < len(rows)
+
+
 def test_stages_keep_columns(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
