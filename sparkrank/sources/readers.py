@@ -10,20 +10,19 @@ from pyspark.sql import functions as F
 from ..functions.text import WHITESPACE
 from ..operators.corpus import keep_last, keep_last_sparse, restrict
 from ..operators.sizing import union_all
+from .quoted import read_quoted
 
 
-def _tsv(spark: SparkSession, path: str, schema: str, quoted: bool) -> DataFrame:
-    """Headerless tab-separated text with a fixed schema.
+def _tsv(spark: SparkSession, path: str, schema: str, quoted: bool, file_order: int) -> DataFrame:
+    """Headerless tab-separated text with a fixed schema and the position of its rows.
 
     By default every line is one row and quotes are text. ``quoted`` reads quoted fields, which
-    may hold tabs, doubled quotes and line ends; such files cannot be split between tasks.
+    may hold tabs, doubled quotes and line ends.
     """
-    reader = spark.read.schema(schema).option("sep", "\t").option("nullValue", "\u0000")
     if quoted:
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
-    else:
-        reader = reader.option("quote", "").option("escape", "")
-    return reader.csv(path)
+        return read_quoted(spark, path, schema).withColumn("_file", F.lit(file_order))
+    reader = spark.read.schema(schema).option("sep", "\t").option("nullValue", "\u0000")
+    return _positioned(reader.option("quote", "").option("escape", "").csv(path), file_order)
 
 
 # Order of rows over files, splits of a file, and lines of a split.
@@ -47,7 +46,7 @@ def read_collection(
 
     With ``subset``, a path or a table of ids, only listed ids are kept, before anything else.
     """
-    rows = _positioned(_tsv(spark, path, "doc_id string, text string", quoted), 0)
+    rows = _tsv(spark, path, "doc_id string, text string", quoted, 0)
     if isinstance(subset, str):
         subset = read_subset(spark, subset)
     rows = restrict(rows, subset)
@@ -63,7 +62,7 @@ def read_subset(spark: SparkSession, path: str) -> DataFrame:
 def read_queries(spark: SparkSession, paths: Sequence[str], quoted: bool = False) -> DataFrame:
     """``(query_id STRING, text STRING)`` of several files; later files and rows win."""
     files = [
-        _positioned(_tsv(spark, path, "query_id string, text string", quoted), i)
+        _tsv(spark, path, "query_id string, text string", quoted, i)
         for i, path in enumerate(paths)
     ]
     rows = union_all(files).withColumn("text", F.coalesce("text", F.lit("")))
@@ -113,7 +112,7 @@ def read_query_ids(spark: SparkSession, path: str) -> DataFrame:
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """``(run_name, query_id, doc_id, rank, score, run_id)`` of a folder of run files.
 
-    The run name is the file's, or that of its ``run_name=`` folder as our writer lays it out.
+    The run name is the file's, or for parts of a run that of their folder.
     """
     # Names are taken from the path, so folders are not read as typed partition columns.
     lines = spark.read.option("recursiveFileLookup", True).text(path)
@@ -121,10 +120,12 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     # Run names may hold characters that paths escape.
     place = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
     folder = F.regexp_extract(place, "run_name=([^/]*)", 1)
-    file = F.element_at(F.split(place, "/"), -1)
+    steps = F.split(place, "/")
+    file = F.element_at(steps, -1)
+    name = F.when(file.rlike(r"^part-\d{5}$"), F.element_at(steps, -2)).otherwise(file)
     parts = F.split("value", "\t")
     return located.filter(F.size(parts) >= 6).select(
-        F.when(folder == "", file).otherwise(F.url_decode(folder)).alias("run_name"),
+        F.when(folder == "", name).otherwise(F.url_decode(folder)).alias("run_name"),
         F.get(parts, F.lit(0)).alias("query_id"),
         F.get(parts, F.lit(2)).alias("doc_id"),
         F.get(parts, F.lit(3)).cast("int").alias("rank"),

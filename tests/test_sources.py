@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +32,42 @@ def test_quoted_collection(spark, tmp_path):
         ("1", 'a "b"\tc\nd'), ("2", "plain")}
 
 
+def quoted_rows(seed=4):
+    r = random.Random(seed)
+    bits = ["plain", '"', '""', "\n", "\t", " ", "\r", "é", "\n\n", 'in"side', "x" * 40, '"\n"', '\t"']
+    return [(str(i), "".join(r.choices(bits, k=r.randint(0, 12)))) for i in range(300)]
+
+
+@pytest.mark.parametrize("size", ["64b", "1k", "1m"])
+def test_quoted_files_in_pieces(spark, tmp_path, size):
+    rows = quoted_rows() + [("long", "a\n" * 500 + '"' + "\nb" * 300)]
+    text = ""
+    for i, t in rows:
+        bare = t[:1] != '"' and not set("\n\t\r") & set(t) and int(i, 36) % 2
+        text += i + "\t" + (t if bare else '"' + t.replace('"', '""') + '"') + "\n"
+    path = str(tmp_path / "c.tsv")
+    (tmp_path / "c.tsv").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = spark.read.text(path).rdd.getNumPartitions()
+        assert read > 10 or size == "1m"
+        found = pairs(readers.read_collection(spark, path, quoted=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == set(rows)
+
+
+def test_quoted_files_with_carriage_returns_and_open_quotes(spark, tmp_path):
+    (tmp_path / "a.tsv").write_bytes(b'1\t"x"\r\n\r\n\n2\tsize 5"\n3\t"q"rest\n4\t"open\n5\tin\n')
+    found = dict(pairs(readers.read_collection(spark, str(tmp_path / "a.tsv"), quoted=True)))
+    assert (found["1"], found["2"], set(found)) == ("x", 'size 5"', {"1", "2", "3", "4"})
+    assert found["4"].startswith('open\n5\tin') or found["4"].startswith('"open\n5\tin')
+    (tmp_path / "empty.tsv").write_bytes(b"")
+    assert pairs(readers.read_queries(spark, [str(tmp_path / "empty.tsv")], quoted=True)) == set()
+
+
 def test_last_row_of_an_id_wins(spark, tmp_path):
     lines = "".join(f"{i % 50}\tt{i}\n" for i in range(120))
     path = put(tmp_path / "c.tsv", lines)
@@ -111,6 +149,41 @@ def test_run_files_round_trip(spark, run, tmp_path):
     assert line == "q1\t0\td3\t3\t0.333333\trun_1"
 
 
+def test_one_ordered_file_per_run(spark, run, tmp_path):
+    path = tmp_path / "runs"
+    writers.write_runs(run.repartition(7), str(path))
+    names = {r[0] for r in run.select("run_name").distinct().collect()}
+    assert {f.name for f in path.iterdir() if not f.name.startswith(".")} == names
+    for name in names:
+        lines = [line.split("\t") for line in (path / name).read_text().splitlines()]
+        assert [(f[0], int(f[3])) for f in lines] == sorted((f[0], int(f[3])) for f in lines)
+        assert len(lines) == run.filter(F.col("run_name") == name).count()
+    with pytest.raises(ValueError, match="exists"):
+        writers.write_runs(run, str(path))
+    with pytest.raises(ValueError, match="exists"):
+        writers.write_runs(run, str(path), mode="append")
+    writers.write_runs(run.filter("cutoff = 3"), str(path), mode="overwrite")
+    assert [f.name for f in path.iterdir() if not f.name.startswith(".")] == [
+        n for n in names if n.endswith("-3.txt")]
+
+
+def test_long_runs_are_ordered_parts(spark, run, tmp_path):
+    path = tmp_path / "runs"
+    writers.write_runs(run, str(path), file_lines=10)
+    long = next(f for f in path.iterdir() if f.is_dir() and f.name.endswith("-10.txt"))
+    parts = sorted(f for f in long.iterdir() if not f.name.startswith("."))
+    lines = [x.split("\t") for f in parts for x in f.read_text().splitlines()]
+    assert len(parts) > 1 and len(lines) == 30
+    assert [(f[0], int(f[3])) for f in lines] == sorted((f[0], int(f[3])) for f in lines)
+    back = readers.read_runs(spark, str(path)).select("run_name", "query_id", "doc_id", "rank")
+    assert pairs(back) == pairs(run.select(back.columns))
+
+
+def test_no_run_is_an_empty_folder(spark, run, tmp_path):
+    writers.write_runs(run.limit(0), str(tmp_path / "runs"))
+    assert readers.read_runs(spark, str(tmp_path / "runs")).count() == 0
+
+
 def test_flat_run_files(spark, tmp_path):
     put(tmp_path / "one.tsv-x-[1]-10.txt", "q\t0\td\t1\t0.500000\tr\nbroken line\n")
     assert pairs(readers.read_runs(spark, str(tmp_path))) == {
