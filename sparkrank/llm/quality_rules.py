@@ -1,7 +1,7 @@
 """Line-first quality rules in DataFrame functions only.
 
-Every line is judged by itself (punctuation, navigation, boilerplate, symbols, shouting). Failing
-lines are removed, and a document that loses too much of its text that way is rejected. Two base
+Every line is judged by itself (punctuation, navigation, boilerplate, symbols, shouting); only lines
+of wrapped prose may stand without punctuation of their own. Failing lines are removed, and a document that loses too much of its text that way is rejected. Two base
 rules on the whole text come on top: too few words, and too many words in repeated windows.
 
 All work happens inside the row. No text is exploded into rows and nothing is shuffled, so a very
@@ -25,8 +25,12 @@ LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 
 # Line rules. A line fails if any of them holds.
-SENTENCE_END = r"[.!?\x{2026}\x{3002}\x{ff01}\x{ff1f}:;]['\")\]\x{bb}\x{201d}\x{2019}]*(\s|$)"
+SENTENCE_END = r"[\x{3002}\x{ff01}\x{ff1f}]|[.!?\x{2026}:;]['\")\]\x{bb}\x{201d}\x{2019}]*(\s|$)"
+LINE_END = r"[.!?\x{2026}\x{3002}\x{ff01}\x{ff1f}:;]['\")\]\x{bb}\x{201d}\x{2019}]*$"
 SHORT_LINE = 12
+# Lengths that a wrapped line may have, and how many lines around it show the width of the wrapping.
+WRAPPED = (24, 120)
+AROUND = 3
 SEPARATORS = r" [|>\x{bb}\x{b7}\x{2022}/] "
 BOILERPLATE = (
     r"(?i)all rights reserved|terms of (use|service)|privacy policy|cookie policy|"
@@ -57,12 +61,60 @@ def words_of(text: Column) -> Column:
     )
 
 
-def line_fails(line: Column) -> Column:
+def _padded(column: Column) -> Column:
+    return F.concat(F.array_repeat(F.lit(None).cast("int"), AROUND), column)
+
+
+def _largest(column: Column, by: int) -> Column:
+    return F.zip_with(column, _shifted(column, by), lambda a, b: F.greatest(a, b))
+
+
+def with_wrapped(rows: DataFrame, lines: str, out: str) -> DataFrame:
+    """``rows`` with ``out``: per element of ``lines``, whether it is a line of wrapped prose.
+
+    A line flows into the next if it does not end a sentence and the first word of the next would
+    have made it longer than the next and all lines around: that is what breaking lines at a width
+    gives, in any language. Lines that flow, and those they flow into, are wrapped prose if a
+    sentence ends in a line around. Lists of titles have no such ends, menus no such lengths.
+    """
+    least, most = WRAPPED
+
+    def measured(line: Column) -> Column:
+        inner = F.btrim(line, F.lit(BLANKS))
+        size = F.char_length(inner)
+        return F.struct(
+            size.alias("n"),
+            F.char_length(F.substring_index(inner, " ", 1)).alias("first"),
+            F.when(size <= most, size).alias("near"),
+            F.when(size <= most, line.rlike(SENTENCE_END).cast("int")).alias("stop"),
+            (size.between(least, most) & ~inner.rlike(LINE_END)).alias("open"),
+        )
+
+    found = rows.withColumn("_m", F.transform(lines, measured))
+    for name in ("near", "stop"):
+        found = found.withColumn(f"_{name}", _padded(F.col(f"_m.{name}")))
+        # Windows of 2, 4 and 7 lines.
+        for by in (1, 2, AROUND):
+            found = found.withColumn(f"_{name}", _largest(F.col(f"_{name}"), by))
+
+    def flows(a: Column, b: Column) -> Column:
+        reach = a.n + 1 + b.first
+        return F.when(a.open & (b.n > 0) & (reach > b.n), reach)
+
+    reach = F.zip_with("_m", _shifted(F.col("_m"), 1), flows)
+    found = found.withColumn("_flow", F.zip_with(reach, "_near", lambda r, w: F.coalesce(r > w, F.lit(False))))
+    before = F.concat(F.array(F.lit(False)), "_flow")
+    either = F.zip_with("_flow", before, lambda a, b: a | b)
+    wrapped = F.zip_with(either, "_stop", lambda e, s: F.coalesce(e & (s > 0), F.lit(False)))
+    return found.withColumn(out, wrapped).drop("_m", "_near", "_stop", "_flow")
+
+
+def line_fails(line: Column, wrapped: Column) -> Column:
     """True if a line with at least one word fails one of the line rules."""
     spaces = F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit("")))
     words = spaces + 1
     length = F.char_length(line)
-    unpunctuated = (words < SHORT_LINE) & ~line.rlike(SENTENCE_END)
+    unpunctuated = (words < SHORT_LINE) & ~wrapped & ~line.rlike(SENTENCE_END)
     links = F.regexp_count(line, F.lit(SEPARATORS))
     navigation = (links >= 3) & (links * 4 >= words)
     boilerplate = (words <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
@@ -106,15 +158,18 @@ def quality_rules(
         named(docs, id_col).alias("_id"),
         text.alias("_text"),
         words_of(text).alias("_words"),
-        F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "").alias("_lines"),
+        F.split(text, "\n").alias("_raw"),
     )
-    hashed = base.select(
+    filled = lambda x: F.btrim(x, F.lit(BLANKS)) != ""
+    judged = F.zip_with("_raw", "_wrapped", lambda x, w: F.struct(x.alias("x"), w.alias("w")))
+    good = F.filter(judged, lambda p: filled(p.x) & ~line_fails(p.x, F.coalesce(p.w, F.lit(False))))
+    hashed = with_wrapped(base, "_raw", "_wrapped").select(
         "_id",
         "_text",
-        "_lines",
+        F.filter("_raw", filled).alias("_lines"),
         F.size("_words").alias("n_words"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_one"),
-        F.filter("_lines", lambda x: ~line_fails(x)).alias("_good"),
+        F.transform(good, lambda p: p.x).alias("_good"),
     )
     two = hashed.withColumn("_two", _joined(F.col("_one"), _shifted(F.col("_one"), 1))).drop("_one")
     four = two.withColumn("_four", _joined(F.col("_two"), _shifted(F.col("_two"), 2))).drop("_two")

@@ -38,7 +38,8 @@ FROM m GROUP BY doc_id
 """
 
 _SEPARATORS = r" [|>\x{bb}\x{b7}\x{2022}/] "
-_SENTENCE_END = r"[.!?\x{2026}\x{3002}\x{ff01}\x{ff1f}:;][''\")\]\x{bb}\x{201d}\x{2019}]*(\s|$)"
+_SENTENCE_END = r"[\x{3002}\x{ff01}\x{ff1f}]|[.!?\x{2026}:;][''\")\]\x{bb}\x{201d}\x{2019}]*(\s|$)"
+_LINE_END = r"[.!?\x{2026}\x{3002}\x{ff01}\x{ff1f}:;][''\")\]\x{bb}\x{201d}\x{2019}]*$"
 _BOILERPLATE = (
     r"(?i)all rights reserved|terms of (use|service)|privacy policy|cookie policy|"
     r"(accept|uses?) (all )?cookies|sign up for|subscribe to|log ?in to|click here|read more|"
@@ -61,19 +62,36 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT place) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM r WHERE n > 1) GROUP BY doc_id
 ), l AS (
-  SELECT doc_id, unnest(lines) AS line FROM d
+  SELECT doc_id, unnest(raw) AS line, generate_subscripts(raw, 1) AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS raw FROM d)
+), e AS (
+  SELECT *, length(inner_line) AS size, length(string_split(inner_line, ' ')[1]) AS first_word
+  FROM (SELECT *, trim(line, {_BLANKS}) AS inner_line FROM l)
+), h AS (
+  SELECT *, lead(size) OVER o AS next_size, size + 1 + lead(first_word) OVER o AS reach,
+         max(size) FILTER (WHERE size <= 120) OVER near AS widest,
+         coalesce(bool_or(regexp_matches(line, '{_SENTENCE_END}')) FILTER (WHERE size <= 120) OVER near, false) AS stops
+  FROM e
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i),
+         near AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)
+), g AS (
+  SELECT *, coalesce(size BETWEEN 24 AND 120 AND NOT regexp_matches(inner_line, '{_LINE_END}')
+                     AND next_size > 0 AND reach > next_size AND reach > widest, false) AS flows
+  FROM h
+), y AS (
+  SELECT *, stops AND (flows OR coalesce(lag(flows) OVER (PARTITION BY doc_id ORDER BY i), false)) AS wrapped FROM g
 ), m AS (
-  SELECT doc_id, line, length(line) AS chars, length(line) - length(replace(line, ' ', '')) + 1 AS words,
+  SELECT doc_id, line, wrapped, length(line) AS chars, length(line) - length(replace(line, ' ', '')) + 1 AS words,
          len(regexp_extract_all(line, '{_SEPARATORS}')) AS links,
          length(line) - length(replace(line, '!!', '')) AS shouts,
          length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols
-  FROM l
+  FROM y WHERE size > 0
 ), f AS (
   SELECT doc_id, chars,
          symbols * 100 > chars * 5
          OR (links >= 3 AND links * 4 >= words)
          OR (shouts >= 6 AND shouts * 50 > words * 30)
-         OR (words < 12 AND NOT regexp_matches(line, '{_SENTENCE_END}'))
+         OR (words < 12 AND NOT wrapped AND NOT regexp_matches(line, '{_SENTENCE_END}'))
          OR (words <= 30 AND regexp_matches(line, '{_BOILERPLATE}')) AS fails
   FROM m
 ), s AS (

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import textwrap
 
 import awkward
 import brute
@@ -254,6 +255,27 @@ def test_lines_that_fail(spark):
     assert not found[2]["kept"] and found[3]["kept"] and found[3]["lost_chars"] == 0
 
 
+PROSE = (
+    "The river rises in the hills behind the old town and runs past two mills before it meets the road. "
+    "In dry summers it is little more than a brook, but the floods of spring have taken three bridges since then. "
+    "Der Müller Zum Alten Rad Kaufte Das Haus Am Ufer Und Baute Dort Eine Neue Scheune Aus Stein Und Holz. "
+    "Nobody remembers who planted the poplars along the bank, nor why they stand in pairs up to the weir."
+)
+
+
+@pytest.mark.parametrize("width", [40, 50, 60, 72])
+def test_wrapped_prose_is_judged_as_prose(spark, width):
+    lines = textwrap.wrap(PROSE, width)
+    titles = ["Ten gardens worth the long journey", "What the new timetable means", "Older houses and their cellars today",
+              "A walk along the northern harbour wall", "Recipes from the island kitchens", "Letters to the editor of this week"]
+    texts = [PROSE, "\n".join(lines), "  " + "\r\n  ".join(lines), "\n".join(lines) + "\n\nMenu\n", "\n".join(titles * 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in quality_rules(docs).collect()}
+    assert [found[i]["n_failed_lines"] for i in range(4)] == [0, 0, 0, 1]
+    assert [found[i]["kept"] for i in range(4)] == [True] * 4
+    assert found[4]["n_failed_lines"] == 18
+
+
 def test_quality_rules_run_no_python(spark, small):
     plan = QUERIES["op10_quality_rules"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
