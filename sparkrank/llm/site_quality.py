@@ -4,7 +4,8 @@ A logistic classifier on the shape of a text gives each document its own evidenc
 host's rate of good documents is shrunk toward the global rate, and a path's toward its host's, by
 as much as the spread between groups says (method of moments). All of it is grouped sums, in which a
 labelled document counts with its label and any other with its classifier's probability. A
-document's posterior takes its own evidence and its path's rate, without its own part in it.
+document's posterior takes its own evidence and its path's rate, from which its own part is taken out
+at every level: of the path, of the host and of all.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_join
+from ..operators.sizing import fits
 from ..sources.scratch import materialize
 from .columns import ids_and_bytes, known_id, map_arrow, named, outer_id
 
@@ -125,7 +128,8 @@ def site_quality(
     has ``id_col`` and ``label_col`` (1 good, 0 bad); repeated labels count by their mean, null ones
     and those of unknown ids not at all. Without labels every score is one half. A null text
     is an empty one. Rows with one id get that id's label; null ids have none. An empty table gives
-    an empty result. Other columns of ``docs`` are not read.
+    an empty result. Other columns of ``docs`` are not read. ``host_rate`` is that of all the host's
+    documents; ``path_rate`` leaves the row's own document out of path, host and whole.
     """
     host, path = (named(docs, c) if isinstance(c, str) else c for c in (host, path))
     placed = docs.select(
@@ -176,17 +180,30 @@ def site_quality(
     hosts = hosts.withColumn("base", F.lit(base))
     pull = pull_of(hosts, "base")
     rated = hosts.select(
-        "host", ((F.col("good") + pull * base) / (F.col("n") + pull)).alias("host_rate")
+        "host",
+        ((F.col("good") + pull * base) / (F.col("n") + pull)).alias("host_rate"),
+        F.struct("good", "n").alias("host_all"),
     )
     paths = materialize(paths.join(rated, "host"), "path-rates")
     path_pull = pull_of(paths, "host_rate")
-    sums = paths.select("host", "path", "host_rate", F.col("good").alias("all_good"), F.col("n").alias("all_n"))
-    joined = scored.join(sums, ["host", "path"])
-    # The rate of the path's other documents.
-    rate = (F.greatest(F.col("all_good") - F.col("good"), F.lit(0.0)) + path_pull * F.col("host_rate")) / (
-        F.greatest(F.col("all_n") - F.col("n"), F.lit(0.0)) + path_pull
-    )
-    odds = _logit(F.col("p")) + _logit(F.col("path_rate")) - _logit(F.lit(base))
+    site = F.struct("host", "path").alias("site")
+    sums = paths.select(site, "host_rate", "host_all", F.struct("good", "n").alias("path_all"))
+    placed = scored.select("*", site)
+    if fits(sums):
+        joined = placed.join(F.broadcast(sums), "site")
+    else:
+        joined = salted_join(placed, sums, "site", "id")
+    everything = F.struct(F.lit(whole["good"] or 0.0).alias("good"), F.lit(whole["n"] or 0.0).alias("n"))
+
+    def others(group: Column, parent: Column, weight: float) -> Column:
+        """The rate of a group's other documents, drawn to ``parent``."""
+        good = F.greatest(group["good"] - F.col("good"), F.lit(0.0))
+        n = F.greatest(group["n"] - F.col("n"), F.lit(0.0))
+        return (F.least(good, n) + weight * parent) / (n + weight)
+
+    start = others(everything, F.lit(0.5), 1.0)
+    rate = others(F.col("path_all"), others(F.col("host_all"), start, pull), path_pull)
+    odds = _logit(F.col("p")) + _logit(F.col("path_rate")) - _logit(start)
     out = joined.withColumn("path_rate", rate).withColumn("quality", 1 / (1 + F.exp(-odds)))
     return out.select(
         outer_id("id").alias(id_col), "host", "path", F.col("p").alias("text_score"), "host_rate", "path_rate", "quality",

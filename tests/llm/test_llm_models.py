@@ -223,6 +223,67 @@ def test_sparse_sites_shrink_more(spark):
     assert 0 < rates["small229"] < base < rates["big"] < 0.26
 
 
+def plain_pull(groups):
+    """``groups`` of (good, n, parent's rate)."""
+    groups = [g for g in groups if g[1] > 1]
+    spread = sum(n * (good / n - p) ** 2 for good, n, p in groups)
+    noise = [p * (1 - p) for _, _, p in groups]
+    more = sum(n * v for (_, n, _), v in zip(groups, noise)) - sum(noise)
+    r = (spread - sum(noise)) / max(1e-9, more)
+    return min(1000.0, max(2.0, 1 / r - 1)) if r > 0 else 1000.0
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_site_posteriors_against_a_plain_version(spark, monkeypatch, wide):
+    if wide:
+        monkeypatch.setattr(site_quality, "fits", lambda df: False)
+    rng = np.random.default_rng(3)
+    # One host holds a third of all, one has a single labelled document.
+    hosts = ["hot" if n % 3 == 0 else "one" if n == 1 else f"h{n % 17}" for n in range(300)]
+    rows = [(n, "plain words " * int(rng.integers(1, 30)) + "!!" * int(rng.integers(0, 9)), hosts[n], f"p{n % 2}") for n in range(300)]
+    label = {n: int(rng.random() < (0.8 if hosts[n] == "hot" else 0.3)) for n in range(300) if n % 4 < 2}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, site string, part string")
+    labels = spark.createDataFrame(list(label.items()), "doc_id bigint, quality int")
+    found = {r["doc_id"]: r for r in site_quality.site_quality(docs, labels, "site", "part").collect()}
+    assert len(found) == 300
+
+    own = {i: (label.get(i, r["text_score"]) * (w := 1.0 if i in label else 0.25), w) for i, r in found.items()}
+
+    def total(ids):
+        return tuple(math.fsum(own[i][j] for i in ids) for j in (0, 1))
+
+    by_path, by_host = {}, {}
+    for i, r in found.items():
+        by_path.setdefault((r["host"], r["path"]), []).append(i)
+        by_host.setdefault(r["host"], []).append(i)
+    good, n = total(found)
+    base = (good + 0.5) / (n + 1)
+    pull = plain_pull([(*total(ids), base) for ids in by_host.values()])
+    rates = {h: (total(ids)[0] + pull * base) / (total(ids)[1] + pull) for h, ids in by_host.items()}
+    path_pull = plain_pull([(*total(ids), rates[h]) for (h, _), ids in by_path.items()])
+    logit = lambda p: math.log(p / (1 - p))
+    for i, r in found.items():
+        rest = lambda ids: total([x for x in ids if x != i])  # noqa: B023, E731
+        (g0, n0), (g1, n1), (g2, n2) = rest(found), rest(by_host[r["host"]]), rest(by_path[r["host"], r["path"]])
+        start = (g0 + 0.5) / (n0 + 1)
+        rate = (g2 + path_pull * (g1 + pull * start) / (n1 + pull)) / (n2 + path_pull)
+        odds = logit(r["text_score"]) + logit(rate) - logit(start)
+        assert r["host_rate"] == pytest.approx(rates[r["host"]], rel=1e-9)
+        assert r["path_rate"] == pytest.approx(rate, rel=1e-9)
+        assert r["quality"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-9)
+
+
+def test_own_label_does_not_reach_the_posterior_by_the_site(spark):
+    rows = [(n, "fair words here. " * 5, "alone" if n == 0 else f"h{n % 5}", "p") for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, site string, part string")
+    found = []
+    for own in (0, 1):
+        labels = spark.createDataFrame([(0, own)] + [(n, n % 2) for n in range(1, 60)], "doc_id bigint, quality int")
+        row = site_quality.site_quality(docs, labels, "site", "part").filter("doc_id = 0").first()
+        found.append((row["path_rate"], row["host_rate"]))
+    assert abs(found[0][0] - found[1][0]) < 1e-9 and found[0][1] < found[1][1]
+
+
 def test_site_quality_of_odd_rows(spark):
     docs = awkward.docs(spark)
     empty = spark.createDataFrame([], "doc_id bigint, quality int")
