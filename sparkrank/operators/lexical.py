@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranking import round_score
+from ..functions.sums import exact_sum
 from ..functions.text import B, K1, bm25_idf, bm25_weight, term_counts, tokenize
 from ..sources.scratch import materialize
 from .corpus import restrict
@@ -68,7 +69,7 @@ def _stat(stats: DataFrame, name: str) -> Column:
 
 
 def _summed(hits: DataFrame) -> DataFrame:
-    return hits.groupBy("query_id", "doc_id").agg(round_score(F.sum("score")).alias("score"))
+    return hits.groupBy("query_id", "doc_id").agg(round_score(exact_sum(F.col("score"))).alias("score"))
 
 
 class LexicalIndex:
@@ -278,7 +279,8 @@ class LexicalIndex:
         frequencies, corpus statistics and all scores come from the counts, without moving a
         posting.
         """
-        block = terms.toArrow().combine_chunks()
+        # In one order, so that scores are summed in one order.
+        block = terms.toArrow().combine_chunks().sort_by([("query_id", "ascending"), ("term", "ascending")])
         vocabulary = pc.unique(block.column("term").combine_chunks())
         counts = materialize(wanted_counts(self.collection, vocabulary), "counts")
         stats = _corpus_stats(counts).first()

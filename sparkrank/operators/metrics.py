@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ranking import SCORE_DECIMALS, discount, round_score
+from ..functions.sums import exact_sum
 from .topk import MAX_LIST, numbered
 
 # Depths at which recall is reported.
@@ -85,7 +86,7 @@ def ideal_gains(qrels: DataFrame) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>"))
     gain = F.aggregate(ranks, F.lit(0.0), lambda s, r: s + discount(r))
     return parts.groupBy(*keys).agg(
-        F.sum(size).alias("n_rel"), F.sum(F.col("rel") * gain).alias("ideal")
+        F.sum(size).alias("n_rel"), exact_sum(F.col("rel") * gain).alias("ideal")
     )
 
 
@@ -107,8 +108,8 @@ def evaluate(
     rows = relevant_hits(with_judgments(run.select(*columns), qrels), order, depth, max_list)
     hit = F.col("rel") >= RELEVANT
     sums = rows.groupBy(*keys).agg(
-        F.sum(F.when(hit, F.col("hits") / F.col("rank"))).alias("precision"),
-        F.sum(F.when(hit, F.col("rel") * discount(F.col("rank")))).alias("gain"),
+        exact_sum(F.when(hit, F.col("hits") / F.col("rank"))).alias("precision"),
+        exact_sum(F.when(hit, F.col("rel") * discount(F.col("rank")))).alias("gain"),
         F.min(F.when(hit, F.col("rank"))).alias("first"),
         *[F.count(F.when(hit & (F.col("rank") <= c), 1)).alias(f"r{c}") for c in recall_cutoffs],
     )

@@ -3,7 +3,8 @@
 A query side that is measured to fit is broadcast, and documents are read in place, in Arrow
 batches, without being shuffled or paired as rows. A larger query side never passes through the
 driver: it is cut into parts, documents into blocks, and each (block, part) is one group of a
-cogroup. Either way a task keeps the best k per query as it goes and gives them at its end.
+cogroup. Blocks and parts are of one size in bytes, so that documents (copied per part) and queries
+(copied per block) move alike much. Either way a task keeps the best k per query as it goes and gives them at its end.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from .sizing import measured_size
 TILE = 8_000_000
 # Candidates a task holds before it drops what is not among the best.
 HELD = 4_000_000
-# Documents of a block, where blocks meet parts of the query side.
+# Most documents of a block, where blocks meet parts of the query side.
 BLOCK_ROWS = 50_000
 
 
@@ -214,6 +215,11 @@ def scan_rows(
     return documents.mapInArrow(run, _schema(documents, id_type))
 
 
+def pieces(rows: int, size: int, most_rows: int) -> int:
+    """Into how many pieces a side is cut: of half a broadcast in bytes, and of so many rows."""
+    return max(1, math.ceil(2 * size / sizing.BROADCAST_BYTES), math.ceil(rows / most_rows))
+
+
 def best_rows(
     documents: DataFrame,
     queries: DataFrame,
@@ -233,10 +239,8 @@ def best_rows(
         ids = table.column("query_id").combine_chunks()
         return scan_rows(documents, ids, id_type, k, prepare(table), score, drop_missing)
     ship_package(documents.sparkSession)
-    parts = max(
-        math.ceil(2 * size / sizing.BROADCAST_BYTES), math.ceil(2 * rows / sizing.BROADCAST_ROWS)
-    )
-    blocks = max(1, math.ceil(documents.count() / BLOCK_ROWS))
+    parts = pieces(rows, size, sizing.BROADCAST_ROWS // 2)
+    blocks = pieces(*measured_size(documents), BLOCK_ROWS)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     left = documents.withColumn("_block", own("doc_id", blocks)).withColumn("_part", every(parts))

@@ -136,6 +136,14 @@ def test_search_equals_brute_force_with_query_sides_of_any_size(clusters, monkey
     assert ranked_lists(cosine_search(docs, queries, 9)) == expected
 
 
+def test_documents_and_queries_are_cut_alike(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 20_000)
+    texts = spark.createDataFrame([(i, "x" * 5000) for i in range(12)], "doc_id int, text string")
+    # Twelve rows of 5 KB make pieces of at most two rows, whatever the bound on rows.
+    assert scan.pieces(*sizing.measured_size(texts), 50_000) == 7
+    assert scan.pieces(100, 10_000, 50) == 2 and scan.pieces(0, 0, 50) == 1
+
+
 def test_approximate_search(clusters, tmp_path, monkeypatch):
     docs, queries = clusters
     centroids = train_centroids(docs, 3, seed=1)

@@ -2,7 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from sparkrank.functions import exact_sum
 from sparkrank.operators import metrics
 from sparkrank.operators.topk import numbered, ranking_order, top_k
 from sparkrank.sources.scratch import materialize
@@ -116,6 +118,37 @@ def test_hits_do_not_depend_on_the_length_of_a_task(spark):
     assert tables[0] == tables[1] and all(r[3] is not None for r in tables[0])
 
 
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(5)
+    # One group holds most rows; values span sixteen orders of magnitude and both signs.
+    rows = [(g if g < 3 else 0, rng.choice([-1, 1]) * rng.random() * 10 ** rng.uniform(-10, 6))
+            for g in (rng.randrange(9) for _ in range(20_000))]
+    rows += [(4, None), (4, 0.1), (5, None)]
+    table = materialize(spark.createDataFrame(rows, "g int, x double"))
+    expected = {g: math.fsum(x for h, x in rows if h == g and x is not None) for g in (0, 1, 2, 4)}
+    seen = set()
+    for seed in range(10):
+        dealt = table.orderBy(F.rand(seed)).repartition(2 + seed)
+        found = dict(tuple(r) for r in dealt.groupBy("g").agg(exact_sum(F.col("x"))).collect())
+        assert found.pop(5) is None
+        assert found == pytest.approx(expected, rel=1e-15, abs=1e-18)
+        seen.add(tuple(sorted((g, v.hex()) for g, v in found.items())))
+    assert len(seen) == 1
+
+
+def test_measures_do_not_depend_on_the_order_of_rows(spark):
+    run, qrels = random_run(4, 400, 11)
+    table = spark.createDataFrame(run, RUN)
+    judged = spark.createDataFrame(qrels, QRELS)
+    gains = set()
+    for seed in range(3):
+        dealt = metrics.ideal_gains(judged.orderBy(F.rand(seed)).repartition(2 + seed))
+        gains.add(tuple(sorted((r["query_id"], r["n_rel"], r["ideal"].hex()) for r in dealt.collect())))
+    assert len(gains) == 1
+    one, two = (metrics.evaluate(table.repartition(n), judged) for n in (1, 7))
+    assert one.exceptAll(two).count() == 0
+
+
 def test_perfect_run_scores_one(spark):
     _, qrels = random_run(5, 20, 9)
     run = [("r", q, d, 0, float(g)) for q, d, g in qrels if g >= 1]
