@@ -27,6 +27,12 @@ from .columns import BLANKS, for_workers, fresh, ids_and_bytes, known_id, map_ar
 MIN_CHARS = 10
 # Bound on all filters of suspected repeats together, which every worker holds.
 FILTER_BYTES = 48 * 1024 * 1024
+# Rows of a key that make a quarter of an even task's (and HOT_ROWS) are not shuffled to meet their first
+# document: it is sent. At most MOST_HOT keys of HOT_KEY_BYTES go that way; longer ones are shuffled.
+HOT_SHARE = 4
+HOT_ROWS = 64
+MOST_HOT = 32768
+HOT_KEY_BYTES = 1024
 PROBES = 4
 # Hashes that a task gathers before it sends them off.
 FLUSH = 1 << 20
@@ -209,14 +215,23 @@ def repeated_lines(
     suspects = materialize(
         map_arrow(rows, _suspected(min_chars, shared), "id bigint, key binary"), "line-suspects"
     )
-    confirmed = (
+    confirmed = materialize(
         suspects.groupBy("key")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
         .filter("first < last")
-        .select("key", "first")
+        .select("key", "first", "n"),
+        "line-firsts",
     )
+    # A key with this many rows is a large part of a task. There are at most MOST_HOT of them, so
+    # their first documents are sent, and their rows stay where they are.
+    large = max(HOT_ROWS, -(-suspects.count() // min(MOST_HOT, HOT_SHARE * segments)))
+    is_hot = (F.col("n") >= large) & (F.octet_length("key") <= HOT_KEY_BYTES)
+    hot = confirmed.filter(is_hot).select("key", F.col("first").alias("hot"))
+    split = suspects.join(F.broadcast(hot), "key", "left")
+    sent = split.filter("hot IS NOT NULL").select("id", "key", F.col("hot").alias("first"))
+    rest = split.filter("hot IS NULL").select("id", "key").join(confirmed.filter(~is_hot), "key")
     return (
-        suspects.join(confirmed, "key")
+        sent.unionByName(rest.select("id", "key", "first"))
         .filter("id <> first")
         .select("id", "key")
         .distinct()

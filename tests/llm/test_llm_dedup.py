@@ -67,6 +67,20 @@ def test_line_dedup(spark):
     same(found, [(i, *want[awkward.brute_id(i)]) for i, _ in rows])
 
 
+@pytest.mark.parametrize("long", [False, True])
+def test_line_dedup_of_a_line_in_most_documents(spark, monkeypatch, long):
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 2)
+    hot = "The line that nearly every document holds." * (40 if long else 1)
+    rows = [(n, "\n".join([f"own line of number {n}", hot.upper() if n % 2 else hot, f"shared by a few {n % 90}"])) for n in range(300)]
+    rows += [(None, hot), (5, hot), (400, None)]
+    docs = spark.createDataFrame(rows[::-1], "doc_id bigint, text string").repartition(7)
+    found = line_dedup.line_dedup(docs.filter("doc_id is null or doc_id <> 5")).collect()
+    plain = brute.line_dedup([r for r in rows if r[0] != 5])
+    assert len(found) == 301
+    for r in found:
+        assert (r["n_lines"], r["n_dropped"], r["text"]) == plain[brute.LAST if r["doc_id"] is None else r["doc_id"]]
+
+
 def test_line_dedup_keeps_other_columns_and_ignores_filter_size(spark):
     docs = awkward.docs(spark)
     full = line_dedup.line_dedup(docs, report=None)
