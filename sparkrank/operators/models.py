@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.ranking import round_score
 from ..session import ship_package
 from .joins import hinted
-from .scan import best_rows
+from .scan import TILE, best_rows
 from .sizing import fits
 from .topk import ranking_order, top_k
 
@@ -160,13 +160,18 @@ def model_search(
     def score(asked: list[str], batch: pa.RecordBatch):
         model = loaded(key, loader)
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        rows = np.arange(len(texts))
-        for i, query in enumerate(asked):
-            parts = [
-                np.asarray(model([query] * len(some), some), dtype=np.float64)
-                for some in (texts[at : at + batch_size] for at in range(0, len(texts), batch_size))
-            ]
-            yield np.array([i]), rows, np.concatenate(parts)[None, :]
+        step = max(1, TILE // batch_size)
+        # A few passages meet all queries before the next ones, so that what a model keeps of a
+        # passage is still there for the next query.
+        for at in range(0, len(texts), batch_size):
+            some = texts[at : at + batch_size]
+            rows = np.arange(at, at + len(some))
+            for first in range(0, len(asked), step):
+                scores = [
+                    np.asarray(model([query] * len(some), some), dtype=np.float64)
+                    for query in asked[first : first + step]
+                ]
+                yield np.arange(first, first + len(scores)), rows, np.stack(scores)
 
     asked = queries.select("query_id", "text")
     found = best_rows(collection.select("doc_id", "text"), asked, k, prepare, score)
