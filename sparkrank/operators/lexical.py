@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 import numpy as np
@@ -22,8 +23,8 @@ from .topk import ranking_order, top_k
 from .validate import require_rows
 
 
-# Postings of one file of a saved index.
-FILE_ROWS = 2_000_000
+# Postings of one file of a saved index, and those that a task writes.
+FILE_ROWS, TASK_ROWS = 2_000_000, 500_000
 
 
 def term_vectors(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -124,12 +125,14 @@ class LexicalIndex:
         counted = materialize(term_vectors(self.collection, "doc_id"), "counted")
         counted.select("doc_id", "dl").write.parquet(f"{path}/docs")
         postings = _exploded(counted).withColumn("slot", term_slot(F.col("term"), slots))
-        files = postings.groupBy("slot").agg(F.ceil(F.count("*") / FILE_ROWS).alias("_files"))
+        sizes = materialize(postings.groupBy("slot").count(), "slots")
+        total = sizes.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        files = sizes.select("slot", F.ceil(F.col("count") / FILE_ROWS).alias("_files"))
         spread = postings.join(hinted(files, fits(files)), "slot").withColumn(
             "_file", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
         )
         (
-            spread.repartition("slot", "_file")
+            spread.repartition(max(1, math.ceil(total / TASK_ROWS)), "slot", "_file")
             .sortWithinPartitions("slot", "term")
             .drop("_file", "_files")
             .write.partitionBy("slot")
@@ -170,14 +173,11 @@ class LexicalIndex:
         """
         if self.collection is None:
             listed = hinted(wanted, small)
-            # At most one row per folder comes to the driver.
-            slots = wanted.select(term_slot(F.col("term"), self.slots).alias("slot")).distinct()
-            read = self.postings.filter(F.col("slot").isin([r["slot"] for r in slots.collect()]))
             return LexicalIndex(
                 slots=self.slots,
                 k1=self.k1,
                 b=self.b,
-                postings=read.drop("slot").join(listed, "term", "left_semi"),
+                postings=self._folders(wanted).join(listed, "term", "left_semi"),
                 docs=self.docs,
                 terms=self.terms.join(listed, "term", "left_semi"),
                 stats=self.stats,
@@ -200,6 +200,12 @@ class LexicalIndex:
             docs=written.filter(F.col("term") == "").select("doc_id", "dl"),
         )
 
+    def _folders(self, wanted: DataFrame) -> DataFrame:
+        """Saved postings of the folders that hold the ``wanted(term)``."""
+        # At most one row per folder comes to the driver.
+        slots = wanted.select(term_slot(F.col("term"), self.slots).alias("slot")).distinct()
+        return self.postings.filter(F.col("slot").isin([r["slot"] for r in slots.collect()])).drop("slot")
+
     def _weights(self, terms: DataFrame) -> DataFrame:
         """``(query_id, term, weight)``: idf times multiplicity; unknown terms drop out."""
         idf = bm25_idf(_stat(self.stats, "n"), F.col("df"))
@@ -260,7 +266,7 @@ class LexicalIndex:
         """The ``k`` best documents for every query, of the whole collection or of the ids in
         ``within(doc_id)``."""
         terms = query_terms(queries)
-        if self.collection is not None and fits(terms):
+        if fits(terms):
             return self._scan(terms, k, within)
         found, terms, small = self._asked(queries)
         return found._best(terms, small, k, within).select("query_id", "doc_id", "score", "rank")
@@ -282,12 +288,16 @@ class LexicalIndex:
         # In one order, so that scores are summed in one order.
         block = terms.toArrow().combine_chunks().sort_by([("query_id", "ascending"), ("term", "ascending")])
         vocabulary = pc.unique(block.column("term").combine_chunks())
-        counts = materialize(wanted_counts(self.collection, vocabulary), "counts")
-        stats = _corpus_stats(counts).first()
+        df = np.zeros(len(vocabulary))
+        if self.collection is None:
+            counts, seen = self._saved_counts(vocabulary, terms.sparkSession)
+            stats = self.stats.first()
+        else:
+            counts = materialize(wanted_counts(self.collection, vocabulary), "counts")
+            stats = _corpus_stats(counts).first()
+            seen = counts.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
         if stats["n"] == 0:
             raise ValueError("no documents found")
-        df = np.zeros(len(vocabulary))
-        seen = counts.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
         df[seen.column("term").to_numpy()] = seen.column("count").to_numpy()
         idf = np.where(df > 0, np.log((stats["n"] - df + 0.5) / (df + 0.5) + 1.0), 0.0)
         term = pc.index_in(block.column("term").combine_chunks(), value_set=vocabulary).to_numpy()
@@ -300,8 +310,26 @@ class LexicalIndex:
         )
         return counts, weights, stats["avgdl"]
 
+    def _saved_counts(self, vocabulary: pa.Array, spark: SparkSession) -> tuple[DataFrame, pa.Table]:
+        """Counts of the wanted terms per document that has any, from saved postings, and the terms'
+        document frequencies.
+
+        A posting moves once, to its document, however many queries ask for its term.
+        """
+        numbers = pa.array(np.arange(len(vocabulary)), pa.int32())
+        listed = F.broadcast(spark.createDataFrame(pa.table({"term": vocabulary, "number": numbers})))
+        wanted = self._folders(listed).join(listed, "term").select(
+            "doc_id", "dl", F.struct("number", F.col("tf").cast("int").alias("tf")).alias("t")
+        )
+        grouped = wanted.groupBy("doc_id").agg(
+            F.max("dl").alias("dl"), F.sort_array(F.collect_list("t")).alias("t")
+        )
+        counts = grouped.select("doc_id", "dl", F.col("t.number").alias("terms"), F.col("t.tf").alias("tfs"))
+        seen = self.terms.join(listed, "term").select(F.col("number").alias("term"), F.col("df").alias("count"))
+        return counts, seen.toArrow()
+
     def _scan(self, terms: DataFrame, k: int, within: DataFrame | None) -> DataFrame:
-        """Search the texts themselves, for query terms of checked size."""
+        """Search without a row per pair, for query terms of checked size."""
         counts, weights, avgdl = self._counted(terms)
         ids = weights.column("query_id").combine_chunks().dictionary_encode()
         grouped = weight_blocks(
