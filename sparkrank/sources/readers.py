@@ -30,13 +30,21 @@ ORDER = ["_file", "_path", "_start", "_line"]
 
 
 def _positioned(df: DataFrame, file_order: int) -> DataFrame:
-    """A freshly read table with the position of its rows, for last-one-wins rules."""
-    return (
+    """A freshly read table with the position of its rows, for last-one-wins rules.
+
+    A file stands for its place in the order of paths, since rows that carry their path are wide.
+    """
+    placed = (
         df.withColumn("_file", F.lit(file_order))
-        .withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("_name", F.input_file_name())
         .withColumn("_start", F.col("_metadata.file_block_start"))
         .withColumn("_line", F.monotonically_increasing_id())
     )
+    places = [(name, place) for place, name in enumerate(sorted(df.inputFiles()))]
+    known = df.sparkSession.createDataFrame(places, "_name string, _path int")
+    unknown = F.raise_error(F.concat(F.lit("not among the files listed: "), "_name")).cast("int")
+    found = placed.join(F.broadcast(known), "_name", "left")
+    return found.withColumn("_path", F.coalesce("_path", unknown)).drop("_name")
 
 
 def read_collection(
