@@ -339,7 +339,7 @@ class VectorIndex:
                     some = queries[at : at + step]
                     yield some, rows, units[some] @ docs[rows].T
 
-        found = best_rows(documents.select("cell", "doc_id", "embedding"), probed, k, prepare, score)
+        found = best_rows(documents.select("cell", "doc_id", "embedding"), probed, k, prepare, score, order="cell")
         return top_k(found, ["query_id"], ranking_order(found), k).select(
             "query_id", "doc_id", "score", "rank"
         )

@@ -4,7 +4,8 @@ A query side that is measured to fit is broadcast, and documents are read in pla
 batches, without being shuffled or paired as rows. A larger query side never passes through the
 driver: it is cut into parts, documents into blocks, and each (block, part) is one group of a
 cogroup. Blocks and parts are of one size in bytes, so that documents (copied per part) and queries
-(copied per block) move alike much. Either way a task keeps the best k per query as it goes and gives them at its end.
+(copied per block) move alike much, and a part has no more queries than a task can hold the lists of.
+Either way a task keeps the best k per query as it goes and gives them at its end.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from ..session import ship_package
 from . import sizing
 from .sizing import measured_size
 
-# Scores held at once in a task: 8 million doubles.
-TILE = 8_000_000
+# Scores held at once in a task: a million doubles.
+TILE = 1_000_000
 # Candidates a task holds before it drops what is not among the best.
-HELD = 4_000_000
+HELD = 2_000_000
 # Most documents of a block, where blocks meet parts of the query side.
 BLOCK_ROWS = 50_000
+# Documents of a block that are scored together.
+BATCH_ROWS = 8192
 
 
 def rounded(scores: np.ndarray) -> np.ndarray:
@@ -82,23 +85,30 @@ def select_best(
     floor: np.ndarray,
     skip_missing: bool = False,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, column, score) of the k best columns per row of rounded ``scores``.
+    """(query index, column, rounded score) of the k best columns per row of ``scores``.
 
     Ties go to the smaller id. ``floor[query]`` is a k-th best score seen before: rows below it
     cannot be among the best k, and it is raised by what this batch shows. NaN ranks last, or is
-    left out with ``skip_missing``.
+    left out with ``skip_missing``. Only scores that come near their floor are rounded.
     """
-    scores = np.where(np.isnan(scores), -np.inf, scores)
     width = scores.shape[1]
-    if width >= k:
-        kth = np.partition(scores, width - k, axis=1)[:, width - k]
-        floor[queries] = np.maximum(floor[queries], kth)
-    floors = floor[queries]
-    if skip_missing:
-        # Even where nothing better is known, missing scores are no candidates.
-        floors = np.maximum(floors, np.finfo(np.float64).min)
-    rows, cols = np.nonzero(scores >= floors[:, None])
-    values = scores[rows, cols]
+    reach = lambda rows: (floor[queries[rows]] - 10.0**-SCORE_DECIMALS)[:, None]
+    near = scores >= reach(slice(None))
+    crowded = np.flatnonzero(np.count_nonzero(near, axis=1) > k)
+    if len(crowded):
+        some = np.where(np.isnan(scores[crowded]), -np.inf, scores[crowded])
+        kth = rounded(np.partition(some, width - k, axis=1)[:, width - k])
+        floor[queries[crowded]] = np.maximum(floor[queries[crowded]], kth)
+        near[crowded] = some >= reach(crowded)
+    if not skip_missing:
+        # Missing scores are candidates only where nothing better is known.
+        unknown = np.flatnonzero(np.isneginf(floor[queries]))
+        near[unknown] |= np.isnan(scores[unknown])
+    rows, cols = np.nonzero(near)
+    values = rounded(scores[rows, cols])
+    values[np.isnan(values)] = -np.inf
+    good = values >= floor[queries[rows]]
+    rows, cols, values = rows[good], cols[good], values[good]
     order = np.lexsort((places[cols], -values, rows))
     rows, cols, values = rows[order], cols[order], values[order]
     first = np.searchsorted(rows, rows, side="left")
@@ -117,7 +127,7 @@ class Best:
         self.held = 0
 
     def add(self, queries: np.ndarray, ids: pa.Array, values: np.ndarray) -> None:
-        self.queries.append(queries)
+        self.queries.append(queries.astype(np.int32))
         self.ids.append(ids)
         self.values.append(values)
         self.held += len(queries)
@@ -166,9 +176,7 @@ def _scan(
         for queries, docs, scores in score(state, batch):
             if scores.size == 0:
                 continue
-            q, cols, values = select_best(
-                rounded(scores), queries, places[docs], k, best.floor, drop_missing
-            )
+            q, cols, values = select_best(scores, queries, places[docs], k, best.floor, drop_missing)
             best.add(q, ids.take(pa.array(docs[cols])), values)
             if best.held > HELD:
                 found = best.taken()
@@ -227,33 +235,43 @@ def best_rows(
     prepare: Callable[[pa.Table], Any],
     score: Score,
     drop_missing: bool = False,
+    order: str | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` candidates of the best k of ``documents`` for ``queries``.
 
     ``prepare(table)`` makes of rows of ``queries`` what ``score`` takes as its first argument.
+    Blocks are scored in the order of the column ``order`` if there is one.
     """
     id_type = queries.schema["query_id"].dataType
     rows, size = measured_size(queries)
-    if rows <= sizing.BROADCAST_ROWS and size <= sizing.BROADCAST_BYTES:
+    # Queries whose lists a task can hold until its end.
+    most = max(1, HELD // (2 * k))
+    if rows <= min(sizing.BROADCAST_ROWS, most) and size <= sizing.BROADCAST_BYTES:
         table = queries.toArrow().combine_chunks()
         ids = table.column("query_id").combine_chunks()
         return scan_rows(documents, ids, id_type, k, prepare(table), score, drop_missing)
-    ship_package(documents.sparkSession)
-    parts = pieces(rows, size, sizing.BROADCAST_ROWS // 2)
+    context = ship_package(documents.sparkSession)
     blocks = pieces(*measured_size(documents), BLOCK_ROWS)
+    parts = pieces(rows, size, min(sizing.BROADCAST_ROWS // 2, most))
+    # A document that is copied costs less than another list of k per query.
+    parts = max(parts, min(rows, math.ceil(2 * context.defaultParallelism / blocks)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
     left = documents.withColumn("_block", own("doc_id", blocks)).withColumn("_part", every(parts))
-    right = queries.withColumn("_part", own("query_id", parts)).withColumn("_block", every(blocks))
+    # Both sides may come from one table, so that the same column by the same name would be one to Spark.
+    right = queries.select(*[F.col(c).alias(f"_q_{c}") for c in queries.columns])
+    right = right.withColumn("_part", own("_q_query_id", parts)).withColumn("_block", every(blocks))
     schema = _schema(documents, id_type)
 
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         names = ["query_id", "doc_id", "score"]
         found: list[pa.RecordBatch] = []
+        asked = asked.rename_columns([c.removeprefix("_q_") for c in asked.column_names])
         if docs.num_rows and asked.num_rows:
             asked = asked.combine_chunks()
             ids = asked.column("query_id").combine_chunks()
-            batches = iter(docs.combine_chunks().to_batches())
+            docs = docs.sort_by(order) if order else docs
+            batches = iter(docs.combine_chunks().to_batches(max_chunksize=BATCH_ROWS))
             found = list(_scan(batches, ids, prepare(asked), score, k, drop_missing))
         if not found:
             types = (asked.schema.field("query_id").type, docs.schema.field("doc_id").type)
@@ -261,8 +279,12 @@ def best_rows(
             return pa.Table.from_arrays(empty, names=names)
         return pa.Table.from_batches(found)
 
+    # So many shuffle partitions that few groups meet in one.
+    width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = min(max(width, 8 * context.defaultParallelism), 4 * blocks * parts)
+    spread = lambda df: df.repartition(width, "_block", "_part")
     return (
-        left.groupBy("_block", "_part")
-        .cogroup(right.groupBy("_block", "_part"))
+        spread(left).groupBy("_block", "_part")
+        .cogroup(spread(right).groupBy("_block", "_part"))
         .applyInArrow(run, schema)
     )
