@@ -7,7 +7,7 @@ best k per query and batch leave a task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +22,21 @@ from .scan import TILE, scan_rows
 
 # Queries scored together against a batch of documents.
 QUERY_BLOCK = 512
+# Documents whose tokens are looked up, and whose counts are scored, together.
+DOC_BLOCK = 1024
 
 
 def _list_array(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``DOC_BLOCK`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, DOC_BLOCK):
+            yield batch.slice(at, DOC_BLOCK)
+
+
 def wanted_counts(collection: DataFrame, vocabulary: pa.Array) -> DataFrame:
     """``(doc_id, dl, terms, tfs)``: every document with its counts of the wanted terms.
 
@@ -48,7 +57,7 @@ def wanted_counts(collection: DataFrame, vocabulary: pa.Array) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = shared.value
         width = max(1, len(terms))
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column("tokens")
             place = pc.index_in(lists.flatten(), value_set=terms)
             known = place.is_valid()
@@ -148,18 +157,21 @@ def best_documents(
     """``(query_id, doc_id, score)`` candidates of the best ``k`` with a matching term."""
 
     def score(blocks: list, batch: pa.RecordBatch):
-        lists = batch.column("terms")
-        terms = lists.flatten().to_numpy()
-        docs = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-        tf = batch.column("tfs").flatten().to_numpy().astype(np.float64)
-        dl = batch.column("dl").to_numpy().astype(np.float64)
-        parts = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl[docs] / avgdl))
-        rows = np.arange(batch.num_rows)
-        for first, size, known, starts, queries, weights in blocks:
-            found = block_scores(
-                known, starts, queries, weights, size, terms, docs, parts, batch.num_rows
-            )
-            found[found == 0.0] = np.nan
-            yield np.arange(first, first + size), rows, found
+        at = 0
+        for some in slices([batch]):
+            lists = some.column("terms")
+            terms = lists.flatten().to_numpy()
+            docs = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+            tf = some.column("tfs").flatten().to_numpy().astype(np.float64)
+            dl = some.column("dl").to_numpy().astype(np.float64)
+            parts = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl[docs] / avgdl))
+            rows = np.arange(at, at + some.num_rows)
+            at += some.num_rows
+            for first, size, known, starts, queries, weights in blocks:
+                found = block_scores(
+                    known, starts, queries, weights, size, terms, docs, parts, some.num_rows
+                )
+                found[found == 0.0] = np.nan
+                yield np.arange(first, first + size), rows, found
 
     return scan_rows(counts, query_ids, id_type, k, blocks, score, drop_missing=True)
