@@ -1,124 +1,247 @@
-"""Approximate nearest neighbours by a neighbour graph that is built and searched as tables.
-
-Build. Vectors of equal content are one node. Nodes are dealt into small blocks twice, by two hashes,
-and linked to the nearest of their blocks. Then rounds of neighbour-of-neighbour joins: the vectors of
-a node's neighbours, in both directions, meet in one row, all pairs of them are compared there, and
-each node keeps the nearest it has heard of. A row holds a bounded number of vectors, whatever the
-data; rounds end when few links change.
-
-Search. Each query starts from the nearest of a few start nodes and keeps a beam of the best nodes it
-knows. A round joins the nodes of the beam that are still open with their neighbours, drops what the
-query has met before, and scores the rest. It ends when no beam has an open node, or after a stated
-number of rounds. Every round is written, so none is computed twice.
+"""Approximate nearest neighbours by a neighbour graph that is built and searched in blocks.
+
+Build. Vectors of equal content are one node. Nodes are dealt by a hash into as few blocks as have a
+bounded size, and each is linked to the nearest of its block. A block's nodes are cut into parts; a
+task compares one part with its block. Links are rows, turned round and cut by Spark.
+
+Search. A task walks one block for one part of the queries: each query starts from the nearest of a few
+start nodes and keeps a beam of the best nodes it knows. A round takes the nodes of the beam that are
+still open, drops of their neighbours what the query has met before, and scores the rest. It ends when
+no beam has an open node, or after a stated number of rounds. The best of all blocks are put together.
+
+Blocks are copied per part, and queries per block; links, and what a query has met, are not moved.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.ranking import round_score
-from ..functions.vectors import cosine
 from ..session import ship_package
 from ..sources.scratch import materialize
-from .approx import nearest_cells
+from .approx import CALIBRATION, MARGIN
 from .corpus import with_vectors
-from .dense import pair_vectors
-from .joins import hinted, salted_join
-from .scan import unit_rows, vector_matrix
-from .sizing import fits
-from .topk import top_k
+from .dense import nearest
+from .joins import salted_join
+from .scan import HELD, TILE, pieces, rounded, unit_rows, vector_matrix
+from .sizing import fits, measured_size
+from .topk import ranking_order, top_k, with_rank
 from .validate import require_rows
 
-# Links of a node while the graph is built, and of these the nearest that are kept in it.
-BUILD_DEGREE, DEGREE = 20, 8
-# Nodes of a block of the first links, as a multiple of the links.
-BLOCK = 4
-# Rounds of building, and the share of links that still change when building ends.
-BUILD_ROUNDS, SETTLED = 10, 0.01
-# Start nodes known to all queries (the root of the nodes, at most so many), and used by one.
-MOST_STARTS, STARTS = 65_536, 8
+# Links of a node to its nearest; with those that lead to it, it has at most twice as many.
+DEGREE = 8
+# Most nodes of a block.
+BLOCK_NODES = 65_536
+# Fewest queries of a part, but for their end.
+PART_ROWS = 100
+# Start nodes used by a query, of the root of a block's nodes.
+STARTS = 8
 # Nodes a query keeps open, and rounds it may take.
 BEAM, ROUNDS = 16, 40
+# What a beam is raised by when a recall is wanted.
+WIDER = 1.5
+# Marks of nodes met by the queries that a task walks together.
+MARKS = 16_000_000
+
+
+class _Block:
+    """The nodes of one block in a task, by their place ``at``."""
+
+    def __init__(self, nodes: pa.Table):
+        nodes = nodes.sort_by("at").combine_chunks()
+        self.ids = nodes.column("node").combine_chunks()
+        self.exact = unit_rows(vector_matrix(nodes.column("embedding")), 0.0)
+        # Enough to find the way; what is found is scored again.
+        self.units = np.nan_to_num(self.exact.astype(np.float32))
+        self.size = len(self.units)
+        if "near" in nodes.column_names:
+            lists = nodes.column("near").combine_chunks()
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            self.near = np.full((self.size, max(1, sizes.max(initial=0))), -1, np.int32)
+            self.near[np.arange(self.near.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+            order = np.lexsort((np.arange(self.size), nodes.column("draw").to_numpy()))
+            self.starts = order[: max(1, math.isqrt(self.size))]
+
+
+def _linked(keep: int, schema: T.StructType) -> Callable:
+    """The nearest ``keep`` in its block of every node of a part."""
+
+    def run(nodes: pa.Table, part: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0)]
+        if part.num_rows and nodes.num_rows > 1:
+            block, mine = _Block(nodes), np.sort(part.column("at").to_numpy())
+            width, step = min(keep, block.size - 1), max(1, 4 * TILE // block.size)
+            for a in range(0, len(mine), step):
+                some = mine[a : a + step]
+                near = block.units[some] @ block.units.T
+                near[np.arange(len(some)), some] = -2.0
+                best = np.argpartition(near, block.size - width, axis=1)[:, block.size - width :]
+                for kept, new in zip(found, (np.repeat(some, width), best, np.take_along_axis(near, best, axis=1))):
+                    kept.append(new.ravel())
+        src, dst, score = (np.concatenate(x) for x in found)
+        block = nodes.column("block")[0].as_py() if nodes.num_rows else 0
+        columns = [np.full(len(src), block, np.int32), src.astype(np.int32), dst.astype(np.int32), score.astype(np.float64)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=schema.names)
 
+    return run
 
-def _lists(column: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(ids, unit vectors) of each row of a list of ``(id, embedding)``."""
-    flat = column.flatten()
-    ids, units = flat.field("id"), unit_rows(vector_matrix(flat.field("embedding")), 0.0)
-    ends = np.cumsum(column.value_lengths().to_numpy())
-    for a, b in zip(np.append(0, ends[:-1]), ends):
-        yield ids.slice(a, b - a), units[a:b]
-
-
-def _linked(keep: int):
-    """All pairs of each row's vectors compared: every one's nearest ``keep`` of the row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sources, targets, scores = [], [], []
-            for ids, units in _lists(batch.column("members")):
-                n = len(ids)
-                if n < 2:
-                    continue
-                near = units @ units.T
-                np.fill_diagonal(near, -2.0)
-                width = min(keep, n - 1)
-                best = np.argpartition(-near, width - 1, axis=1)[:, :width]
-                sources.append(ids.take(pa.array(np.repeat(np.arange(n), width))))
-                targets.append(ids.take(pa.array(best.ravel())))
-                scores.append(np.take_along_axis(near, best, axis=1).ravel())
-            if sources:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays(sources), pa.concat_arrays(targets), pa.array(np.concatenate(scores))],
-                    names=["src", "dst", "score"],
-                )
+
+def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int, met: list | None) -> tuple:
+    """Places and scores of the beam of each query, best first (-1: none).
+
+    ``met`` is given ``(query, place, open)`` of all nodes that were met.
+    """
+    n, size = len(units), block.size
+    known = np.zeros(n * size, bool)
+    near = rounded((units @ block.units[block.starts].T).astype(np.float64))
+    queries = np.repeat(np.arange(n), min(starts, len(block.starts)))
+    first = np.argsort(-near, axis=1, kind="stable")[:, :starts]
+    keys = np.sort(queries * size + block.starts[first].ravel())
+    places = np.full((n, beam), -1, np.int64)
+    scores = np.full((n, beam), -np.inf, np.float32)
+    still = np.zeros((n, beam), bool)
+    every, passed = [], []
+    for number in range(rounds + 1):
+        known[keys] = True
+        queries, new = np.divmod(keys, size)
+        values = np.einsum("ij,ij->i", units[queries], block.units[new])
+        if met is not None:
+            every.append(keys)
+        # Only what is as good as the last of a beam can enter it; of equals the first.
+        good = values >= scores[queries, -1]
+        queries, new, values = queries[good], new[good], values[good]
+        begins = np.searchsorted(queries, np.arange(n + 1))
+        width = int(np.diff(begins).max(initial=0))
+        add = lambda have, fill: np.concatenate([have, np.full((n, width), fill, have.dtype)], axis=1)
+        places, scores, still = add(places, -1), add(scores, -np.inf), add(still, False)
+        column = beam + np.arange(len(new)) - begins[queries]
+        places[queries, column], scores[queries, column], still[queries, column] = new, values, True
+        order = np.lexsort((places, -scores), axis=1)[:, :beam]
+        places, scores, still = (np.take_along_axis(x, order, axis=1) for x in (places, scores, still))
+        row, column = np.nonzero(still)
+        if number == rounds or len(row) == 0:
+            break
+        still[:] = False
+        if met is not None:
+            passed.append(row * size + places[row, column])
+        around = block.near[places[row, column]]
+        keys = (row[:, None] * size + around)[around >= 0]
+        keys = np.unique(keys[~known[keys]])
+    if met is not None:
+        every = np.concatenate(every)
+        closed = np.concatenate(passed) if passed else every[:0]
+        met.append((*np.divmod(every, size), ~np.isin(every, closed)))
+    return places, scores
+
+
+def _walked(beam: int, starts: int, rounds: int, keep: int | None, schema: T.StructType) -> Callable:
+    """The ``keep`` best nodes of a block, or all that were met, for every query of a part."""
+
+    def run(nodes: pa.Table, asked: pa.Table) -> pa.Table:
+        out = []
+        if nodes.num_rows and asked.num_rows:
+            block, asked = _Block(nodes), asked.combine_chunks()
+            exact = unit_rows(vector_matrix(asked.column("embedding")), 0.0)
+            units = np.nan_to_num(exact.astype(np.float32))
+            step = max(1, MARKS // block.size)
+            for a in range(0, len(units), step):
+                met = [] if keep is None else None
+                places, _ = _walk(block, units[a : a + step], min(beam, block.size), starts, rounds, met)
+                if met:
+                    queries, places, still = met[0]
+                else:
+                    # Twice as many are scored again, for scores that differ in rounding only.
+                    some = places[:, : 2 * keep]
+                    queries, column = np.nonzero(some >= 0)
+                    places, still = some[queries, column], np.zeros(len(queries), bool)
+                values = rounded(np.einsum("ij,ij->i", exact[a + queries], block.exact[places]))
+                values[np.isnan(values)] = 0.0
+                if keep is not None:
+                    order = np.lexsort((places, -values, queries))
+                    queries, places, values = queries[order], places[order], values[order]
+                    best = np.arange(len(queries)) - np.searchsorted(queries, queries) < keep
+                    queries, places, values, still = queries[best], places[best], values[best], still[best]
+                ids = asked.column("query_id").combine_chunks().take(pa.array(a + queries))
+                out.append(pa.Table.from_arrays(
+                    [ids, block.ids.take(pa.array(places)), pa.array(values), pa.array(still)], names=schema.names
+                ))
+        if out:
+            return pa.concat_tables(out)
+        kinds = asked.schema.field("query_id").type, nodes.schema.field("node").type, pa.float64(), pa.bool_()
+        return pa.Table.from_arrays([pa.array([], t) for t in kinds], names=schema.names)
 
     return run
 
 
+def _met(nodes: DataFrame, asked: DataFrame, parts: int, blocks: int, run: Callable, schema: T.StructType) -> DataFrame:
+    """``run`` on every block of ``nodes(block, ...)`` with every part of ``asked(block, part, ...)``."""
+    spark = nodes.sparkSession
+    context = ship_package(spark)
+    left = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # So many shuffle partitions that few groups meet in one.
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * context.defaultParallelism)
+    width = min(width, 4 * blocks * parts)
+    # Both sides may come from one table, so that the same column by the same name would be one to Spark.
+    right = asked.select(*[F.col(c).alias(f"_q_{c}") for c in asked.columns])
+
+    def named(own: pa.Table, other: pa.Table) -> pa.Table:
+        return run(own, other.rename_columns([c.removeprefix("_q_") for c in other.column_names]))
+
+    return (
+        left.repartition(width, "block", "part").groupBy("block", "part")
+        .cogroup(right.repartition(width, "_q_block", "_q_part").groupBy("_q_block", "_q_part"))
+        .applyInArrow(named, schema)
+    )
+
+
+def _spread(rows: int, blocks: int, spark: SparkSession) -> int:
+    """Parts that give every core some groups, and a copy of a block some work."""
+    return max(1, min(math.ceil(rows / PART_ROWS), math.ceil(4 * spark.sparkContext.defaultParallelism / blocks)))
+
+
 def _nearest_links(links: DataFrame, degree: int) -> DataFrame:
-    """The ``degree`` best of ``links(src, dst, score)`` per source, each target once."""
-    once = links.groupBy("src", "dst").agg(*[F.min(c).alias(c) if c == "born" else F.max(c).alias(c) for c in links.columns[2:]])
-    return top_k(once, ["src"], [F.desc("score"), F.asc("dst")], degree).drop("rank")
+    """The ``degree`` best of ``links(block, src, dst, score)`` per source, each target once."""
+    once = links.groupBy("block", "src", "dst").agg(F.max("score").alias("score"))
+    return top_k(once, ["block", "src"], [F.desc("score"), F.asc("dst")], degree).drop("rank")
 
 
 def _both_ways(links: DataFrame, degree: int) -> DataFrame:
     """Links and their reverses, at most twice ``degree`` per node; a popular node keeps its nearest."""
-    forth = links.select("src", "dst", "score")
-    back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "score")
-    return _nearest_links(forth.unionByName(back), 2 * degree)
+    back = links.select("block", F.col("dst").alias("src"), F.col("src").alias("dst"), "score")
+    return _nearest_links(links.unionByName(back), 2 * degree)
 
 
 @dataclass(frozen=True)
 class GraphIndex:
-    """``nodes(node, embedding, near)``, ``members(node, doc_id)`` of nodes that stand for several
-    documents, and ``starts(cell, centroid, node)``."""
+    """``nodes(block, at, node, embedding, draw, near)`` and ``members(node, doc_id)`` of nodes that stand
+    for several documents. ``near`` holds places ``at`` in the block; the least ``draw`` are its starts."""
 
     nodes: DataFrame
     members: DataFrame
-    starts: DataFrame
     degree: int = DEGREE
 
     @classmethod
     def build(
         cls,
         doc_vectors: DataFrame,
-        build_degree: int = BUILD_DEGREE,
+        build_degree: int | None = None,
         degree: int = DEGREE,
-        rounds: int = BUILD_ROUNDS,
         seed: int = 0,
+        block_nodes: int | None = None,
     ) -> GraphIndex:
         """Link all vectors of ``doc_vectors(doc_id, embedding)``.
 
         Documents without a vector are skipped. Equal vectors, however many, are one node under the
-        smallest id.
+        smallest id. Links are the nearest of a block, so that nothing depends on ``build_degree``,
+        which callers may still give.
         """
         spark = doc_vectors.sparkSession
         ship_package(spark)
@@ -126,95 +249,71 @@ class GraphIndex:
         require_rows(vectors, "vectors")
         grouped = vectors.groupBy("embedding").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"))
         grouped = materialize(grouped, "graph-nodes")
-        points = grouped.select("node", "embedding")
+        points = grouped.filter("node IS NOT NULL").select("node", "embedding")
         several = grouped.filter("n > 1").select("node", "embedding")
         if fits(several):
             members = vectors.join(F.broadcast(several), "embedding")
         else:
             members = salted_join(vectors, several, "embedding", "doc_id")
         members = materialize(members.select("node", "doc_id"), "graph-members")
-        links = cls._built(points, build_degree, rounds, seed)
-        near = _both_ways(_nearest_links(links.select("src", "dst", "score"), degree), degree)
-        near = near.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("near"))
-        nodes = points.join(near.withColumnRenamed("src", "node"), "node", "left")
-        nodes = materialize(nodes.select("node", "embedding", "near"), "graph")
-        many = max(1, min(MOST_STARTS, math.isqrt(grouped.count())))
-        drawn = points.withColumn("draw", F.xxhash64("node", F.lit(seed))).orderBy("draw", "node").limit(many)
-        starts = drawn.select(
-            (F.row_number().over(_by("draw", "node")) - 1).alias("cell"),
-            F.col("embedding").cast("array<double>").alias("centroid"),
-            "node",
+        rows, size = measured_size(points)
+        blocks = pieces(rows, size, block_nodes or BLOCK_NODES)
+        block = F.pmod(F.xxhash64("node", F.lit(seed + 1)), F.lit(blocks)).cast("int")
+        placed = points.select(block.alias("block"), "node", "embedding", F.xxhash64("node", F.lit(seed)).alias("draw"))
+        place = F.row_number().over(W.partitionBy("block").orderBy("node", F.xxhash64("embedding"))) - 1
+        placed = materialize(placed.withColumn("at", place), "graph-placed")
+        parts = _spread(rows, blocks, spark)
+        kinds = [("block", T.IntegerType()), ("src", T.IntegerType()), ("dst", T.IntegerType()), ("score", T.DoubleType())]
+        schema = T.StructType([T.StructField(*x) for x in kinds])
+        part = F.pmod(F.xxhash64("at"), F.lit(parts)).cast("int").alias("part")
+        links = _met(
+            placed.select("block", "at", "node", "embedding"), placed.select("block", part, "at"),
+            parts, blocks, _linked(degree, schema), schema,
         )
-        return cls(nodes, members, materialize(starts, "graph-starts"), degree)
-
-    @staticmethod
-    def _built(points: DataFrame, degree: int, rounds: int, seed: int) -> DataFrame:
-        """``(src, dst, score, born)``: links after rounds of neighbour-of-neighbour joins."""
-        total = points.count()
-        blocks = max(1, math.ceil(total / (BLOCK * degree)))
-        kind = points.schema["node"].dataType.simpleString()
-        schema = f"src {kind}, dst {kind}, score double"
-        member = F.struct(F.col("node").alias("id"), "embedding")
-        first = None
-        for salt in (2 * seed, 2 * seed + 1):
-            block = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(blocks))
-            listed = points.groupBy(block.alias("block")).agg(F.collect_list(member).alias("members"))
-            found = listed.select("members").mapInArrow(_linked(max(1, degree // 2)), schema)
-            first = found if first is None else first.unionByName(found)
-        links = materialize(_nearest_links(first.withColumn("born", F.lit(0)), degree), "graph-links")
-        for number in range(1, rounds + 1):
-            around = _both_ways(links, degree).select("src", F.col("dst").alias("node"))
-            listed = around.join(points, "node").groupBy("src").agg(F.collect_list(member).alias("members"))
-            found = listed.select("members").mapInArrow(_linked(max(1, degree // 2)), schema)
-            both = links.unionByName(found.withColumn("born", F.lit(number)))
-            links = materialize(_nearest_links(both, degree), "graph-links")
-            counted = links.agg(F.count("*").alias("n"), F.count(F.when(F.col("born") == number, 1)).alias("new")).first()
-            if counted["new"] <= SETTLED * counted["n"]:
-                break
-        return links
+        near = _both_ways(materialize(links, "graph-links"), degree)
+        near = near.groupBy("block", "src").agg(F.sort_array(F.collect_list("dst")).alias("near"))
+        nodes = placed.join(near.withColumnRenamed("src", "at"), ["block", "at"], "left")
+        nodes = materialize(nodes.select("block", "at", "node", "embedding", "draw", "near"), "graph")
+        return cls(nodes, members, degree)
 
     def save(self, path: str) -> GraphIndex:
-        """Write the tables, nodes sorted by id within files."""
+        """Write the tables, nodes sorted by place within files."""
         spark = self.nodes.sparkSession
-        self.nodes.repartition("node").sortWithinPartitions("node").write.parquet(f"{path}/nodes")
+        nodes = self.nodes.withColumn("degree", F.lit(self.degree))
+        nodes.repartition("block", "at").sortWithinPartitions("block", "at").write.parquet(f"{path}/nodes")
         self.members.write.parquet(f"{path}/members")
-        self.starts.withColumn("degree", F.lit(self.degree)).write.parquet(f"{path}/starts")
         return self.load(spark, path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> GraphIndex:
-        nodes, members, starts = (spark.read.parquet(f"{path}/{x}") for x in ("nodes", "members", "starts"))
-        return cls(nodes, members, starts.drop("degree"), starts.select("degree").first()[0])
+        nodes, members = (spark.read.parquet(f"{path}/{x}") for x in ("nodes", "members"))
+        return cls(nodes.drop("degree"), members, nodes.select("degree").first()[0])
 
-    def _scored(self, pairs: DataFrame, asked: DataFrame) -> DataFrame:
-        known = self.nodes.select(F.col("node").alias("doc_id"), "embedding")
-        found = pair_vectors(pairs.withColumnRenamed("node", "doc_id"), known, asked)
-        score = F.coalesce(round_score(cosine(F.col("query_embedding"), F.col("embedding"))), F.lit(0.0))
-        return found.select("query_id", F.col("doc_id").alias("node"), score.alias("score"), F.lit(True).alias("open"))
+    def _found(self, query_vectors: DataFrame, beam: int, starts: int, rounds: int, keep: int | None) -> DataFrame:
+        """``(query_id, node, score, open)``: the ``keep`` best of each block, or all that were met."""
+        spark = self.nodes.sparkSession
+        asked = with_vectors(query_vectors).filter("query_id IS NOT NULL").select("query_id", "embedding")
+        asked = materialize(asked, "graph-queries")
+        rows, size = measured_size(asked)
+        blocks = int(self.nodes.agg(F.max("block")).first()[0] or 0) + 1
+        # Queries whose rows a task can hold until its end.
+        parts = pieces(rows, size, max(1, HELD // (2 * keep if keep else 64 * beam)))
+        parts = max(parts, _spread(rows, blocks, spark))
+        part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        schema = T.StructType([
+            T.StructField("query_id", asked.schema["query_id"].dataType),
+            T.StructField("node", self.nodes.schema["node"].dataType),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("open", T.BooleanType()),
+        ])
+        run = _walked(beam, starts, rounds, keep, schema)
+        return _met(self.nodes, asked.withColumn("part", part).withColumn("block", every), parts, blocks, run, schema)
 
     def walked(self, query_vectors: DataFrame, beam: int = BEAM, starts: int = STARTS, rounds: int = ROUNDS) -> DataFrame:
         """``(query_id, node, score, open, rank)``: all nodes each query has met, best first."""
-        asked = materialize(with_vectors(query_vectors).select("query_id", "embedding"), "graph-queries")
-        begun = nearest_cells(asked, self.starts.select("cell", "centroid"), starts)
-        first = begun.select("query_id", F.explode("cells").alias("cell"))
-        known = self.starts.select("cell", "node")
-        first = first.join(hinted(known, fits(known)), "cell").select("query_id", "node")
-        state = self._ranked(self._scored(first, asked))
-        for _ in range(rounds):
-            edge = state.filter((F.col("rank") <= beam) & F.col("open")).select("query_id", "node")
-            if edge.isEmpty():
-                break
-            around = self.nodes.select("node", "near").join(hinted(edge, fits(edge)), "node")
-            met = around.select("query_id", F.explode("near").alias("node")).distinct()
-            new = met.join(state.select("query_id", "node"), ["query_id", "node"], "left_anti")
-            passed = state.withColumn("open", F.col("open") & (F.col("rank") > beam)).drop("rank")
-            state = self._ranked(passed.unionByName(self._scored(new, asked)))
-        return state
-
-    @staticmethod
-    def _ranked(scored: DataFrame) -> DataFrame:
-        rank = F.row_number().over(_by(F.desc("score"), "node", of="query_id"))
-        return materialize(scored.withColumn("rank", rank), "graph-walk")
+        found = self._found(query_vectors, beam, starts, rounds, None)
+        return materialize(with_rank(found, ["query_id"], [F.desc("score"), F.asc("node")]), "graph-walk")
 
     def search(
         self, query_vectors: DataFrame, k: int, beam: int = BEAM, starts: int = STARTS, rounds: int = ROUNDS
@@ -223,7 +322,8 @@ class GraphIndex:
 
         A beam below ``k`` is widened to it. Documents without direction score 0.
         """
-        return self.best(self.walked(query_vectors, max(beam, k), starts, rounds), k)
+        found = self._found(query_vectors, max(beam, k), starts, rounds, k)
+        return self.best(top_k(found, ["query_id"], [F.desc("score"), F.asc("node")], k), k)
 
     def best(self, walked: DataFrame, k: int) -> DataFrame:
         """The ``k`` best documents of what was walked; nodes stand for all their members."""
@@ -237,7 +337,34 @@ class GraphIndex:
         return ranked.select("query_id", "doc_id", "score", "rank")
 
 
-def _by(*order, of: str | None = None):
-    from pyspark.sql import Window as W
-
-    return W.partitionBy(of).orderBy(*order) if of else W.orderBy(*order)
+def calibrated_beam(
+    index: GraphIndex,
+    k: int,
+    recall: float,
+    query_vectors: DataFrame | None = None,
+    least: int = BEAM,
+    sample: int = CALIBRATION,
+    seed: int = 0,
+) -> int:
+    """A beam of at least ``least`` with which ``k`` nearest nodes are found with the wanted recall.
+
+    ``sample`` of the queries, drawn by a hash, are searched for exactly, and then by walks of ever
+    wider beams. Without queries, nodes serve as such, themselves left out.
+    """
+    nodes = index.nodes.select("node", "embedding")
+    own = query_vectors is None
+    asked = nodes.withColumnRenamed("node", "query_id") if own else with_vectors(query_vectors).select("query_id", "embedding")
+    drawn = asked.filter("query_id IS NOT NULL").orderBy(F.xxhash64("query_id", F.lit(seed + 2)), "query_id").limit(sample)
+    asked = materialize(drawn, "calibration")
+    found = nearest(nodes.withColumnRenamed("node", "doc_id"), asked, k + own, 0.0)
+    found = found.filter("query_id <> doc_id") if own else found
+    true = top_k(found, ["query_id"], ranking_order(found), k).select("query_id", F.col("doc_id").alias("node"))
+    true = materialize(true.distinct(), "calibration")
+    wanted, beam = min(1.0, recall + MARGIN) * true.count(), least
+    most = index.nodes.groupBy("block").count().agg(F.max("count")).first()[0]
+    while beam < most:
+        seen = index._found(asked, max(beam, k + own), STARTS, ROUNDS, k + own).select("query_id", "node").distinct()
+        if true.join(F.broadcast(seen), ["query_id", "node"], "left_semi").count() >= wanted:
+            break
+        beam = math.ceil(beam * WIDER)
+    return beam

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sparkrank.operators.approx import VectorIndex, calibrated_probes, train_centroids
 from sparkrank.operators.dense import cosine_search
-from sparkrank.operators.graph import GraphIndex
+from sparkrank.operators.graph import BEAM, GraphIndex, calibrated_beam
+from sparkrank.sources import scratch
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -69,6 +70,48 @@ def test_graph_of_few_vectors(spark):
         GraphIndex.build(docs.limit(0))
 
 
+def normal(spark, n, dim=48, shift=0):
+    rows = [(i + shift, v.tolist()) for i, v in enumerate(np.random.default_rng(n).normal(size=(n, dim)))]
+    return spark.createDataFrame(rows, "doc_id long, embedding array<float>").repartition(4)
+
+
+def test_graph_moves_no_links_of_rounds(spark):
+    """Building and searching write a few tables, and not one a round."""
+    docs = normal(spark, 300)
+    written = len(scratch._written)
+    index = GraphIndex.build(docs)
+    assert len(scratch._written) - written <= 5
+    assert index.search(asked(docs), 5).count() == 1500
+    assert len(scratch._written) - written <= 6
+
+
+def test_graph_of_several_blocks_by_recall(spark, tmp_path):
+    docs = normal(spark, 1500)
+    index = GraphIndex.build(docs, block_nodes=400).save(str(tmp_path / "blocks"))
+    assert index.nodes.groupBy("block").count().filter("count <= 450").count() == 4
+    # No link leaves its block.
+    ends = index.nodes.select("block", F.explode("near").alias("at"))
+    assert ends.join(index.nodes, ["block", "at"], "left_anti").count() == 0
+    exact = ranked_lists(cosine_search(docs, asked(docs), 10))
+    beam = calibrated_beam(index, 10, 0.9)
+    assert beam >= BEAM and recall(ranked_lists(index.search(asked(docs), 10, beam)), exact) >= 0.9
+    others = normal(spark, 100, shift=5000)
+    beam = calibrated_beam(index, 10, 0.9, asked(others), least=20)
+    exact = ranked_lists(cosine_search(docs, asked(others), 10))
+    assert beam >= 20 and recall(ranked_lists(index.search(asked(others), 10, beam)), exact) >= 0.9
+
+
+def test_graph_of_repeated_and_missing_ids(spark):
+    """Rows that come twice count twice, on both sides, as in exact search; queries without id have no list."""
+    docs = normal(spark, 40)
+    twice = docs.unionByName(docs.filter("doc_id < 5"))
+    index = GraphIndex.build(twice)
+    found = index.search(asked(twice), 6, beam=40)
+    assert sorted(found.collect()) == sorted(cosine_search(twice, asked(twice), 6).collect())
+    none = spark.createDataFrame([(None, [1.0] * 48)], "query_id long, embedding array<float>")
+    assert index.search(none, 3).count() == 0
+
+
 def test_radii_make_the_search_exact(points, exact):
     index = VectorIndex.build(points, train_centroids(points, 45, seed=1))
     assert ranked_lists(index.search_exact(asked(points), 10, first=3)) == exact
