@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-# Alphabets up to this size are induced bucket by bucket.
+# Alphabets up to this size are induced bucket by bucket, larger ones sorted by doubling.
 FEW_SYMBOLS = 1024
 
 
@@ -33,7 +33,41 @@ def smaller_suffixes(text: np.ndarray) -> np.ndarray:
     return smaller[end]
 
 
+def _packed(text: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """By position, ``width`` symbols from there as one number, the first one highest; 0 after the end."""
+    n, closed = len(text), np.append(text.astype(np.int64), np.zeros(width, np.int64))
+    out = closed[:n].copy()
+    for offset in range(1, width):
+        out <<= bits
+        out |= closed[offset : n + offset]
+    return out
+
+
+def _doubled(text: np.ndarray) -> np.ndarray:
+    """The order of all suffixes of ``text``, whose last symbol is the only 0."""
+    n, bits = len(text), max(1, int(text.max()).bit_length())
+    width = max(1, min(62 // bits, n))
+    keys = _packed(text, bits, width)
+    slots, order = np.arange(n), np.argsort(keys)
+    rank, own, keys = np.empty(n, np.int64), order, keys[order]
+    while True:
+        first = np.append(True, keys[1:] != keys[:-1])
+        # A rank is the first place of those that are equal so far.
+        rank[own] = np.maximum.accumulate(np.where(first, slots, 0))
+        slots = slots[~(first & np.append(first[1:], True))]
+        if not len(slots):
+            return order
+        own = order[slots]
+        keys = rank[own] * n + rank[own + width]
+        by = np.argsort(keys)
+        own, keys = own[by], keys[by]
+        order[slots] = own
+        width *= 2
+
+
 def _sorted(text: np.ndarray, symbols: int) -> np.ndarray:
+    if symbols > FEW_SYMBOLS:
+        return _doubled(text)
     n, small = len(text), smaller_suffixes(text)
     leftmost = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(leftmost) == 1:
@@ -76,9 +110,7 @@ def _induced(text, small, leftmost, symbols) -> np.ndarray:
     """The order induced by ``leftmost`` ones, which are in order within each bucket."""
     sizes = np.bincount(text, minlength=symbols)
     ends = np.cumsum(sizes)
-    if symbols <= FEW_SYMBOLS:
-        return _by_buckets(text, small, leftmost, ends - sizes, ends)
-    return _walking(text, small, leftmost, (ends - sizes).tolist(), ends.tolist())
+    return _by_buckets(text, small, leftmost, ends - sizes, ends)
 
 
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,31 +184,6 @@ def _by_buckets(text, small, leftmost, heads, ends) -> np.ndarray:
     return order
 
 
-def _walking(text, small, leftmost, heads, ends) -> np.ndarray:
-    n = len(text)
-    symbols, is_small = text.tolist(), small.tolist()
-    order, at = [-1] * n, list(ends)
-    for i in reversed(leftmost.tolist()):
-        at[symbols[i]] -= 1
-        order[at[symbols[i]]] = i
-    at = list(heads)
-    for place in range(n):
-        i = order[place] - 1
-        if i >= 0 and not is_small[i]:
-            symbol = symbols[i]
-            order[at[symbol]] = i
-            at[symbol] += 1
-    at = list(ends)
-    for place in range(n - 1, -1, -1):
-        i = order[place] - 1
-        if i >= 0 and is_small[i]:
-            symbol = symbols[i]
-            at[symbol] -= 1
-            order[at[symbol]] = i
-    order[0] = n - 1
-    return np.array(order, np.int64)
-
-
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: by position, the length shared with the suffix before it in
     ``order``, ``most`` at most."""
@@ -185,10 +192,18 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
     left = np.flatnonzero(before >= 0)
-    for offset in range(most):
-        left = left[np.maximum(left, before[left]) + offset < n]
-        left = left[text[left + offset] == text[before[left] + offset]]
+    # Several symbols are compared at a time; what is behind the end equals none.
+    bits = (int(text.max(initial=0)) + 1).bit_length()
+    width = max(1, 62 // bits)
+    words = np.append(_packed(text + 1, bits, width), 0)
+    for offset in range(0, most, width):
+        differ = words[np.minimum(left + offset, n)] ^ words[np.minimum(before[left] + offset, n)]
+        same = differ == 0
+        ends, differ = left[~same], differ[~same]
+        for behind in range(1, width):
+            shared[ends] += differ >> (bits * behind) == 0
+        left = left[same]
+        shared[left] += width
         if not len(left):
             break
-        shared[left] += 1
-    return shared
+    return np.minimum(shared, most)

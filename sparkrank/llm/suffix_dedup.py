@@ -16,7 +16,8 @@ have equal anchors at equal places.
    two or more contents are of interest. The stretch of strings around each goes to the anchor's
    shard. Strings around a very common anchor travel one by one instead, each to a shard of its own
    hash, so no anchor's neighbourhoods meet in one place.
-5. A shard sorts the suffixes of stretches that differ around a common anchor by induced sorting.
+5. A shard sorts the suffixes of stretches that differ around a common anchor by induced sorting
+   (and what that names, by doubling prefixes).
    Permuted common prefixes of ``span`` bytes or more cut the order into classes of equal strings;
    all strings but the smallest document's are marked.
 6. Marks meet their texts by document, and covered bytes are removed.
@@ -46,8 +47,9 @@ from .suffix_array import common_prefixes, suffix_array
 
 SPAN = 50
 ANCHOR = 20
-# Bound on the filters that every worker holds.
-FILTER_BYTES = 48 * 1024 * 1024
+# Bound on the filters that every worker holds, and the part of it for very common anchors, which are few.
+FILTER_BYTES = 128 * 1024 * 1024
+COMMON_PART = 16
 # Documents from which on an anchor is very common.
 COMMON = 16384
 # Bytes of text looked at in one piece; different stretches, and places of them, that are combined at
@@ -74,14 +76,16 @@ def _mixed(value: np.ndarray) -> np.ndarray:
 
 def piece_hashes(data: np.ndarray) -> np.ndarray:
     """Hashes of the ``ANCHOR`` (20) bytes at each place."""
-    wide = data.astype(np.uint64)
-    two = wide[:-1] | wide[1:] << np.uint64(8)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    eight = four[:-4] | four[4:] << np.uint64(32)
     n = len(data) - ANCHOR + 1
-    return _mixed(
-        _mixed(eight[:n]) ^ eight[8 : 8 + n] * np.uint64(0xA0761D6478BD642F)
-    ) ^ _mixed(four[16 : 16 + n] * np.uint64(0xE7037ED1A0B428DB))
+    # Words of eight bytes from each place, read where they lie; three of them cover a piece.
+    words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,)).copy()
+    out = words[:n] * np.uint64(0xA0761D6478BD642F)
+    for place, factor in ((8, 0xE7037ED1A0B428DB), (ANCHOR - 8, 0x8EBC6AF09C88C6E3)):
+        out ^= out >> np.uint64(29)
+        out += words[place : place + n] * np.uint64(factor)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out
 
 
 def stretches(data: np.ndarray, lengths: np.ndarray, span: int = SPAN):
@@ -101,16 +105,16 @@ def stretches(data: np.ndarray, lengths: np.ndarray, span: int = SPAN):
         step = min(have, width - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
-    anchors = (_LOW - (least & _LOW)).astype(np.int64)
-    valid = np.flatnonzero(np.arange(n - span + 1) + span <= np.repeat(ends, lengths)[: n - span + 1])
-    if not len(valid):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    own = anchors[valid]
-    begins = np.append(True, (own[1:] != own[:-1]) | (valid[1:] != valid[:-1] + 1))
-    at = np.flatnonzero(begins)
-    first, last = valid[at], valid[np.append(at[1:], len(valid)) - 1]
+    # Places where a string fits into its document.
+    inside = np.ones(n - span + 1, bool)
+    for end in ends[:-1].tolist():
+        inside[max(0, end - span + 1) : end] = False
+    turns = np.append(True, (least[1:] != least[:-1]) | ~inside[1:] | ~inside[:-1])
+    first = np.flatnonzero(turns & inside)
+    last = np.flatnonzero(np.append(turns[1:], True) & inside)
+    anchors = (_LOW - (least[first] & _LOW)).astype(np.int64)
     # An anchor's hash is a least one: mixed, its high bits are as even as its low ones.
-    return np.searchsorted(ends, first, side="right"), first, last, _mixed(hashes[own[at]])
+    return np.searchsorted(ends, first, side="right"), first, last, _mixed(hashes[anchors])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
@@ -206,15 +210,16 @@ def _send_anchors(span: int, shards: int):
 
 
 def _anchor_filters(most_bytes: int, common: int):
-    most_bits = 1 << max(6, (8 * most_bytes).bit_length() - 1)
-
-    def filtered(found: np.ndarray) -> bytes:
+    def filtered(found: np.ndarray, most_bytes: int) -> bytes:
         if not len(found):
             return b""
+        most_bits = 1 << max(6, (8 * most_bytes).bit_length() - 1)
         bloom = Bloom(min(most_bits, 16 * len(found)))
         bloom.add(found.astype(np.uint64))
         return bloom.words.tobytes()
 
+    few_bytes = most_bytes // COMMON_PART
+
     def run(table: pa.Table) -> pa.Table:
         hashes = np.concatenate([unpacked(x.as_py()) for x in table.column("hashes")])
         counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
@@ -225,8 +230,8 @@ def _anchor_filters(most_bytes: int, common: int):
         return pa.table(
             {
                 "segment": table.column("segment")[:1],
-                "shared": pa.array([filtered(hashes[starts][totals > 1])], pa.binary()),
-                "common": pa.array([filtered(hashes[starts][totals >= common])], pa.binary()),
+                "shared": pa.array([filtered(hashes[starts][totals > 1], most_bytes - few_bytes)], pa.binary()),
+                "common": pa.array([filtered(hashes[starts][totals >= common], few_bytes)], pa.binary()),
             }
         )
 
@@ -513,7 +518,7 @@ def _shared_anchors(rows: DataFrame, span: int, segments: int, filter_bytes: int
         map_arrow(rows.select("id", "text"), _send_anchors(span, segments), "segment int, hashes binary, counts binary")
         .groupBy("segment")
         .applyInArrow(
-            _anchor_filters(max(8, filter_bytes // 2 // segments), common),
+            _anchor_filters(max(8, filter_bytes // segments), common),
             "segment int, shared binary, common binary",
         )
         .collect()
@@ -543,7 +548,11 @@ def repeated_spans(
         return sent.repartition(segments, "shard").groupBy("shard")
 
     copies = whole_copies(rows, span)
-    rows = rows.join(hinted(copies.select("id"), fits(copies)), "id", "left_anti")
+    few = fits(copies)
+    rows = rows.join(hinted(copies.select("id"), few), "id", "left_anti")
+    if not few:
+        # Texts are read twice from here on, and moved for it once.
+        rows = materialize(rows, "suffix-texts")
     anchors = _shared_anchors(rows, span, segments, filter_bytes, common)
     cut = by_shard(map_arrow(rows, _send_chunks(span, shards, anchors), SENT))
     settled = materialize(

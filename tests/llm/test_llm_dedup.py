@@ -1,5 +1,7 @@
 """Exact, line, suffix-array and SimHash deduplication against plain versions."""
 
+import sys
+
 import awkward
 import brute
 import duckdb
@@ -141,6 +143,38 @@ def test_repeated_strings_go_from_texts(spark):
         assert r["text"] == want[awkward.brute_id(r["doc_id"])][3].decode("utf-8", "ignore")
 
 
+def test_filter_of_shared_anchors_has_its_bytes(spark):
+    """Very common anchors are few, and leave nearly all of the filters' bytes to the shared ones."""
+    r = np.random.default_rng(8)
+    text = lambda n: bytes(r.integers(32, 127, n).astype(np.uint8))
+    both = text(40_000)
+    rows = [(1, both + text(100)), (2, text(100) + both)]
+    docs = spark.createDataFrame([(i, bytearray(t)) for i, t in rows], "id long, text binary")
+    known = suffix_dedup.Anchors(*suffix_dedup._shared_anchors(docs, 50, 1, 6000, 16384).value[:2])
+    hashes = lambda t: suffix_dedup.stretches(np.frombuffer(t, np.uint8), np.array([len(t)]))[3]
+    assert known(hashes(both)).all()
+    assert known(hashes(text(200_000))).mean() < 0.02
+
+
+def test_names_of_a_recursion_are_sorted_in_whole_arrays():
+    """Many different names: no step of Python for each of them."""
+    text, steps = np.random.default_rng(9).integers(0, 5000, 20_000), []
+
+    def step(frame, event, arg):
+        steps.append(event)
+        return step
+
+    before = sys.gettrace()
+    sys.settrace(step)
+    try:
+        order = suffix_array.suffix_array(text)
+    finally:
+        sys.settrace(before)
+    plain = text.tolist()
+    assert order.tolist() == sorted(range(len(plain)), key=lambda i: plain[i : i + 50])
+    assert len(steps) < 2000
+
+
 def test_stretches_hold_each_string_once():
     r = np.random.default_rng(3)
     texts = [bytes(r.choice(list(b"ab "), r.integers(0, 150)).astype(np.uint8)) for _ in range(20)]
