@@ -15,7 +15,7 @@ Blocks are copied per part, and queries per block; links, and what a query has m
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ranking import SCORE_DECIMALS
 from ..session import ship_package
 from ..sources.scratch import materialize
 from .approx import CALIBRATION, MARGIN
@@ -38,18 +39,20 @@ from .validate import require_rows
 
 # Links of a node to its nearest; with those that lead to it, it has at most twice as many.
 DEGREE = 8
-# Most nodes of a block.
-BLOCK_NODES = 65_536
+# Most nodes of a block, and bytes of their vectors.
+BLOCK_NODES, BLOCK_BYTES = 196_608, 96 * 1024 * 1024
+# Nodes from which on a block's nearest are looked for in columns of so many scores.
+COLUMNS, COLUMN = 4096, 16
 # Fewest queries of a part, but for their end.
 PART_ROWS = 100
-# Start nodes used by a query, of the root of a block's nodes.
-STARTS = 8
+# Start nodes used by a query, of the root of a block's nodes, or of one in so many if that is more.
+STARTS, START_SHARE = 8, 64
 # Nodes a query keeps open, and rounds it may take.
 BEAM, ROUNDS = 16, 40
-# What a beam is raised by when a recall is wanted.
-WIDER = 1.5
-# Marks of nodes met by the queries that a task walks together.
-MARKS = 16_000_000
+# What a beam is raised by when a recall is wanted, and beams that are tried together.
+WIDER, TRIALS = 1.5, 4
+# Marks of nodes met by the queries that a task walks together, and pairs scored at once.
+MARKS, PAIRS = 16_000_000, 8192
 
 
 class _Block:
@@ -68,7 +71,24 @@ class _Block:
             self.near = np.full((self.size, max(1, sizes.max(initial=0))), -1, np.int32)
             self.near[np.arange(self.near.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
             order = np.lexsort((np.arange(self.size), nodes.column("draw").to_numpy()))
-            self.starts = order[: max(1, math.isqrt(self.size))]
+            self.starts = order[: max(1, math.isqrt(self.size), self.size // START_SHARE)]
+
+
+def _most(near: np.ndarray, width: int) -> np.ndarray:
+    """Columns of the ``width`` largest of each row."""
+    size = near.shape[1]
+    if size < COLUMNS:
+        return np.argpartition(near, size - width, axis=1)[:, size - width :]
+    # They are in the columns of the largest maxima, if a row is laid out as ``COLUMN`` rows below each other.
+    wide = size // COLUMN
+    most = near[:, : COLUMN * wide].reshape(len(near), COLUMN, wide).max(axis=1)
+    some = np.argpartition(most, wide - width, axis=1)[:, wide - width :]
+    places = (some[:, None, :] + wide * np.arange(COLUMN)[:, None]).reshape(len(near), -1)
+    rest = np.broadcast_to(np.arange(COLUMN * wide, size), (len(near), size - COLUMN * wide))
+    places = np.concatenate([places, rest], axis=1)
+    values = np.take_along_axis(near, places, axis=1)
+    best = np.argpartition(values, values.shape[1] - width, axis=1)[:, values.shape[1] - width :]
+    return np.take_along_axis(places, best, axis=1)
 
 
 def _linked(keep: int, schema: T.StructType) -> Callable:
@@ -79,11 +99,12 @@ def _linked(keep: int, schema: T.StructType) -> Callable:
         if part.num_rows and nodes.num_rows > 1:
             block, mine = _Block(nodes), np.sort(part.column("at").to_numpy())
             width, step = min(keep, block.size - 1), max(1, 4 * TILE // block.size)
+            held = np.empty((step, block.size), np.float32)
             for a in range(0, len(mine), step):
                 some = mine[a : a + step]
-                near = block.units[some] @ block.units.T
+                near = np.matmul(block.units[some], block.units.T, out=held[: len(some)])
                 near[np.arange(len(some)), some] = -2.0
-                best = np.argpartition(near, block.size - width, axis=1)[:, block.size - width :]
+                best = _most(near, width)
                 for kept, new in zip(found, (np.repeat(some, width), best, np.take_along_axis(near, best, axis=1))):
                     kept.append(new.ravel())
         src, dst, score = (np.concatenate(x) for x in found)
@@ -94,56 +115,104 @@ def _linked(keep: int, schema: T.StructType) -> Callable:
     return run
 
 
-def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int, met: list | None) -> tuple:
-    """Places and scores of the beam of each query, best first (-1: none).
+# An empty place of a beam: worse than all nodes, and closed.
+_NONE = np.iinfo(np.int64).max
+
+
+def _keys(scores: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Numbers that order nodes by falling score, then place; odd if a node is closed, and these are open."""
+    bits = (scores.astype(np.float32) + np.float32(0)).view(np.int32)
+    rising = (bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64)
+    return (~rising << 32) | (places << 1)
+
+
+def _products(units: np.ndarray, queries: np.ndarray, nodes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Scores of pairs, few at a time so that their vectors stay in the processor's cache."""
+    out = np.empty(len(queries), np.float32)
+    left, right = (np.empty((min(PAIRS, len(queries)), units.shape[1]), np.float32) for _ in range(2))
+    for a in range(0, len(queries), PAIRS):
+        n = min(PAIRS, len(queries) - a)
+        np.take(units, queries[a : a + n], axis=0, out=left[:n], mode="clip")
+        np.take(nodes, places[a : a + n], axis=0, out=right[:n], mode="clip")
+        np.einsum("ij,ij->i", left[:n], right[:n], out=out[a : a + n])
+    return out
+
+
+def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int, met: list | None) -> np.ndarray:
+    """Places of the beam of each query, best first (-1: none).
 
     ``met`` is given ``(query, place, open)`` of all nodes that were met.
     """
     n, size = len(units), block.size
     known = np.zeros(n * size, bool)
-    near = rounded((units @ block.units[block.starts].T).astype(np.float64))
-    queries = np.repeat(np.arange(n), min(starts, len(block.starts)))
-    first = np.argsort(-near, axis=1, kind="stable")[:, :starts]
-    keys = np.sort(queries * size + block.starts[first].ravel())
-    places = np.full((n, beam), -1, np.int64)
-    scores = np.full((n, beam), -np.inf, np.float32)
-    still = np.zeros((n, beam), bool)
+    near = np.rint((units @ block.units[block.starts].T).astype(np.float64) * 10**SCORE_DECIMALS).astype(np.int64)
+    width = min(starts, len(block.starts))
+    first = (-near << 32) | np.arange(len(block.starts))
+    first = np.sort(np.partition(first, width - 1, axis=1)[:, :width], axis=1) & 0xFFFFFFFF
+    keys = np.sort((np.arange(n)[:, None] * size + block.starts[first]).ravel())
+    beams = np.full((n, beam), _NONE)
     every, passed = [], []
     for number in range(rounds + 1):
         known[keys] = True
         queries, new = np.divmod(keys, size)
-        values = np.einsum("ij,ij->i", units[queries], block.units[new])
+        found = _keys(_products(units, queries, block.units, new), new)
         if met is not None:
             every.append(keys)
-        # Only what is as good as the last of a beam can enter it; of equals the first.
-        good = values >= scores[queries, -1]
-        queries, new, values = queries[good], new[good], values[good]
-        begins = np.searchsorted(queries, np.arange(n + 1))
-        width = int(np.diff(begins).max(initial=0))
-        add = lambda have, fill: np.concatenate([have, np.full((n, width), fill, have.dtype)], axis=1)
-        places, scores, still = add(places, -1), add(scores, -np.inf), add(still, False)
-        column = beam + np.arange(len(new)) - begins[queries]
-        places[queries, column], scores[queries, column], still[queries, column] = new, values, True
-        order = np.lexsort((places, -scores), axis=1)[:, :beam]
-        places, scores, still = (np.take_along_axis(x, order, axis=1) for x in (places, scores, still))
-        row, column = np.nonzero(still)
+        # Only what is better than the last of a beam can enter it.
+        good = found < beams[queries, -1]
+        queries, found = queries[good], found[good]
+        some, begins = np.unique(queries, return_index=True)
+        if len(some):
+            sizes = np.diff(np.append(begins, len(queries)))
+            wide = np.full((len(some), beam + sizes.max()), _NONE)
+            wide[:, :beam] = beams[some]
+            column = beam + np.arange(len(queries)) - np.repeat(begins, sizes)
+            wide[np.repeat(np.arange(len(some)), sizes), column] = found
+            wide.sort(axis=1)
+            beams[some] = wide[:, :beam]
+        row, column = np.nonzero(beams & 1 == 0)
         if number == rounds or len(row) == 0:
             break
-        still[:] = False
+        places = (beams[row, column] & 0xFFFFFFFF) >> 1
+        beams |= 1
         if met is not None:
-            passed.append(row * size + places[row, column])
-        around = block.near[places[row, column]]
+            passed.append(row * size + places)
+        around = block.near[places]
         keys = (row[:, None] * size + around)[around >= 0]
-        keys = np.unique(keys[~known[keys]])
+        keys = np.sort(keys[~known[keys]])
+        keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
     if met is not None:
         every = np.concatenate(every)
         closed = np.concatenate(passed) if passed else every[:0]
         met.append((*np.divmod(every, size), ~np.isin(every, closed)))
-    return places, scores
-
-
-def _walked(beam: int, starts: int, rounds: int, keep: int | None, schema: T.StructType) -> Callable:
-    """The ``keep`` best nodes of a block, or all that were met, for every query of a part."""
+    return np.where(beams == _NONE, -1, (beams & 0xFFFFFFFF) >> 1)
+
+
+def _walked(beams: list[int], starts: int, rounds: int, keep: int | None, schema: T.StructType) -> Callable:
+    """The ``keep`` best nodes of a block, or all that were met, for every query of a part and each of ``beams``."""
+
+    def walks(block: _Block, asked: pa.Table, exact: np.ndarray, units: np.ndarray, trial: int) -> Iterator[pa.Table]:
+        step = max(1, MARKS // block.size)
+        for a in range(0, len(units), step):
+            met = [] if keep is None else None
+            places = _walk(block, units[a : a + step], min(beams[trial], block.size), starts, rounds, met)
+            if met:
+                queries, places, still = met[0]
+            else:
+                # Twice as many are scored again, for scores that differ in rounding only.
+                some = places[:, : 2 * keep]
+                queries, column = np.nonzero(some >= 0)
+                places, still = some[queries, column], np.zeros(len(queries), bool)
+            values = rounded(np.einsum("ij,ij->i", exact[a + queries], block.exact[places]))
+            values[np.isnan(values)] = 0.0
+            if keep is not None:
+                order = np.lexsort((places, -values, queries))
+                queries, places, values = queries[order], places[order], values[order]
+                best = np.arange(len(queries)) - np.searchsorted(queries, queries) < keep
+                queries, places, values, still = queries[best], places[best], values[best], still[best]
+            ids = asked.column("query_id").combine_chunks().take(pa.array(a + queries))
+            columns = [ids, block.ids.take(pa.array(places)), pa.array(values), pa.array(still)]
+            yield pa.Table.from_arrays([*columns, pa.array(np.full(len(queries), trial, np.int32))], names=schema.names)
 
     def run(nodes: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
@@ -151,31 +220,11 @@ def _walked(beam: int, starts: int, rounds: int, keep: int | None, schema: T.Str
             block, asked = _Block(nodes), asked.combine_chunks()
             exact = unit_rows(vector_matrix(asked.column("embedding")), 0.0)
             units = np.nan_to_num(exact.astype(np.float32))
-            step = max(1, MARKS // block.size)
-            for a in range(0, len(units), step):
-                met = [] if keep is None else None
-                places, _ = _walk(block, units[a : a + step], min(beam, block.size), starts, rounds, met)
-                if met:
-                    queries, places, still = met[0]
-                else:
-                    # Twice as many are scored again, for scores that differ in rounding only.
-                    some = places[:, : 2 * keep]
-                    queries, column = np.nonzero(some >= 0)
-                    places, still = some[queries, column], np.zeros(len(queries), bool)
-                values = rounded(np.einsum("ij,ij->i", exact[a + queries], block.exact[places]))
-                values[np.isnan(values)] = 0.0
-                if keep is not None:
-                    order = np.lexsort((places, -values, queries))
-                    queries, places, values = queries[order], places[order], values[order]
-                    best = np.arange(len(queries)) - np.searchsorted(queries, queries) < keep
-                    queries, places, values, still = queries[best], places[best], values[best], still[best]
-                ids = asked.column("query_id").combine_chunks().take(pa.array(a + queries))
-                out.append(pa.Table.from_arrays(
-                    [ids, block.ids.take(pa.array(places)), pa.array(values), pa.array(still)], names=schema.names
-                ))
+            for trial in range(len(beams)):
+                out += walks(block, asked, exact, units, trial)
         if out:
             return pa.concat_tables(out)
-        kinds = asked.schema.field("query_id").type, nodes.schema.field("node").type, pa.float64(), pa.bool_()
+        kinds = asked.schema.field("query_id").type, nodes.schema.field("node").type, pa.float64(), pa.bool_(), pa.int32()
         return pa.Table.from_arrays([pa.array([], t) for t in kinds], names=schema.names)
 
     return run
@@ -257,7 +306,7 @@ class GraphIndex:
             members = salted_join(vectors, several, "embedding", "doc_id")
         members = materialize(members.select("node", "doc_id"), "graph-members")
         rows, size = measured_size(points)
-        blocks = pieces(rows, size, block_nodes or BLOCK_NODES)
+        blocks = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(rows / (block_nodes or BLOCK_NODES)))
         block = F.pmod(F.xxhash64("node", F.lit(seed + 1)), F.lit(blocks)).cast("int")
         placed = points.select(block.alias("block"), "node", "embedding", F.xxhash64("node", F.lit(seed)).alias("draw"))
         place = F.row_number().over(W.partitionBy("block").orderBy("node", F.xxhash64("embedding"))) - 1
@@ -289,15 +338,18 @@ class GraphIndex:
         nodes, members = (spark.read.parquet(f"{path}/{x}") for x in ("nodes", "members"))
         return cls(nodes.drop("degree"), members, nodes.select("degree").first()[0])
 
-    def _found(self, query_vectors: DataFrame, beam: int, starts: int, rounds: int, keep: int | None) -> DataFrame:
-        """``(query_id, node, score, open)``: the ``keep`` best of each block, or all that were met."""
+    def _found(self, query_vectors: DataFrame, beams: list[int], starts: int, rounds: int, keep: int | None) -> DataFrame:
+        """``(query_id, node, score, open, trial)``: the ``keep`` best of each block, or all that were met.
+
+        ``trial`` is the place of the beam in ``beams``.
+        """
         spark = self.nodes.sparkSession
         asked = with_vectors(query_vectors).filter("query_id IS NOT NULL").select("query_id", "embedding")
         asked = materialize(asked, "graph-queries")
         rows, size = measured_size(asked)
         blocks = int(self.nodes.agg(F.max("block")).first()[0] or 0) + 1
         # Queries whose rows a task can hold until its end.
-        parts = pieces(rows, size, max(1, HELD // (2 * keep if keep else 64 * beam)))
+        parts = pieces(rows, size, max(1, HELD // (2 * keep if keep else 64 * sum(beams))))
         parts = max(parts, _spread(rows, blocks, spark))
         part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -306,13 +358,14 @@ class GraphIndex:
             T.StructField("node", self.nodes.schema["node"].dataType),
             T.StructField("score", T.DoubleType()),
             T.StructField("open", T.BooleanType()),
+            T.StructField("trial", T.IntegerType()),
         ])
-        run = _walked(beam, starts, rounds, keep, schema)
+        run = _walked(beams, starts, rounds, keep, schema)
         return _met(self.nodes, asked.withColumn("part", part).withColumn("block", every), parts, blocks, run, schema)
 
     def walked(self, query_vectors: DataFrame, beam: int = BEAM, starts: int = STARTS, rounds: int = ROUNDS) -> DataFrame:
         """``(query_id, node, score, open, rank)``: all nodes each query has met, best first."""
-        found = self._found(query_vectors, beam, starts, rounds, None)
+        found = self._found(query_vectors, [beam], starts, rounds, None).drop("trial")
         return materialize(with_rank(found, ["query_id"], [F.desc("score"), F.asc("node")]), "graph-walk")
 
     def search(
@@ -322,7 +375,7 @@ class GraphIndex:
 
         A beam below ``k`` is widened to it. Documents without direction score 0.
         """
-        found = self._found(query_vectors, max(beam, k), starts, rounds, k)
+        found = self._found(query_vectors, [max(beam, k)], starts, rounds, k).drop("open", "trial")
         return self.best(top_k(found, ["query_id"], [F.desc("score"), F.asc("node")], k), k)
 
     def best(self, walked: DataFrame, k: int) -> DataFrame:
@@ -362,9 +415,16 @@ def calibrated_beam(
     true = materialize(true.distinct(), "calibration")
     wanted, beam = min(1.0, recall + MARGIN) * true.count(), least
     most = index.nodes.groupBy("block").count().agg(F.max("count")).first()[0]
+    # Blocks are moved once for some beams.
     while beam < most:
-        seen = index._found(asked, max(beam, k + own), STARTS, ROUNDS, k + own).select("query_id", "node").distinct()
-        if true.join(F.broadcast(seen), ["query_id", "node"], "left_semi").count() >= wanted:
-            break
+        tried = [beam]
+        while len(tried) < TRIALS and math.ceil(tried[-1] * WIDER) < most:
+            tried.append(math.ceil(tried[-1] * WIDER))
+        seen = index._found(asked, [max(b, k + own) for b in tried], STARTS, ROUNDS, k + own)
+        hits = seen.select("trial", "query_id", "node").distinct().join(F.broadcast(true), ["query_id", "node"], "left_semi")
+        counts = {r["trial"]: r["count"] for r in hits.groupBy("trial").count().collect()}
+        for trial, beam in enumerate(tried):
+            if counts.get(trial, 0) >= wanted:
+                return beam
         beam = math.ceil(beam * WIDER)
     return beam

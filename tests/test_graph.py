@@ -1,11 +1,13 @@
 """The neighbour graph and radius-bounded search against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ranked_lists
 from pyspark.sql import functions as F
 
 from sparkrank.operators.approx import VectorIndex, calibrated_probes, train_centroids
+from sparkrank.operators import graph
 from sparkrank.operators.dense import cosine_search
 from sparkrank.operators.graph import BEAM, GraphIndex, calibrated_beam
 from sparkrank.sources import scratch
@@ -101,6 +103,56 @@ def test_graph_of_several_blocks_by_recall(spark, tmp_path):
     assert beam >= 20 and recall(ranked_lists(index.search(asked(others), 10, beam)), exact) >= 0.9
 
 
+def test_beams_are_tried_together(spark, monkeypatch):
+    """Blocks are not moved again for every beam that is too narrow."""
+    index, found, tried = GraphIndex.build(normal(spark, 900), block_nodes=300), GraphIndex._found, []
+    monkeypatch.setattr(GraphIndex, "_found", lambda self, *given: tried.append(given) or found(self, *given))
+    beam = calibrated_beam(index, 10, 1.0)
+    assert beam > 54 and len(tried) <= 3
+    # The same beam as by one after the other.
+    monkeypatch.setattr(graph, "TRIALS", 1, raising=False)
+    assert calibrated_beam(index, 10, 1.0) == beam and len(tried) >= 5
+
+
+def plain_walk(block, unit, beam, starts, rounds):
+    score = lambda at: float(np.einsum("ij,ij->i", unit[None], block.units[at][None])[0])
+    near = np.rint((unit @ block.units[block.starts].T).astype(np.float64) * 1e6)
+    new = {int(block.starts[i]) for i in sorted(range(len(near)), key=lambda i: (-near[i], i))[:starts]}
+    known, best, closed = set(), [], set()
+    for number in range(rounds + 1):
+        known |= new
+        best = sorted(set(best) | {(-score(at), at) for at in new})[:beam]
+        still = [at for _, at in best if at not in closed]
+        if number == rounds or not still:
+            return [at for _, at in best]
+        closed |= set(still)
+        new = {int(b) for at in still for b in block.near[at] if b >= 0} - known
+
+
+@pytest.mark.parametrize("beam, rounds", [(4, 40), (30, 40), (30, 2)])
+def test_walk_in_whole_arrays(beam, rounds):
+    """Against a walk of one query at a time; some nodes score alike, some have no direction."""
+    r = np.random.default_rng(beam)
+    x = np.repeat(r.integers(-2, 3, (250, 6)), 2, axis=0).astype(float) * np.tile([1.0, 3.0], 250)[:, None]
+    near = [r.choice(500, r.integers(0, 6), replace=False).tolist() for _ in x]
+    columns = {"at": np.arange(500), "node": np.arange(500), "draw": r.permutation(500)}
+    nodes = pa.table(columns | {"embedding": list(x), "near": pa.array(near, pa.list_(pa.int32()))})
+    block, met = graph._Block(nodes), []
+    found = graph._walk(block, block.units[:60], beam, 8, rounds, met)
+    for unit, places in zip(block.units[:60], found.tolist()):
+        want = plain_walk(block, unit, beam, 8, rounds)
+        assert places == want + [-1] * (beam - len(want))
+    queries, places, still = met[0]
+    assert len(set(zip(queries.tolist(), places.tolist()))) == len(queries) and still.any()
+
+
+def test_most_of_wide_rows():
+    near = np.random.default_rng(4).normal(size=(7, 4103)).astype(np.float32)
+    found = np.sort(graph._most(near, 9), axis=1)
+    assert found.tolist() == np.sort(np.argsort(-near, axis=1)[:, :9], axis=1).tolist()
+    assert np.sort(graph._most(near[:, :20], 20), axis=1).tolist() == [list(range(20))] * 7
+
+
 def test_graph_of_repeated_and_missing_ids(spark):
     """Rows that come twice count twice, on both sides, as in exact search; queries without id have no list."""
     docs = normal(spark, 40)
