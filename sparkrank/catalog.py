@@ -28,7 +28,7 @@ from .functions import (
 from .functions.standins import HashedBagEncoder, TokenOverlapScorer
 from .operators import corpus, metrics, validate
 from .operators.approx import VectorIndex, calibrated_probes, train_centroids
-from .operators.graph import GraphIndex, calibrated_beam
+from .operators.graph import OWN_NODES, GraphIndex, calibrated_beam
 from .operators.joins import hinted
 from .operators.lexical import LexicalIndex, query_terms
 from .operators.models import encode
@@ -673,7 +673,7 @@ def approx_recall_top10(spark, sf_dir):
 @query()
 def graph_top10(spark, sf_dir):
     """Search by walking a neighbour graph of all vectors, in beams as wide as a recall of 0.9 takes."""
-    index = GraphIndex.build(vectors(spark, sf_dir))
+    index = GraphIndex.build(vectors(spark, sf_dir), block_nodes=OWN_NODES)
     return index.search(vectors(spark, sf_dir, "query_id"), 10, calibrated_beam(index, 10, 0.9))
 
 

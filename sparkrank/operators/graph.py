@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,8 +40,10 @@ from .validate import require_rows
 
 # Links of a node to its nearest; with those that lead to it, it has at most twice as many.
 DEGREE = 8
-# Most nodes of a block, and bytes of their vectors.
-BLOCK_NODES, BLOCK_BYTES = 196_608, 96 * 1024 * 1024
+# Most nodes of a block; where nodes search for each other, and most bytes of such a block's rows.
+BLOCK_NODES, OWN_NODES, BLOCK_BYTES = 65_536, 1 << 20, 512 * 1024 * 1024
+# Nodes of a block that are compared with a part's at once.
+LINKED = 32_768
 # Nodes from which on a block's nearest are looked for in columns of so many scores.
 COLUMNS, COLUMN = 4096, 16
 # Fewest queries of a part, but for their end.
@@ -52,7 +55,7 @@ BEAM, ROUNDS = 16, 40
 # What a beam is raised by when a recall is wanted, and beams that are tried together.
 WIDER, TRIALS = 1.5, 4
 # Marks of nodes met by the queries that a task walks together, and pairs scored at once.
-MARKS, PAIRS = 16_000_000, 8192
+MARKS, PAIRS = 64_000_000, 8192
 
 
 class _Block:
@@ -61,10 +64,15 @@ class _Block:
     def __init__(self, nodes: pa.Table):
         nodes = nodes.sort_by("at").combine_chunks()
         self.ids = nodes.column("node").combine_chunks()
-        self.exact = unit_rows(vector_matrix(nodes.column("embedding")), 0.0)
+        self.size, vectors = nodes.num_rows, nodes.column("embedding").combine_chunks()
+        if pc.count_distinct(vectors.value_lengths()).as_py() > 1:
+            raise ValueError("vectors of different length")
+        self.vectors = vectors.flatten().to_numpy(zero_copy_only=False).reshape(self.size, -1)
         # Enough to find the way; what is found is scored again.
-        self.units = np.nan_to_num(self.exact.astype(np.float32))
-        self.size = len(self.units)
+        self.units = np.empty(self.vectors.shape, np.float32)
+        for a in range(0, self.size, LINKED):
+            self.units[a : a + LINKED] = np.nan_to_num(self.exact(slice(a, a + LINKED)).astype(np.float32))
+        self.known = np.zeros(0, bool)
         if "near" in nodes.column_names:
             lists = nodes.column("near").combine_chunks()
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -74,6 +82,16 @@ class _Block:
             self.starts = order[: max(1, math.isqrt(self.size), self.size // START_SHARE)]
 
 
+    def exact(self, places: np.ndarray | slice) -> np.ndarray:
+        return unit_rows(self.vectors[places].astype(np.float64), 0.0)
+
+    def marks(self, n: int) -> np.ndarray:
+        """A mark for each node and each of ``n`` queries; whoever sets some takes them back."""
+        if len(self.known) < n * self.size:
+            self.known = np.zeros(n * self.size, bool)
+        return self.known
+
+
 def _most(near: np.ndarray, width: int) -> np.ndarray:
     """Columns of the ``width`` largest of each row."""
     size = near.shape[1]
@@ -98,14 +116,24 @@ def _linked(keep: int, schema: T.StructType) -> Callable:
         found = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0)]
         if part.num_rows and nodes.num_rows > 1:
             block, mine = _Block(nodes), np.sort(part.column("at").to_numpy())
-            width, step = min(keep, block.size - 1), max(1, 4 * TILE // block.size)
-            held = np.empty((step, block.size), np.float32)
+            width, step = min(keep, block.size - 1), max(1, 4 * TILE // min(LINKED, block.size))
+            held = np.empty(step * min(LINKED, block.size), np.float32)
             for a in range(0, len(mine), step):
                 some = mine[a : a + step]
-                near = np.matmul(block.units[some], block.units.T, out=held[: len(some)])
-                near[np.arange(len(some)), some] = -2.0
-                best = _most(near, width)
-                for kept, new in zip(found, (np.repeat(some, width), best, np.take_along_axis(near, best, axis=1))):
+                places, scores = [], []
+                for low in range(0, block.size, LINKED):
+                    other = block.units[low : low + LINKED]
+                    near = held[: len(some) * len(other)].reshape(len(some), -1)
+                    np.matmul(block.units[some], other.T, out=near)
+                    own = np.flatnonzero((some >= low) & (some < low + len(other)))
+                    near[own, some[own] - low] = -2.0
+                    best = _most(near, min(width, len(other)))
+                    places.append(best + low)
+                    scores.append(np.take_along_axis(near, best, axis=1))
+                places, near = np.concatenate(places, axis=1), np.concatenate(scores, axis=1)
+                order = _most(near, width)
+                best, near = np.take_along_axis(places, order, axis=1), np.take_along_axis(near, order, axis=1)
+                for kept, new in zip(found, (np.repeat(some, width), best, near)):
                     kept.append(new.ravel())
         src, dst, score = (np.concatenate(x) for x in found)
         block = nodes.column("block")[0].as_py() if nodes.num_rows else 0
@@ -144,7 +172,7 @@ def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int,
     ``met`` is given ``(query, place, open)`` of all nodes that were met.
     """
     n, size = len(units), block.size
-    known = np.zeros(n * size, bool)
+    known = block.marks(n)
     near = np.rint((units @ block.units[block.starts].T).astype(np.float64) * 10**SCORE_DECIMALS).astype(np.int64)
     width = min(starts, len(block.starts))
     first = (-near << 32) | np.arange(len(block.starts))
@@ -156,8 +184,7 @@ def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int,
         known[keys] = True
         queries, new = np.divmod(keys, size)
         found = _keys(_products(units, queries, block.units, new), new)
-        if met is not None:
-            every.append(keys)
+        every.append(keys)
         # Only what is better than the last of a beam can enter it.
         good = found < beams[queries, -1]
         queries, found = queries[good], found[good]
@@ -181,8 +208,9 @@ def _walk(block: _Block, units: np.ndarray, beam: int, starts: int, rounds: int,
         keys = (row[:, None] * size + around)[around >= 0]
         keys = np.sort(keys[~known[keys]])
         keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+    every = np.concatenate(every)
+    known[every] = False
     if met is not None:
-        every = np.concatenate(every)
         closed = np.concatenate(passed) if passed else every[:0]
         met.append((*np.divmod(every, size), ~np.isin(every, closed)))
     return np.where(beams == _NONE, -1, (beams & 0xFFFFFFFF) >> 1)
@@ -203,7 +231,7 @@ def _walked(beams: list[int], starts: int, rounds: int, keep: int | None, schema
                 some = places[:, : 2 * keep]
                 queries, column = np.nonzero(some >= 0)
                 places, still = some[queries, column], np.zeros(len(queries), bool)
-            values = rounded(np.einsum("ij,ij->i", exact[a + queries], block.exact[places]))
+            values = rounded(np.einsum("ij,ij->i", exact[a + queries], block.exact(places)))
             values[np.isnan(values)] = 0.0
             if keep is not None:
                 order = np.lexsort((places, -values, queries))
@@ -290,7 +318,8 @@ class GraphIndex:
 
         Documents without a vector are skipped. Equal vectors, however many, are one node under the
         smallest id. Links are the nearest of a block, so that nothing depends on ``build_degree``,
-        which callers may still give.
+        which callers may still give. Nodes of one block that search for each other meet their links; more
+        ``block_nodes``, as ``OWN_NODES``, then take a narrower beam, and more work to link.
         """
         spark = doc_vectors.sparkSession
         ship_package(spark)
@@ -306,7 +335,10 @@ class GraphIndex:
             members = salted_join(vectors, several, "embedding", "doc_id")
         members = materialize(members.select("node", "doc_id"), "graph-members")
         rows, size = measured_size(points)
-        blocks = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(rows / (block_nodes or BLOCK_NODES)))
+        if block_nodes:
+            blocks = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(rows / block_nodes))
+        else:
+            blocks = pieces(rows, size, BLOCK_NODES)
         block = F.pmod(F.xxhash64("node", F.lit(seed + 1)), F.lit(blocks)).cast("int")
         placed = points.select(block.alias("block"), "node", "embedding", F.xxhash64("node", F.lit(seed)).alias("draw"))
         place = F.row_number().over(W.partitionBy("block").orderBy("node", F.xxhash64("embedding"))) - 1
