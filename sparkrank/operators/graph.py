@@ -55,19 +55,35 @@ BEAM, ROUNDS = 16, 40
 # What a beam is raised by when a recall is wanted, and beams that are tried together.
 WIDER, TRIALS = 1.5, 4
 # Marks of nodes met by the queries that a task walks together, and pairs scored at once.
-MARKS, PAIRS = 64_000_000, 8192
+MARKS, PAIRS = 32_000_000, 8192
+
+
+def _rows(vectors: pa.Array) -> np.ndarray:
+    """Rows of an Arrow list column as a matrix of its own type; all rows must have one length."""
+    if pc.count_distinct(vectors.value_lengths()).as_py() > 1:
+        raise ValueError("vectors of different length")
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
 
 
 class _Block:
     """The nodes of one block in a task, by their place ``at``."""
 
     def __init__(self, nodes: pa.Table):
-        nodes = nodes.sort_by("at").combine_chunks()
-        self.ids = nodes.column("node").combine_chunks()
-        self.size, vectors = nodes.num_rows, nodes.column("embedding").combine_chunks()
-        if pc.count_distinct(vectors.value_lengths()).as_py() > 1:
-            raise ValueError("vectors of different length")
-        self.vectors = vectors.flatten().to_numpy(zero_copy_only=False).reshape(self.size, -1)
+        # Rows go to their places as they come; the whole table is not sorted, which would copy it.
+        self.size, order = nodes.num_rows, np.argsort(nodes.column("at").to_numpy())
+        self.ids = nodes.column("node").take(pa.array(order)).combine_chunks()
+        at = np.empty(self.size, np.int64)
+        at[order] = np.arange(self.size)
+        self.vectors, done = None, 0
+        for chunk in nodes.column("embedding").chunks:
+            if len(chunk):
+                rows = _rows(chunk)
+                if self.vectors is None:
+                    self.vectors = np.empty((self.size, rows.shape[1]), rows.dtype)
+                if rows.shape[1] != self.vectors.shape[1]:
+                    raise ValueError("vectors of different length")
+                self.vectors[at[done : done + len(chunk)]] = rows
+                done += len(chunk)
         # Enough to find the way; what is found is scored again.
         self.units = np.empty(self.vectors.shape, np.float32)
         for a in range(0, self.size, LINKED):
@@ -78,10 +94,10 @@ class _Block:
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             self.near = np.full((self.size, max(1, sizes.max(initial=0))), -1, np.int32)
             self.near[np.arange(self.near.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-            order = np.lexsort((np.arange(self.size), nodes.column("draw").to_numpy()))
+            self.near = self.near[order]
+            order = np.lexsort((np.arange(self.size), nodes.column("draw").to_numpy()[order]))
             self.starts = order[: max(1, math.isqrt(self.size), self.size // START_SHARE)]
 
-
     def exact(self, places: np.ndarray | slice) -> np.ndarray:
         return unit_rows(self.vectors[places].astype(np.float64), 0.0)
 
